@@ -1,0 +1,143 @@
+"""Running rules: one, a set of them, and a whole run with its verdict."""
+
+import logging
+from collections import namedtuple
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+from datetime import datetime
+from itertools import islice
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..model import RESULT_COLUMNS, RESULT_DATA_COLUMNS, RUNNABLE_RULE_SCHEMA
+from ..operators import (
+    categorize,
+    exit_code,
+    final_rows,
+    latest_status,
+    rule_rows,
+    rules_for_packages,
+    started_rows,
+    verdict,
+    waiting_rules,
+    with_run_ids,
+)
+from ..session import rule_session
+from ..sources import append_status, load_tables, read_ledger, write_results
+from .programs import check_date, run_program
+
+logger = logging.getLogger(__name__)
+
+Outcome = namedtuple("Outcome", "rule_run_id rule_id succeeded path error")
+
+_OUTCOME_SCHEMA = T.StructType([*RUNNABLE_RULE_SCHEMA.fields, T.StructField("succeeded", T.BooleanType())])
+_SUMMARY_SCHEMA = "rules long, succeeded long, passes boolean, exit_code int, error string"
+
+
+@dataclass
+class RunSettings:
+    """What every rule of a run shares.
+
+    ``results`` and ``ledger`` are folders on a file system that all executors reach.
+    ``parallel`` rules have Spark jobs at a time. ``batch`` rules get their ledger
+    rows in one write, so that a long run does not leave a file per row.
+    """
+
+    data_config: dict
+    dictionary: dict
+    as_of_date: str
+    results: str
+    ledger: str
+    on_bad_value: str = "fail"
+    parallel: int = 5
+    batch: int = 100
+    clock: callable = field(default=datetime.now)
+
+
+def stamp_results(rows, run_id, rule_id):
+    """The six result columns as text; others are dropped, also the rule's own RULE_ID."""
+    return rows.select(
+        F.lit(run_id).alias(RESULT_COLUMNS[0]),
+        F.lit(rule_id).alias(RESULT_COLUMNS[1]),
+        *[F.col(name).cast("string").alias(name) for name in RESULT_DATA_COLUMNS],
+    )
+
+
+def _execute(spark, rule, settings):
+    """Load, run, stamp and save. Whatever goes wrong in it is the rule's failure."""
+    run_id, rule_id = rule["rule_run_id"], rule["rule_id"]
+    try:
+        session = rule_session(spark)
+        tables = load_tables(session, settings.data_config, settings.dictionary, settings.on_bad_value)
+        rows = run_program(session, rule, tables, settings.as_of_date)
+        path = write_results(stamp_results(rows, run_id, rule_id), settings.results, rule_id, run_id)
+        return Outcome(run_id, rule_id, True, path, None)
+    except Exception as error:
+        logger.error("rule %s failed: %s", rule_id, error)
+        return Outcome(run_id, rule_id, False, None, str(error))
+
+
+def _record(spark, rows, schema, make, settings):
+    frame = spark.createDataFrame(rows, schema)
+    append_status(make(frame, settings.clock()).coalesce(1), settings.ledger)
+
+
+def _run_batch(spark, rules, settings):
+    fields = RUNNABLE_RULE_SCHEMA.names
+    started = [tuple(rule[name] for name in fields) for rule in rules]
+    _record(spark, started, RUNNABLE_RULE_SCHEMA, started_rows, settings)
+
+    execute = inheritable_thread_target(spark)(_execute)
+    with ThreadPoolExecutor(settings.parallel) as pool:
+        outcomes = list(pool.map(lambda rule: execute(spark, rule, settings), rules))
+    finished = [(*row, outcome.succeeded) for row, outcome in zip(started, outcomes)]
+    _record(spark, finished, _OUTCOME_SCHEMA, final_rows, settings)
+    return outcomes
+
+
+def run_rule(spark, rule, settings):
+    """One rule from start to ledger. ``rule`` is a dict of its columns and run id."""
+    return _run_batch(spark, [rule], settings)[0]
+
+
+def run_rules(spark, rules, settings):
+    """Run every rule of a DataFrame with ``rule_run_id``; yield each outcome.
+
+    A rule that fails does not stop the others; a ledger that cannot be written does.
+    Rules come to the driver a batch at a time, since each is a program to start.
+    """
+    remaining = (row.asDict() for row in rules.select(*RUNNABLE_RULE_SCHEMA.names).toLocalIterator())
+    while batch := list(islice(remaining, settings.batch)):
+        yield from _run_batch(spark, batch, settings)
+
+
+def run(spark, catalog, feed_map, settings, module, stage, packages, feed_id=None, token=None, resolve=None):
+    """A whole run: choose the rules, run them, judge the ledger.
+
+    Returns one row. No rules to run pass; a failed rule fails the run before the
+    ledger is judged. ``resolve`` may turn the waiting rules into rows of
+    (rule_id, resolved), for example with ``streaming.wait_for_exceptions``;
+    otherwise their latest row decides. An as-of date that is none raises; errors
+    after that fail the run, and are named in its row.
+    """
+    check_date(settings.as_of_date)
+    total = succeeded = 0
+    error = None
+    try:
+        rules = rules_for_packages(catalog, feed_map, module, stage, packages, feed_id)
+        rules = with_run_ids(rule_rows(rules), token, settings.clock())
+        for outcome in run_rules(spark, rules, settings):
+            total += 1
+            succeeded += outcome.succeeded
+        passes = total == succeeded
+        if total and passes:
+            latest = latest_status(read_ledger(spark, settings.ledger), rules)
+            categories = categorize(latest, feed_map)
+            resolved = resolve(waiting_rules(categories)) if resolve else None
+            passes = verdict(rules, categories, resolved).first().passes
+    except Exception as failure:
+        logger.exception("run failed")
+        passes, error = False, str(failure)
+    return spark.createDataFrame([(total, succeeded, passes, exit_code(passes), error)], _SUMMARY_SCHEMA)
