@@ -7,9 +7,9 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from itertools import islice
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..model import RESULT_COLUMNS, RESULT_DATA_COLUMNS, RUNNABLE_RULE_SCHEMA
 from ..operators import (
@@ -25,14 +25,14 @@ from ..operators import (
     with_run_ids,
 )
 from ..session import rule_session
-from ..sources import append_status, load_tables, read_ledger, write_results
-from .programs import check_date, run_program
+from ..sources import append_status, load_tables, read_ledger, read_schemas, write_results
+from .programs import check_date, handler_for, run_program
 
 logger = logging.getLogger(__name__)
 
 Outcome = namedtuple("Outcome", "rule_run_id rule_id succeeded path error")
 
-_OUTCOME_SCHEMA = T.StructType([*RUNNABLE_RULE_SCHEMA.fields, T.StructField("succeeded", T.BooleanType())])
+_OUTCOME_ARROW = pa.schema([*((name, pa.string()) for name in RUNNABLE_RULE_SCHEMA.names), ("succeeded", pa.bool_())])
 _SUMMARY_SCHEMA = "rules long, succeeded long, passes boolean, exit_code int, error string"
 
 
@@ -42,7 +42,9 @@ class RunSettings:
 
     ``results`` and ``ledger`` are folders on a file system that all executors reach.
     ``parallel`` rules have Spark jobs at a time. ``batch`` rules get their ledger
-    rows in one write, so that a long run does not leave a file per row.
+    rows in one write, so that a long run does not leave a file per row. Each rule has
+    a session of its own; with ``share_session`` the SQL rules use one together, so
+    that tables of very many files are listed once.
     """
 
     data_config: dict
@@ -53,6 +55,7 @@ class RunSettings:
     on_bad_value: str = "fail"
     parallel: int = 5
     batch: int = 100
+    share_session: bool = False
     clock: callable = field(default=datetime.now)
 
 
@@ -65,13 +68,36 @@ def stamp_results(rows, run_id, rule_id):
     )
 
 
-def _execute(spark, rule, settings):
+class _Tables:
+    """The configured tables, for one rule after the other.
+
+    Their schemas are read once. If that fails, each rule finds out by itself, and
+    fails.
+    """
+
+    def __init__(self, spark, settings):
+        self._spark, self._settings, self._schemas = spark, settings, {}
+        try:
+            self._schemas = read_schemas(spark, settings.data_config)
+        except Exception as error:
+            logger.warning("schemas not read ahead: %s", error)
+        self._shared = self._load() if settings.share_session else None
+
+    def _load(self):
+        session, settings = rule_session(self._spark), self._settings
+        return session, load_tables(session, settings.data_config, settings.dictionary, settings.on_bad_value,
+                                    self._schemas)
+
+    def for_rule(self, rule):
+        """A session and its tables. Only SQL rules may share one."""
+        return self._shared if self._shared and rule["program_type"].lower() == "sql" else self._load()
+
+
+def _execute(tables, rule, settings):
     """Load, run, stamp and save. Whatever goes wrong in it is the rule's failure."""
     run_id, rule_id = rule["rule_run_id"], rule["rule_id"]
     try:
-        session = rule_session(spark)
-        tables = load_tables(session, settings.data_config, settings.dictionary, settings.on_bad_value)
-        rows = run_program(session, rule, tables, settings.as_of_date)
+        rows = run_program(*_program_arguments(tables, rule), settings.as_of_date)
         path = write_results(stamp_results(rows, run_id, rule_id), settings.results, rule_id, run_id)
         return Outcome(run_id, rule_id, True, path, None)
     except Exception as error:
@@ -79,27 +105,31 @@ def _execute(spark, rule, settings):
         return Outcome(run_id, rule_id, False, None, str(error))
 
 
-def _record(spark, rows, schema, make, settings):
-    frame = spark.createDataFrame(rows, schema)
-    append_status(make(frame, settings.clock()).coalesce(1), settings.ledger)
+def _program_arguments(tables, rule):
+    handler_for(rule["program_type"])
+    session, loaded = tables.for_rule(rule)
+    return session, rule, loaded
 
 
-def _run_batch(spark, rules, settings):
-    fields = RUNNABLE_RULE_SCHEMA.names
-    started = [tuple(rule[name] for name in fields) for rule in rules]
-    _record(spark, started, RUNNABLE_RULE_SCHEMA, started_rows, settings)
+def _record(spark, rows, make, settings):
+    """Append ledger rows for rules that are dicts of the driver."""
+    frame = spark.createDataFrame(pa.Table.from_pylist(rows, _OUTCOME_ARROW))
+    append_status(make(frame, settings.clock()).coalesce(1), settings.ledger)
+
 
+def _run_batch(spark, rules, settings, tables):
+    _record(spark, rules, started_rows, settings)
     execute = inheritable_thread_target(spark)(_execute)
     with ThreadPoolExecutor(settings.parallel) as pool:
-        outcomes = list(pool.map(lambda rule: execute(spark, rule, settings), rules))
-    finished = [(*row, outcome.succeeded) for row, outcome in zip(started, outcomes)]
-    _record(spark, finished, _OUTCOME_SCHEMA, final_rows, settings)
+        outcomes = list(pool.map(lambda rule: execute(tables, rule, settings), rules))
+    finished = [rule | {"succeeded": outcome.succeeded} for rule, outcome in zip(rules, outcomes)]
+    _record(spark, finished, final_rows, settings)
     return outcomes
 
 
 def run_rule(spark, rule, settings):
     """One rule from start to ledger. ``rule`` is a dict of its columns and run id."""
-    return _run_batch(spark, [rule], settings)[0]
+    return _run_batch(spark, [rule], settings, _Tables(spark, settings))[0]
 
 
 def run_rules(spark, rules, settings):
@@ -108,9 +138,11 @@ def run_rules(spark, rules, settings):
     A rule that fails does not stop the others; a ledger that cannot be written does.
     Rules come to the driver a batch at a time, since each is a program to start.
     """
+    tables = None
     remaining = (row.asDict() for row in rules.select(*RUNNABLE_RULE_SCHEMA.names).toLocalIterator())
     while batch := list(islice(remaining, settings.batch)):
-        yield from _run_batch(spark, batch, settings)
+        tables = tables or _Tables(spark, settings)
+        yield from _run_batch(spark, batch, settings, tables)
 
 
 def run(spark, catalog, feed_map, settings, module, stage, packages, feed_id=None, token=None, resolve=None):

@@ -1,8 +1,9 @@
 from .database import execute_query, optional_table, read_database, write_database
-from .files import apply_dictionary, count_bad_values, load_tables, read_table
+from .files import apply_dictionary, count_bad_values, load_tables, read_schemas, read_table
 from .sinks import (
     append_results,
     append_status,
+    ledger_stream,
     read_ledger,
     read_results,
     result_path,
@@ -11,6 +12,6 @@ from .sinks import (
 
 __all__ = [
     "append_results", "append_status", "apply_dictionary", "count_bad_values", "execute_query",
-    "load_tables", "optional_table", "read_database", "read_ledger", "read_results", "read_table",
-    "result_path", "write_database", "write_results",
+    "ledger_stream", "load_tables", "optional_table", "read_database", "read_ledger", "read_results", "read_schemas",
+    "read_table", "result_path", "write_database", "write_results",
 ]

@@ -10,15 +10,19 @@ from ..config import table_columns, table_format
 CASTS = {"string": "string", "integer": "int", "double": "double", "date": "date"}
 
 
-def read_table(spark, file_format, path):
-    """Read one table. CSV has a header line, and all its columns are strings."""
+def read_table(spark, file_format, path, schema=None):
+    """Read one table. CSV has a header line, and all its columns are strings.
+
+    A schema that is already known saves the job that looks into the files for it.
+    """
     name = file_format.lower()
+    reader = spark.read.schema(schema) if schema is not None else spark.read
     if name == "parquet":
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     if name == "csv":
-        return spark.read.option("header", "true").csv(path)
+        return reader.option("header", "true").csv(path)
     try:
-        return spark.read.format(name).load(path)
+        return reader.format(name).load(path)
     except Exception as error:
         if not any(text in str(error) for text in ("DATA_SOURCE_NOT_FOUND", "Failed to find data source")):
             raise
@@ -69,13 +73,26 @@ def count_bad_values(df, columns):
     return df.agg(*counts.values()).unpivot([], [_quoted(name) for name in counts], "column", "bad_values")
 
 
-def load_tables(spark, data_config, dictionary, on_bad_value="fail"):
-    """Every configured table as a lazy DataFrame, by logical name."""
+def load_tables(spark, data_config, dictionary, on_bad_value="fail", schemas=None):
+    """Every configured table as a lazy DataFrame, by logical name.
+
+    ``schemas`` may hold schemas as read, from ``read_schemas``.
+    """
+    tables = {}
+    for table in data_config.get("tables", []):
+        name = table["logicalName"]
+        read = read_table(spark, table_format(table), table["path"], (schemas or {}).get(name))
+        tables[name] = apply_dictionary(read, table_columns(dictionary, name), on_bad_value)
+    return tables
+
+
+# Formats that take a schema as it was read. Others may keep their own, as a table format does.
+_GIVEN_SCHEMA = {"PARQUET", "CSV", "ORC", "JSON"}
+
+
+def read_schemas(spark, data_config):
+    """The schemas of the configured tables, for loading them again elsewhere."""
     return {
-        table["logicalName"]: apply_dictionary(
-            read_table(spark, table_format(table), table["path"]),
-            table_columns(dictionary, table["logicalName"]),
-            on_bad_value,
-        )
-        for table in data_config.get("tables", [])
+        table["logicalName"]: read_table(spark, table_format(table), table["path"]).schema
+        for table in data_config.get("tables", []) if table_format(table) in _GIVEN_SCHEMA
     }

@@ -28,12 +28,18 @@ def read_results(spark, paths):
 
 
 def append_status(rows, path):
-    """Append ledger rows."""
-    rows.select(*LEDGER_SCHEMA.names).write.mode("append").parquet(path)
+    """Append ledger rows, a folder per execution date."""
+    rows.select(*LEDGER_SCHEMA.names).write.mode("append").partitionBy("execution_date").parquet(path)
 
 
 def read_ledger(spark, path):
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path).select(*LEDGER_SCHEMA.names)
+
+
+def ledger_stream(spark, path, execution_date=None):
+    """Ledger rows as they are appended; those of one date only, if given."""
+    stream = spark.readStream.schema(LEDGER_SCHEMA).option("basePath", path)
+    return stream.parquet(f"{path}/execution_date={execution_date}" if execution_date else path)
 
 
 def result_rows(entries):

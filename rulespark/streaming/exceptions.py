@@ -1,9 +1,12 @@
 """Waiting rules joined to the exceptions that come in for them."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from ..model import SUCCESS, YES
 from ..operators.joins import KEY
+from .latest import latest_updates
 
 
 def waiting_at(waiting, start):
@@ -69,3 +72,42 @@ def read_resolved(spark, folder):
     """One row per waiting rule that is decided so far."""
     resolved = F.bool_or(F.col("at_start") | F.col("excepted_at").isNotNull())
     return spark.read.parquet(folder).groupBy(KEY, "started_at").agg(resolved.alias("resolved"))
+
+
+def wait_for_exceptions(waiting, ledger, folder, checkpoint, timeout, every=60):
+    """Follow a ledger stream until all waiting rules are resolved, at most for ``timeout``.
+
+    The stream looks every ``every`` seconds. A rule is resolved once a look finds the
+    exception on its latest row, and stays so. State is kept for waiting rules only.
+    """
+    spark = waiting.sparkSession
+    ids = waiting.select(KEY).distinct()
+    looks = []
+
+    def save(updates, batch_id):
+        excepted = updates.where(F.col("newest.exception_applied") == YES)
+        excepted.select(KEY).write.mode("overwrite").parquet(f"{folder}/look={batch_id}")
+        looks.append(batch_id)
+
+    def resolved():
+        return spark.read.schema(f"{KEY} string").parquet(folder) if looks else ids.where(F.lit(False))
+
+    query = (
+        latest_updates(ledger.join(ids, KEY, "left_semi"))
+        .writeStream.outputMode("update")
+        .foreachBatch(save)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=f"{every} seconds")
+        .start()
+    )
+    deadline = time.monotonic() + timeout.total_seconds()
+    try:
+        while (left := deadline - time.monotonic()) > 0:
+            if query.awaitTermination(max(1, min(every, int(left)))):
+                break
+            if ids.join(resolved(), KEY, "left_anti").isEmpty():
+                break
+    finally:
+        query.stop()
+    flags = resolved().distinct().withColumn("resolved", F.lit(True))
+    return ids.join(flags, KEY, "left").select(KEY, F.coalesce("resolved", F.lit(False)).alias("resolved"))
