@@ -1,6 +1,7 @@
 """Result files and the status ledger's files."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..model import LEDGER_SCHEMA, RESULT_COLUMNS, RESULT_DATA_COLUMNS, RESULT_SCHEMA
 
@@ -38,8 +39,11 @@ def read_ledger(spark, path):
 
 def ledger_stream(spark, path, execution_date=None):
     """Ledger rows as they are appended; those of one date only, if given."""
-    stream = spark.readStream.schema(LEDGER_SCHEMA).option("basePath", path)
-    return stream.parquet(f"{path}/execution_date={execution_date}" if execution_date else path)
+    if execution_date is None:
+        return spark.readStream.schema(LEDGER_SCHEMA).parquet(path)
+    stored = [field for field in LEDGER_SCHEMA if field.name != "execution_date"]
+    rows = spark.readStream.schema(StructType(stored)).parquet(f"{path}/execution_date={execution_date}")
+    return rows.withColumn("execution_date", F.lit(execution_date)).select(*LEDGER_SCHEMA.names)
 
 
 def result_rows(entries):
