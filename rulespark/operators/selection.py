@@ -75,10 +75,11 @@ def rules_for_packages(catalog, feed_map, module, stage, packages, feed_id=None,
     if not packages:
         return catalog.where(F.lit(False)).select(*RULE_COLUMNS, F.lit(0).alias("package_position"))
     rules = _rules(catalog, feed_map, module, stage, set(packages), feed_id, unmapped)
-    asked = catalog.sparkSession.range(1).select(
-        F.posexplode(F.array(*[F.lit(package) for package in packages])).alias("package_position", "package")
-    )
-    return rules.join(asked, "package").select(*RULE_COLUMNS, "package_position")
+    places = {}
+    for place, package in enumerate(packages):
+        places.setdefault(package, []).append(F.lit(place))
+    asked = F.create_map(*[part for package, at in places.items() for part in (F.lit(package), F.array(*at))])
+    return rules.select(*RULE_COLUMNS, F.explode(asked[F.col("package")]).alias("package_position"))
 
 
 def rule_rows(rules):
