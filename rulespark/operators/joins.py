@@ -1,5 +1,6 @@
 """Joining rows to a table that holds each rule id once."""
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -7,9 +8,13 @@ KEY = "rule_id"
 
 
 def id_frame(spark, ids):
-    """Rule ids, each once, from a DataFrame with a rule_id column or any iterable."""
+    """Rule ids, each once, from a DataFrame with a rule_id column or any iterable.
+
+    An iterable goes in as Arrow data, whose size Spark knows when it plans: few ids
+    are then broadcast to the scan.
+    """
     if not isinstance(ids, DataFrame):
-        ids = spark.createDataFrame([(rule_id,) for rule_id in ids], f"{KEY} string")
+        ids = spark.createDataFrame(pa.table({KEY: pa.array(ids, pa.string())}))
     return ids.select(KEY).distinct()
 
 

@@ -91,15 +91,17 @@ def ledger_order():
 
 
 def latest_status(ledger, ids=None, run_ids=None):
-    """The latest row of each rule; of the given rules and runs only, if given."""
+    """The latest row of each rule; of the given rules and runs only, if given.
+
+    The ids are joined right above the aggregate. There Spark pushes them below it if
+    they can be broadcast; if not, the ledger is reduced before it meets them.
+    """
     if run_ids is not None:
         ledger = ledger.where(F.col("rule_run_id").isin(list(run_ids)))
-    latest = ledger.groupBy(KEY).agg(newest().alias("_newest")).select(
-        KEY, *[F.col(f"_newest.{name}").alias(name) for name in LATEST_COLUMNS]
-    )
-    if ids is None:
-        return latest
-    return latest.join(id_frame(ledger.sparkSession, ids), KEY, "left_semi")
+    latest = ledger.groupBy(KEY).agg(newest().alias("_newest"))
+    if ids is not None:
+        latest = latest.join(id_frame(ledger.sparkSession, ids), KEY, "left_semi")
+    return latest.select(KEY, *[F.col(f"_newest.{name}").alias(name) for name in LATEST_COLUMNS])
 
 
 def status_history(ledger, ids):

@@ -59,18 +59,14 @@ def exceptions_in_time(ledger, feed_map, start, timeout=timedelta(minutes=60), i
     resolving = F.col("exception_applied").eqNullSafe(YES)
     if accept_success:
         resolving = resolving | F.col("rule_execution_status").eqNullSafe(SUCCESS)
-    per_rule = (
-        ledger.where(seen | later)
-        .groupBy(KEY)
-        .agg(
-            F.max(F.when(seen, ledger_order())).alias("_newest"),
-            F.bool_or(later & resolving).alias("_later"),
-        )
-        .where(F.col("_newest").isNotNull())
-        .select(KEY, *[F.col(f"_newest.{name}").alias(name) for name in LATEST_COLUMNS], "_later")
+    per_rule = ledger.where(seen | later).groupBy(KEY).agg(
+        F.max(F.when(seen, ledger_order())).alias("_newest"), F.bool_or(later & resolving).alias("_later")
     )
     if ids is not None:
         per_rule = per_rule.join(id_frame(ledger.sparkSession, ids), KEY, "left_semi")
+    per_rule = per_rule.where(F.col("_newest").isNotNull()).select(
+        KEY, *[F.col(f"_newest.{name}").alias(name) for name in LATEST_COLUMNS], "_later"
+    )
     waiting = waiting_rules(categorize(per_rule, feed_map))
     at_start = F.col("exception_applied").eqNullSafe(YES)
     return waiting.select(KEY, (at_start | F.coalesce("_later", F.lit(False))).alias("resolved"))
