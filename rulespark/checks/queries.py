@@ -9,7 +9,7 @@ from .. import functions as fn
 from .. import operators as op
 from .. import plans, sources, streaming
 from ..model import FAILURE, RESULT_COLUMNS, RULE_COLUMNS, RULE_TEXT_COLUMNS, RUNNABLE_RULE_SCHEMA
-from ..session import rule_session, work_folder
+from ..session import rule_session, stream_session, work_folder
 from .fixtures import table, view
 
 AS_OF_DATE = "20010701"
@@ -316,11 +316,11 @@ def e6_run_id(spark, sf_dir):
                      F.count_distinct("rule_run_id").alias("distinct_ids"))
 
 
-def _stream_of(spark, rows, purpose, files=4):
+def _stream_of(session, rows, purpose, files=4):
     """The rows as a stream over files that Spark wrote, a file or two per micro-batch."""
-    path = work_folder(spark, purpose)
+    path = work_folder(session, purpose)
     rows.repartition(files).write.parquet(path)
-    return path, spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files // 2).parquet(path)
+    return path, session.readStream.schema(rows.schema).option("maxFilesPerTrigger", files // 2).parquet(path)
 
 
 def _ledger_with_zone(spark, sf_dir):
@@ -328,7 +328,7 @@ def _ledger_with_zone(spark, sf_dir):
 
 
 def e8_latest_stream(spark, sf_dir):
-    _, ledger = _stream_of(spark, _ledger_with_zone(spark, sf_dir), "ledger-stream")
+    _, ledger = _stream_of(stream_session(spark), _ledger_with_zone(spark, sf_dir), "ledger-stream")
     folder = work_folder(spark, "latest")
     query = streaming.write_latest(ledger, folder, work_folder(spark, "latest-state"), availableNow=True)
     query.awaitTermination()
@@ -379,8 +379,9 @@ def f6_stream(spark, sf_dir):
     waiting = op.waiting_rules(op.categorize(op.latest_status(ledger.where(seen)), feed_map))
     waiting = streaming.waiting_at(waiting, START)
     ledger = _ledger_with_zone(spark, sf_dir)
-    waiting_path, waiting_stream = _stream_of(spark, waiting, "waiting-stream", files=2)
-    ledger_path, ledger_stream = _stream_of(spark, ledger, "ledger-stream")
+    session = stream_session(spark)
+    waiting_path, waiting_stream = _stream_of(session, waiting, "waiting-stream", files=2)
+    ledger_path, ledger_stream = _stream_of(session, ledger, "ledger-stream")
     folder, state = work_folder(spark, "matches"), work_folder(spark, "matches-state")
     matches = streaming.exception_matches(waiting_stream, ledger_stream, TIMEOUT)
 

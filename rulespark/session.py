@@ -34,6 +34,17 @@ def rule_session(spark):
     return session
 
 
+def stream_session(spark, partitions=None):
+    """A session for streams with state in as many partitions as there are cores.
+
+    A stream keeps the number it began with, and opens every partition's state in
+    every micro-batch; the number for large batch shuffles would be too many.
+    """
+    session = rule_session(spark)
+    session.conf.set("spark.sql.shuffle.partitions", partitions or spark.sparkContext.defaultParallelism)
+    return session
+
+
 def work_folder(spark, purpose):
     """A fresh path, not yet made, in the folder that all executors share."""
     base = spark.conf.get("spark.checkpoint.dir", None)
