@@ -7,9 +7,9 @@ from .programs import (
     run_python_rule,
     run_sql_rule,
 )
-from .run import Outcome, RunSettings, run, run_rule, run_rules, stamp_results
+from .run import Outcome, RunSettings, by_approvals, by_latest_status, run, run_rule, run_rules, stamp_results
 
 __all__ = [
-    "Outcome", "RunSettings", "handler_for", "program_types", "python_rule", "register_program_type",
+    "Outcome", "RunSettings", "by_approvals", "by_latest_status", "handler_for", "program_types", "python_rule", "register_program_type",
     "run", "run_program", "run_python_rule", "run_rule", "run_rules", "run_sql_rule", "stamp_results",
 ]

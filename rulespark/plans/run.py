@@ -21,10 +21,11 @@ from ..operators import (
     rules_for_packages,
     started_rows,
     verdict,
+    verdict_from_approvals,
     waiting_rules,
     with_run_ids,
 )
-from ..session import rule_session
+from ..session import rule_session, written
 from ..sources import append_status, load_tables, read_ledger, read_schemas, write_results
 from .programs import check_date, handler_for, run_program
 
@@ -33,7 +34,8 @@ logger = logging.getLogger(__name__)
 Outcome = namedtuple("Outcome", "rule_run_id rule_id succeeded path error")
 
 _OUTCOME_ARROW = pa.schema([*((name, pa.string()) for name in RUNNABLE_RULE_SCHEMA.names), ("succeeded", pa.bool_())])
-_SUMMARY_SCHEMA = "rules long, succeeded long, passes boolean, exit_code int, error string"
+_SUMMARY_ARROW = pa.schema([("rules", pa.int64()), ("succeeded", pa.int64()), ("passes", pa.bool_()),
+                            ("exit_code", pa.int32()), ("error", pa.string())])
 
 
 @dataclass
@@ -44,7 +46,9 @@ class RunSettings:
     ``parallel`` rules have Spark jobs at a time. ``batch`` rules get their ledger
     rows in one write, so that a long run does not leave a file per row. Each rule has
     a session of its own; with ``share_session`` the SQL rules use one together, so
-    that tables of very many files are listed once.
+    that tables of very many files are listed once. The tables named in ``persist``
+    are kept by the executors for as long as the rules run; worth it for a table that
+    several rules read and that fits.
     """
 
     data_config: dict
@@ -56,6 +60,7 @@ class RunSettings:
     parallel: int = 5
     batch: int = 100
     share_session: bool = False
+    persist: tuple = ()
     clock: callable = field(default=datetime.now)
 
 
@@ -81,16 +86,25 @@ class _Tables:
             self._schemas = read_schemas(spark, settings.data_config)
         except Exception as error:
             logger.warning("schemas not read ahead: %s", error)
-        self._shared = self._load() if settings.share_session else None
+        session = rule_session(spark) if settings.share_session else None
+        self._shared = (session, self._load(session)) if session else None
+        kept = self._load(spark) if settings.persist else {}
+        self._kept = [kept[name].persist() for name in settings.persist]
 
-    def _load(self):
-        session, settings = rule_session(self._spark), self._settings
-        return session, load_tables(session, settings.data_config, settings.dictionary, settings.on_bad_value,
-                                    self._schemas)
+    def _load(self, session):
+        settings = self._settings
+        return load_tables(session, settings.data_config, settings.dictionary, settings.on_bad_value, self._schemas)
+
+    def release(self):
+        for table in self._kept:
+            table.unpersist()
 
     def for_rule(self, rule):
         """A session and its tables. Only SQL rules may share one."""
-        return self._shared if self._shared and rule["program_type"].lower() == "sql" else self._load()
+        if self._shared and rule["program_type"].lower() == "sql":
+            return self._shared
+        session = rule_session(self._spark)
+        return session, self._load(session)
 
 
 def _execute(tables, rule, settings):
@@ -129,7 +143,7 @@ def _run_batch(spark, rules, settings, tables):
 
 def run_rule(spark, rule, settings):
     """One rule from start to ledger. ``rule`` is a dict of its columns and run id."""
-    return _run_batch(spark, [rule], settings, _Tables(spark, settings))[0]
+    return next(_run_batches(spark, iter([rule]), settings))
 
 
 def run_rules(spark, rules, settings):
@@ -138,38 +152,72 @@ def run_rules(spark, rules, settings):
     A rule that fails does not stop the others; a ledger that cannot be written does.
     Rules come to the driver a batch at a time, since each is a program to start.
     """
+    rows = rules.select(*RUNNABLE_RULE_SCHEMA.names).toLocalIterator()
+    return _run_batches(spark, (row.asDict() for row in rows), settings)
+
+
+def _run_batches(spark, rules, settings):
     tables = None
-    remaining = (row.asDict() for row in rules.select(*RUNNABLE_RULE_SCHEMA.names).toLocalIterator())
-    while batch := list(islice(remaining, settings.batch)):
-        tables = tables or _Tables(spark, settings)
-        yield from _run_batch(spark, batch, settings, tables)
+    try:
+        while batch := list(islice(rules, settings.batch)):
+            tables = tables or _Tables(spark, settings)
+            yield from _run_batch(spark, batch, settings, tables)
+    finally:
+        if tables:
+            tables.release()
+
+
+def by_latest_status(feed_map, resolve=None):
+    """Judge a run by the latest ledger row of each of its rules.
+
+    ``resolve`` may turn the waiting rules into rows of (rule_id, resolved), for
+    example with ``streaming.wait_for_exceptions``; otherwise their latest row decides.
+    """
+
+    def judge(rules, ledger, begun):
+        # Each rule has a row since the run began, so an older one is never its latest.
+        recent = ledger.where(F.col("created_dt").isNull() | (F.col("created_dt") >= F.lit(begun)))
+        categories = categorize(latest_status(recent, rules), feed_map)
+        if resolve is None:
+            return verdict(rules, categories)
+        categories = written(categories, "categories")
+        return verdict(rules, categories, resolve(waiting_rules(categories)))
+
+    return judge
+
+
+def by_approvals(approvals):
+    """Judge a run by the whole history of its approved rules."""
+    return lambda rules, ledger, begun: verdict_from_approvals(rules, approvals, ledger)
 
 
-def run(spark, catalog, feed_map, settings, module, stage, packages, feed_id=None, token=None, resolve=None):
+def run(spark, catalog, feed_map, settings, module, stage, packages, feed_id=None, unmapped="keep", judge=None,
+        token=None):
     """A whole run: choose the rules, run them, judge the ledger.
 
     Returns one row. No rules to run pass; a failed rule fails the run before the
-    ledger is judged. ``resolve`` may turn the waiting rules into rows of
-    (rule_id, resolved), for example with ``streaming.wait_for_exceptions``;
-    otherwise their latest row decides. An as-of date that is none raises; errors
-    after that fail the run, and are named in its row.
+    ledger is judged, by ``by_latest_status`` unless ``judge`` says otherwise. An
+    as-of date that is none raises; errors after that fail the run, and are named in
+    its row.
     """
     check_date(settings.as_of_date)
+    judge = judge or by_latest_status(feed_map)
+    begun = settings.clock()
     total = succeeded = 0
     error = None
     try:
-        rules = rules_for_packages(catalog, feed_map, module, stage, packages, feed_id)
-        rules = with_run_ids(rule_rows(rules), token, settings.clock())
+        rules = rules_for_packages(catalog, feed_map, module, stage, packages, feed_id, unmapped)
+        # Those that run are those that are judged, whatever happens to the catalog in between.
+        rules = written(with_run_ids(rule_rows(rules), token, begun), "chosen-rules")
         for outcome in run_rules(spark, rules, settings):
             total += 1
             succeeded += outcome.succeeded
         passes = total == succeeded
         if total and passes:
-            latest = latest_status(read_ledger(spark, settings.ledger), rules)
-            categories = categorize(latest, feed_map)
-            resolved = resolve(waiting_rules(categories)) if resolve else None
-            passes = verdict(rules, categories, resolved).first().passes
+            passes = judge(rules, read_ledger(spark, settings.ledger), begun).first().passes
     except Exception as failure:
         logger.exception("run failed")
         passes, error = False, str(failure)
-    return spark.createDataFrame([(total, succeeded, passes, exit_code(passes), error)], _SUMMARY_SCHEMA)
+    summary = {"rules": [total], "succeeded": [succeeded], "passes": [passes], "exit_code": [exit_code(passes)],
+               "error": [error]}
+    return spark.createDataFrame(pa.table(summary, _SUMMARY_ARROW))

@@ -53,3 +53,10 @@ def work_folder(spark, purpose):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="rulespark-")
     return f"{base.rstrip('/')}/rulespark/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(rows, purpose):
+    """The rows as a table in the shared folder: computed once, and as they are now."""
+    path = work_folder(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..model import SUCCESS, YES
 from ..operators.joins import KEY
+from ..session import written
 from .latest import latest_updates
 
 
@@ -81,7 +82,7 @@ def wait_for_exceptions(waiting, ledger, folder, checkpoint, timeout, every=60):
     exception on its latest row, and stays so. State is kept for waiting rules only.
     """
     spark = waiting.sparkSession
-    ids = waiting.select(KEY).distinct()
+    ids = written(waiting.select(KEY).distinct(), "waiting-rules")
     looks = []
 
     def save(updates, batch_id):

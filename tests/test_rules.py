@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from rows import RULE_TYPES, feed_map, program, rule
 
 from rulespark import find_table, operators as op
-from rulespark import plans, rule_session, sources
+from rulespark import plans, rule_session, sources, stream_session, streaming
 from rulespark.model import RUNNABLE_RULE_SCHEMA
 from rulespark.plans.run import RunSettings
 
@@ -201,11 +201,59 @@ def test_run_judges_the_latest_row_and_may_wait(spark, settings, write):
         asked.extend(row.rule_id for row in waiting.collect())
         return waiting.selectExpr("rule_id", "true AS resolved")
 
-    assert summary(spark, rules, settings, ["P"], mapped, resolve=resolve) == (1, 1, True, 0)
+    assert summary(spark, rules, settings, ["P"], mapped,
+                   judge=plans.by_latest_status(feed_map(spark, *mapped), resolve)) == (1, 1, True, 0)
     assert asked == ["a"]
     assert summary(spark, rules, settings, ["P"], []) == (1, 1, True, 0)      # nothing mapped: no wait
 
 
+def test_run_waits_for_exceptions_on_the_ledgers_own_stream(spark, settings, write, folder):
+    """While the run waits, an exception comes in for the rule that another writer failed."""
+    rules = catalog_of(spark, rule("a", program_type="SQL", program_code=write("r.sql", GOOD)))
+    rows = op.with_run_ids(op.rule_rows(rules), token="other").withColumn("succeeded", F.lit(False))
+    sources.append_status(op.final_rows(rows, datetime(2024, 2, 2)), settings.ledger)
+
+    def resolve(waiting):
+        excepted = op.final_rows(rows, datetime(2024, 2, 3)).withColumn("exception_applied", F.lit("Yes"))
+        sources.append_status(excepted, settings.ledger)
+        ledger = sources.ledger_stream(stream_session(spark), settings.ledger)
+        return streaming.wait_for_exceptions(waiting, ledger, folder("looks"), folder("state"), timedelta(minutes=2), 1)
+
+    mapped = feed_map(spark, ("a", "F1", "Yes"))
+    row = plans.run(spark, rules, mapped, settings, "M", "S", ["P"], judge=plans.by_latest_status(mapped, resolve)).first()
+    assert (row.passes, row.error) == (True, None)
+
+
+def test_run_judged_by_approvals(spark, settings, write):
+    rules = catalog_of(spark, rule("a", program_type="SQL", program_code=write("r.sql", GOOD)))
+    failed = op.with_run_ids(op.rule_rows(rules)).withColumn("succeeded", F.lit(False))
+    for day in (2, 3):
+        sources.append_status(op.final_rows(failed, datetime(2024, 2, day)), settings.ledger)
+
+    def approved(*names):
+        frame = spark.createDataFrame([(name, "Approved") for name in names], "rule_id string, approval_status string")
+        return plans.by_approvals(frame)
+
+    assert summary(spark, rules, settings, ["P"], judge=approved()) == (1, 1, True, 0)
+    assert summary(spark, rules, settings, ["P"], judge=approved("a")) == (1, 1, False, 100)
+
+
+def test_kept_tables_are_read_from_memory_and_released(spark, settings, write):
+    settings.persist = ("nation",)
+    seen = []
+
+    def look(session, rule_row, tables, as_of_date):
+        rows = session.sql("SELECT n_name AS HEADER_DATA, n_nationkey AS COL1, '' AS COL2, '' AS COL3 FROM nation")
+        seen.append("InMemoryTableScan" in rows._jdf.queryExecution().executedPlan().toString())
+        return rows
+
+    plans.register_program_type("look", look)
+    assert plans.run_rule(spark, program(spark, "R", "", program_type="Look"), settings).succeeded
+    settings.persist = ()
+    assert plans.run_rule(spark, program(spark, "R", "", program_type="Look"), settings).succeeded
+    assert seen == [True, False]
+
+
 def test_run_reports_errors_of_its_tables(spark, settings):
     broken = spark.sql("SELECT 1 AS rule_id")
     row = plans.run(spark, broken, broken, settings, "M", "S", ["P"]).first()
