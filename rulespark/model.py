@@ -26,7 +26,7 @@ STARTED, SUCCESS, FAILURE = "Started", "Success", "Failure"
 IN_PROGRESS, COMPLETED, FAILED = "In Progress", "Completed", "Failed"
 
 # Exit codes of a run.
-EXIT_PASS, EXIT_FAIL, EXIT_CRASH = 0, 100, 1
+EXIT_PASS, EXIT_FAIL = 0, 100
 
 
 def _strings(names):

@@ -4,7 +4,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from ..model import ACTIVE, EXIT_CRASH, EXIT_FAIL, EXIT_PASS, PASSIVE, SUCCESS, YES
+from ..model import ACTIVE, EXIT_FAIL, EXIT_PASS, PASSIVE, SUCCESS, YES
 from .joins import KEY, id_frame, lookup_join
 from .ledger import LATEST_COLUMNS, ledger_order
 from .selection import approved_rules, mapped_ids
@@ -101,14 +101,14 @@ def verdict(given, categories, resolved=None, group_by=()):
     )
 
 
-def exit_code(passes, crashed=False):
-    """Exit code of a run: a column for a column, a number for a boolean."""
-    if isinstance(passes, str):
-        passes = F.col(passes)
+def exit_code(passes):
+    """Exit code of a run that came to an end: a number for a boolean, else a column.
+
+    A run that raises needs none; Python itself ends with 1 then.
+    """
     if isinstance(passes, bool):
-        return EXIT_CRASH if crashed else EXIT_PASS if passes else EXIT_FAIL
-    code = F.when(passes, EXIT_PASS).otherwise(EXIT_FAIL)
-    return F.when(crashed, EXIT_CRASH).otherwise(code) if not isinstance(crashed, bool) else code
+        return EXIT_PASS if passes else EXIT_FAIL
+    return F.when(F.col(passes), EXIT_PASS).otherwise(EXIT_FAIL)
 
 
 # The earlier way to decide: approvals first, and the whole history instead of the latest row.
