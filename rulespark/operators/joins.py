@@ -27,6 +27,6 @@ def lookup_join(rows, lookup, how):
     Deriving the key again gives it one; the lookup is the smaller side. Spark still
     broadcasts it instead when its size is under the threshold.
     """
-    key = F.concat(F.col(KEY), F.lit("")).alias(KEY)
+    key = F.concat(F.col(KEY), F.lit("")).cast(lookup.schema[KEY].dataType).alias(KEY)
     rest = [name for name in lookup.columns if name != KEY]
     return rows.join(lookup.select(key, *rest), KEY, how)

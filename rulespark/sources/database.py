@@ -38,7 +38,11 @@ def read_database(spark, url, table, properties=None, partition_column=None, bou
 
 
 def write_database(df, url, table, properties=None, connections=16, batch_size=10_000):
-    """Append rows to a table over at most ``connections`` connections."""
+    """Append rows to a table over at most ``connections`` connections.
+
+    Each task commits its rows at once. A job that is run again appends them again, so
+    load a run's saved results, by their run id, and not the program's rows.
+    """
     (df.write.format("jdbc").mode("append")
        .options(url=url, dbtable=table, numPartitions=connections, batchsize=batch_size, **(properties or {}))
        .save())

@@ -54,8 +54,11 @@ def apply_dictionary(df, columns, on_bad_value="fail"):
     """
     if on_bad_value not in ("fail", "null"):
         raise ValueError("on_bad_value is 'fail' or 'null'")
+    entries = list(_cast_entries(df, columns))
+    if not entries:
+        return df
     expressions = {name: F.col(_quoted(name)) for name in df.columns}
-    for name, type_name in _cast_entries(df, columns):
+    for name, type_name in entries:
         source = expressions[name]
         expressions[name] = source.try_cast(type_name) if on_bad_value == "null" else source.cast(type_name)
     return df.select([expression.alias(name) for name, expression in expressions.items()])
