@@ -7,7 +7,7 @@ from .programs import (
     run_python_rule,
     run_sql_rule,
 )
-from .run import Outcome, RunSettings, by_approvals, by_latest_status, run, run_rule, run_rules, stamp_results
+from .runs import Outcome, RunSettings, by_approvals, by_latest_status, run, run_rule, run_rules, stamp_results
 
 __all__ = [
     "Outcome", "RunSettings", "by_approvals", "by_latest_status", "handler_for", "program_types", "python_rule", "register_program_type",

@@ -152,7 +152,7 @@ def run_rules(spark, rules, settings):
     A rule that fails does not stop the others; a ledger that cannot be written does.
     Rules come to the driver a batch at a time, since each is a program to start.
     """
-    rows = rules.select(*RUNNABLE_RULE_SCHEMA.names).toLocalIterator()
+    rows = rules.select(*RUNNABLE_RULE_SCHEMA.names).toLocalIterator(prefetchPartitions=True)
     return _run_batches(spark, (row.asDict() for row in rows), settings)
 
 

@@ -1,6 +1,7 @@
 """File sources and the dictionary's casts."""
 
 import warnings
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -79,12 +80,12 @@ def count_bad_values(df, columns):
 def load_tables(spark, data_config, dictionary, on_bad_value="fail", schemas=None):
     """Every configured table as a lazy DataFrame, by logical name.
 
-    ``schemas`` may hold schemas as read, from ``read_schemas``.
+    ``schemas`` may hold what ``read_schemas`` found.
     """
     tables = {}
     for table in data_config.get("tables", []):
         name = table["logicalName"]
-        read = read_table(spark, table_format(table), table["path"], (schemas or {}).get(name))
+        read = read_table(spark, table_format(table), table["path"], (schemas or {}).get(table["path"]))
         tables[name] = apply_dictionary(read, table_columns(dictionary, name), on_bad_value)
     return tables
 
@@ -93,9 +94,15 @@ def load_tables(spark, data_config, dictionary, on_bad_value="fail", schemas=Non
 _GIVEN_SCHEMA = {"PARQUET", "CSV", "ORC", "JSON"}
 
 
-def read_schemas(spark, data_config):
-    """The schemas of the configured tables, for loading them again elsewhere."""
-    return {
-        table["logicalName"]: read_table(spark, table_format(table), table["path"]).schema
-        for table in data_config.get("tables", []) if table_format(table) in _GIVEN_SCHEMA
-    }
+def read_schemas(spark, data_config, parallel=8):
+    """The schemas of the configured tables by path, for loading them again elsewhere.
+
+    Each takes a small job over the table's files; ``parallel`` of them run at a time.
+    """
+    tables = [table for table in data_config.get("tables", []) if table_format(table) in _GIVEN_SCHEMA]
+
+    def schema(table):
+        return read_table(spark, table_format(table), table["path"]).schema
+
+    with ThreadPoolExecutor(parallel) as pool:
+        return dict(zip((table["path"] for table in tables), pool.map(schema, tables)))

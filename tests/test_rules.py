@@ -8,7 +8,7 @@ from rows import RULE_TYPES, feed_map, program, rule
 from rulespark import find_table, operators as op
 from rulespark import plans, rule_session, sources, stream_session, streaming
 from rulespark.model import RUNNABLE_RULE_SCHEMA
-from rulespark.plans.run import RunSettings
+from rulespark.plans import RunSettings
 
 NATION = "/root/testdata/sf0.001/nation.parquet"
 CONFIG = {"tables": [{"logicalName": "nation", "path": NATION, "kind": {"RAW": "parquet"}}]}
