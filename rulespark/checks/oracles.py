@@ -195,14 +195,14 @@ def _texts():
         "f11_run": f"""SELECT 'ours' AS package, 8 AS rules, 8 AS succeeded, true AS passes, 0 AS exit_code,
             {total} AS result_rows, 0 AS failures
             UNION ALL SELECT 'theirs', 2, 1, false, 100, {debts}, 1
-            UNION ALL SELECT 'nobody''s', 0, 0, true, 0, NULL, NULL""",
+            UNION ALL SELECT 'nobody''s', 0, 0, true, 0, 0, 0""",
         "g1_case": "SELECT p_partkey, upper(p_name) AS upper_name, lower(p_brand) AS lower_brand FROM part",
         "g2_replace": "SELECT doc_id, replace(text, 'a', '${b}') AS replaced FROM documents",
         "g5_dates": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS as_text,
             CAST(o_orderdate AS DATE) AS as_date, CAST(CAST(o_orderdate AS DATE) AS STRING) AS cast_text FROM orders""",
         "g7_arithmetic": """SELECT l_orderkey, l_orderkey + l_partkey AS added, l_orderkey - l_suppkey AS subtracted,
             l_partkey * l_suppkey AS multiplied,
-            CASE WHEN l_partkey <= 807 THEN 9223372036854775000 + l_partkey END AS added_or_null FROM lineitem""",
+            CASE WHEN l_partkey <= 807 THEN CAST(9223372036854775000 + l_partkey AS STRING) END AS added_or_null FROM lineitem""",
     }
     texts["f6_stream"] = texts["f6_exceptions_in_time"]
     texts |= {f"c1_{name}": rule_sql(name) for name in q.SQL_RULES}

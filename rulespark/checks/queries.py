@@ -436,9 +436,10 @@ def f11_run(spark, sf_dir):
     saved = spark.read.parquet(f"{settings.results}/*/*").groupBy(F.col("RULE_RUN_ID").alias("rule_run_id")).agg(
         F.count(F.lit(1)).alias("result_rows"))
     per_package = ledger.where(F.col("workflow_status") != "In Progress").join(saved, "rule_run_id", "left").groupBy(
-        "package").agg(F.coalesce(F.sum("result_rows"), F.lit(0)).alias("result_rows"),
+        "package").agg(F.sum("result_rows").alias("result_rows"),
                        F.count_if(F.col("rule_execution_status") == FAILURE).alias("failures"))
-    return runs.join(per_package, "package", "left")
+    counts = [F.coalesce(name, F.lit(0)).alias(name) for name in ("result_rows", "failures")]
+    return runs.join(per_package, "package", "left").select(*runs.columns, *counts)
 
 
 @plans.python_rule("rulespark.bad_cast")
@@ -480,7 +481,7 @@ def g7_arithmetic(spark, sf_dir):
         fn.add("l_orderkey", "l_partkey").alias("added"),
         fn.subtract("l_orderkey", "l_suppkey").alias("subtracted"),
         fn.multiply("l_partkey", "l_suppkey").alias("multiplied"),
-        fn.add("huge", "l_partkey", on_overflow="null").alias("added_or_null"),
+        fn.add("huge", "l_partkey", on_overflow="null").cast("string").alias("added_or_null"),
     )
 
 

@@ -48,7 +48,7 @@ def check_date(as_of_date):
 
 def program_text(session, path):
     """A program's text, from a path of this machine or of any file system Spark knows."""
-    if "://" not in path:
+    if not re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*:/", path):
         with open(path, encoding="utf-8") as source:
             return source.read()
     return session.read.text(path, wholetext=True).first().value

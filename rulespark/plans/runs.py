@@ -1,8 +1,9 @@
 """Running rules: one, a set of them, and a whole run with its verdict."""
 
 import logging
+import time
 from collections import namedtuple
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from datetime import datetime
 from itertools import islice
@@ -44,7 +45,8 @@ class RunSettings:
 
     ``results`` and ``ledger`` are folders on a file system that all executors reach.
     ``parallel`` rules have Spark jobs at a time. ``batch`` rules get their ledger
-    rows in one write, so that a long run does not leave a file per row. Each rule has
+    rows in one write, so that a long run does not leave a file per row; an ended rule
+    waits for the others no longer than about ``flush_seconds``. Each rule has
     a session of its own; with ``share_session`` the SQL rules use one together, so
     that tables of very many files are listed once. The tables named in ``persist``
     are kept by the executors for as long as the rules run; worth it for a table that
@@ -59,6 +61,7 @@ class RunSettings:
     on_bad_value: str = "fail"
     parallel: int = 5
     batch: int = 100
+    flush_seconds: float = 60
     share_session: bool = False
     persist: tuple = ()
     clock: callable = field(default=datetime.now)
@@ -76,20 +79,23 @@ def stamp_results(rows, run_id, rule_id):
 class _Tables:
     """The configured tables, for one rule after the other.
 
-    Their schemas are read once. If that fails, each rule finds out by itself, and
-    fails.
+    Their schemas are read once, ahead of the rules. If that or what builds on it
+    fails, each rule finds out by itself, and fails.
     """
 
     def __init__(self, spark, settings):
-        self._spark, self._settings, self._schemas = spark, settings, {}
+        self._spark, self._settings = spark, settings
+        self._schemas, self._shared, self._kept = {}, None, []
         try:
             self._schemas = read_schemas(spark, settings.data_config)
+            if settings.share_session:
+                session = rule_session(spark)
+                self._shared = session, self._load(session)
+            if settings.persist:
+                loaded = self._load(spark)
+                self._kept = [loaded[name].persist() for name in settings.persist]
         except Exception as error:
-            logger.warning("schemas not read ahead: %s", error)
-        session = rule_session(spark) if settings.share_session else None
-        self._shared = (session, self._load(session)) if session else None
-        kept = self._load(spark) if settings.persist else {}
-        self._kept = [kept[name].persist() for name in settings.persist]
+            logger.warning("tables not prepared: %s", error)
 
     def _load(self, session):
         settings = self._settings
@@ -131,19 +137,9 @@ def _record(spark, rows, make, settings):
     append_status(make(frame, settings.clock()).coalesce(1), settings.ledger)
 
 
-def _run_batch(spark, rules, settings, tables):
-    _record(spark, rules, started_rows, settings)
-    execute = inheritable_thread_target(spark)(_execute)
-    with ThreadPoolExecutor(settings.parallel) as pool:
-        outcomes = list(pool.map(lambda rule: execute(tables, rule, settings), rules))
-    finished = [rule | {"succeeded": outcome.succeeded} for rule, outcome in zip(rules, outcomes)]
-    _record(spark, finished, final_rows, settings)
-    return outcomes
-
-
 def run_rule(spark, rule, settings):
     """One rule from start to ledger. ``rule`` is a dict of its columns and run id."""
-    return next(_run_batches(spark, iter([rule]), settings))
+    return next(_run_all(spark, iter([rule]), settings))
 
 
 def run_rules(spark, rules, settings):
@@ -153,16 +149,32 @@ def run_rules(spark, rules, settings):
     Rules come to the driver a batch at a time, since each is a program to start.
     """
     rows = rules.select(*RUNNABLE_RULE_SCHEMA.names).toLocalIterator(prefetchPartitions=True)
-    return _run_batches(spark, (row.asDict() for row in rows), settings)
+    return _run_all(spark, (row.asDict() for row in rows), settings)
 
 
-def _run_batches(spark, rules, settings):
-    tables = None
+def _run_all(spark, rules, settings):
+    """Start rules as others end, and write ledger rows for many at a time."""
+    execute = inheritable_thread_target(spark)(_execute)
+    pool, tables = ThreadPoolExecutor(settings.parallel), None
+    running, ended, written_at = {}, [], time.monotonic()
     try:
-        while batch := list(islice(rules, settings.batch)):
-            tables = tables or _Tables(spark, settings)
-            yield from _run_batch(spark, batch, settings, tables)
+        while True:
+            if len(running) < settings.parallel and (batch := list(islice(rules, settings.batch))):
+                tables = tables or _Tables(spark, settings)
+                _record(spark, batch, started_rows, settings)
+                running |= {pool.submit(execute, tables, rule, settings): rule for rule in batch}
+            if not running:
+                return
+            for future in wait(running, max(1, settings.flush_seconds), FIRST_COMPLETED).done:
+                outcome = future.result()
+                ended.append((outcome, running.pop(future) | {"succeeded": outcome.succeeded}))
+            due = time.monotonic() - written_at > settings.flush_seconds
+            if ended and (due or not running or len(ended) >= settings.batch):
+                _record(spark, [row for _, row in ended], final_rows, settings)
+                yield from (outcome for outcome, _ in ended)
+                ended, written_at = [], time.monotonic()
     finally:
+        pool.shutdown(cancel_futures=True)
         if tables:
             tables.release()
 

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -146,12 +147,36 @@ def test_failures_of_all_kinds_stop_no_other_rule(spark, settings, write, share)
     assert "Started" not in {row.rule_execution_status for row in latest}
 
 
-def test_missing_table_is_each_rules_failure(spark, settings, write):
+@pytest.mark.parametrize("prepared", [{}, {"share_session": True}, {"persist": ("t",)}])
+def test_missing_table_is_each_rules_failure(spark, settings, write, prepared):
+    for name, value in prepared.items():
+        setattr(settings, name, value)
     settings.data_config = {"tables": [{"logicalName": "t", "path": "/nowhere", "kind": {}}]}
     outcome = plans.run_rule(spark, program(spark, "R", write("r.sql", GOOD)), settings)
     assert not outcome.succeeded and "PATH_NOT_FOUND" in outcome.error
 
 
+def test_slow_rule_holds_up_no_other(spark, settings, write):
+    """Two of three slots go on while a rule sleeps; ended rules are in the ledger meanwhile."""
+    settings.flush_seconds = 0
+    seen = []
+
+    @plans.python_rule("test.slow")
+    def slow(spark, dataframes, as_of_date, rule_id):
+        deadline = time.monotonic() + 60
+        while len(seen) < 5 and time.monotonic() < deadline:
+            time.sleep(0.2)
+        return spark.sql("SELECT '' HEADER_DATA, '' COL1, '' COL2, '' COL3")
+
+    rules = [program(spark, "slow", "test.slow", program_type="python")]
+    rules += [program(spark, f"quick{n}", write("q.sql", GOOD)) for n in range(5)]
+    frame = spark.createDataFrame([tuple(row.values()) for row in rules], RUNNABLE_RULE_SCHEMA).coalesce(1)
+    for outcome in plans.run_rules(spark, frame, settings):
+        seen.append(outcome.rule_id)
+    assert len(seen) == 6 and seen[-1] == "slow"
+    assert len(ledger_states(spark, settings)) == 12
+
+
 def test_ledger_that_cannot_be_written_stops_the_run(spark, settings, write, tmp_path):
     settings.ledger = write("file", "not a folder") + "/ledger"
     with pytest.raises(Exception):
