@@ -139,12 +139,14 @@ def _record(spark, rows, make, settings):
 
 def run_rule(spark, rule, settings):
     """One rule from start to ledger. ``rule`` is a dict of its columns and run id."""
-    return next(_run_all(spark, iter([rule]), settings))
+    [outcome] = _run_all(spark, iter([rule]), settings)
+    return outcome
 
 
 def run_rules(spark, rules, settings):
     """Run every rule of a DataFrame with ``rule_run_id``; yield each outcome.
 
+    They run while the outcomes are taken, up to the last one.
     A rule that fails does not stop the others; a ledger that cannot be written does.
     Rules come to the driver a batch at a time, since each is a program to start.
     """
@@ -188,7 +190,7 @@ def by_latest_status(feed_map, resolve=None):
 
     def judge(rules, ledger, begun):
         # Each rule has a row since the run began, so an older one is never its latest.
-        recent = ledger.where(F.col("created_dt").isNull() | (F.col("created_dt") >= F.lit(begun)))
+        recent = read_ledger(rules.sparkSession, ledger, since=begun)
         categories = categorize(latest_status(recent, rules), feed_map)
         if resolve is None:
             return verdict(rules, categories)
@@ -200,7 +202,11 @@ def by_latest_status(feed_map, resolve=None):
 
 def by_approvals(approvals):
     """Judge a run by the whole history of its approved rules."""
-    return lambda rules, ledger, begun: verdict_from_approvals(rules, approvals, ledger)
+
+    def judge(rules, ledger, begun):
+        return verdict_from_approvals(rules, approvals, read_ledger(rules.sparkSession, ledger))
+
+    return judge
 
 
 def run(spark, catalog, feed_map, settings, module, stage, packages, feed_id=None, unmapped="keep", judge=None,
@@ -208,7 +214,8 @@ def run(spark, catalog, feed_map, settings, module, stage, packages, feed_id=Non
     """A whole run: choose the rules, run them, judge the ledger.
 
     Returns one row. No rules to run pass; a failed rule fails the run before the
-    ledger is judged, by ``by_latest_status`` unless ``judge`` says otherwise. An
+    ledger is judged, by ``by_latest_status`` unless ``judge(rules, ledger, begun)``
+    says otherwise, from the ledger's folder and the time the run began. An
     as-of date that is none raises; errors after that fail the run, and are named in
     its row.
     """
@@ -226,7 +233,7 @@ def run(spark, catalog, feed_map, settings, module, stage, packages, feed_id=Non
             succeeded += outcome.succeeded
         passes = total == succeeded
         if total and passes:
-            passes = judge(rules, read_ledger(spark, settings.ledger), begun).first().passes
+            passes = judge(rules, settings.ledger, begun).first().passes
     except Exception as failure:
         logger.exception("run failed")
         passes, error = False, str(failure)

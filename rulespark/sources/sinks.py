@@ -1,10 +1,14 @@
 """Result files and the status ledger's files."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from ..model import LEDGER_SCHEMA, RESULT_COLUMNS, RESULT_DATA_COLUMNS, RESULT_SCHEMA
 
+LEDGER_DAY = "created_day"
+
 
 def result_path(base, rule_id, run_id):
     for part in (rule_id, run_id):
@@ -29,21 +33,30 @@ def read_results(spark, paths):
 
 
 def append_status(rows, path):
-    """Append ledger rows, a folder per execution date."""
-    rows.select(*LEDGER_SCHEMA.names).write.mode("append").partitionBy("execution_date").parquet(path)
+    """Append ledger rows, a folder per day (in UTC) of their time."""
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("created_dt") / 86400).cast("int"))
+    rows = rows.select(*LEDGER_SCHEMA.names, day.alias(LEDGER_DAY))
+    rows.write.mode("append").partitionBy(LEDGER_DAY).parquet(path)
+
+
+def read_ledger(spark, path, since=None):
+    """The ledger; or what has no time, or one from ``since`` on, without opening older folders."""
+    rows = spark.read.schema(StructType([*LEDGER_SCHEMA, StructField(LEDGER_DAY, DateType())])).parquet(path)
+    if since is not None:
+        recent_day = F.col(LEDGER_DAY).isNull() | (F.col(LEDGER_DAY) >= F.lit(_utc_day(since)))
+        recent = F.col("created_dt").isNull() | (F.col("created_dt") >= F.lit(since))
+        rows = rows.where(recent_day & recent)
+    return rows.select(*LEDGER_SCHEMA.names)
 
 
-def read_ledger(spark, path):
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path).select(*LEDGER_SCHEMA.names)
+def ledger_stream(spark, path, day=None):
+    """Ledger rows as they are appended; those of one day (in UTC) only, if given."""
+    folder = f"{path}/{LEDGER_DAY}={day}" if day else path
+    return spark.readStream.schema(LEDGER_SCHEMA).parquet(folder)
 
 
-def ledger_stream(spark, path, execution_date=None):
-    """Ledger rows as they are appended; those of one date only, if given."""
-    if execution_date is None:
-        return spark.readStream.schema(LEDGER_SCHEMA).parquet(path)
-    stored = [field for field in LEDGER_SCHEMA if field.name != "execution_date"]
-    rows = spark.readStream.schema(StructType(stored)).parquet(f"{path}/execution_date={execution_date}")
-    return rows.withColumn("execution_date", F.lit(execution_date)).select(*LEDGER_SCHEMA.names)
+def _utc_day(moment):
+    return datetime.fromtimestamp(moment.timestamp(), timezone.utc).date()
 
 
 def result_rows(entries):

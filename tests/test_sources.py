@@ -1,4 +1,5 @@
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rulespark import find_table, read_config, table_columns, table_format, work_folder
 from rulespark import sources
+from rulespark.model import STATUS_COLUMNS
 
 
 def test_format_defaults_to_parquet_and_is_upper_cased():
@@ -177,3 +179,17 @@ def test_result_rows_from_maps(spark, folder):
 def test_shared_folder_comes_from_the_session(spark):
     assert work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert work_folder(spark, "x") != work_folder(spark, "x")
+
+
+def test_ledger_is_read_from_a_time_on(spark, folder):
+    path = folder("ledger")
+    times = [datetime(2024, 3, 1, 23, 59), datetime(2024, 3, 2), datetime(2024, 3, 2, 12), datetime(2024, 3, 5), None]
+    rows = spark.createDataFrame([(str(n), time) for n, time in enumerate(times)], "rule_id string, created_dt timestamp")
+    others = [F.lit("").alias(name) for name in STATUS_COLUMNS if name != "rule_id"]
+    sources.append_status(rows.select("*", *others), path)
+    assert sources.read_ledger(spark, path).count() == 5
+    recent = sources.read_ledger(spark, path, since=datetime(2024, 3, 2, 0, 0, 1))
+    assert sorted(row.rule_id for row in recent.collect()) == ["2", "3", "4"]
+    scan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(created_day" in scan
+    assert sources.read_ledger(spark, path).schema == recent.schema
