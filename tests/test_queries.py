@@ -5,8 +5,9 @@ from compare import connect, oracle_rows, spark_rows
 from conftest import SF_DIR
 
 import __spark_entry__ as entry_points
+from rulespark.checks import oracles, queries
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = queries.all_queries(), oracles.all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def database():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
