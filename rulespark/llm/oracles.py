@@ -117,7 +117,26 @@ WITH split AS (
 )
 SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM judged"""
 
+#: A line's key: stripped, A to Z in lower case.
+_KEY = _LOWER.format("trim({line}, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13)))")
+
+LINE_DEDUP = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), split AS (
+  SELECT rid, line, pos, {_KEY.format(line="line")} AS key
+  FROM (SELECT rid, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM docs)
+), frequent AS (
+  SELECT key FROM split WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT rid) >= 10
+), kept AS (
+  SELECT rid, count(*) AS n, string_agg(line, chr(10) ORDER BY pos) AS body
+  FROM split WHERE key NOT IN (SELECT key FROM frequent) GROUP BY rid
+)
+SELECT doc_id, len(lines) AS n_lines, len(lines) - coalesce(n, 0) AS n_dropped, sha256(coalesce(body, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (rid)"""
+
 ORACLES = {
+    "op2_line_dedup": LINE_DEDUP,
     "op1_url_filters": URL_FILTERS, "op5_decontamination": DECONTAMINATION, "op7_mixing": mixing("documents"),
     "op8_quality_rules": QUALITY,
 }

@@ -2,12 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality, token_counts, url_filter
+from . import decontaminate, line_dedup, mixing, pii, quality, token_counts, url_filter, warc
 
 URL_RULES = """
 SELECT * FROM VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
   ('org', '/fr/', 'allow') AS rules(host, path, action)"""
 
+#: For the checks only: what is drawn with it can be drawn again by anyone who has it.
+SURROGATE_KEY = b"key of the checks"
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
@@ -19,6 +21,19 @@ def op1_url_filters(spark, sf_dir):
     return url_filter.judge(_table(spark, sf_dir, "pages"), spark.sql(URL_RULES))
 
 
+def op2_line_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    rows = line_dedup.without_frequent(docs, line_dedup.built(docs))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_warc(spark, sf_dir):
+    archives = warc.write(_table(spark, sf_dir, "pages"))
+    records = warc.read(archives, warc.index_of(spark, archives), with_payload=False)
+    return warc.resolved(records).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "intact")
+
+
 def op5_decontamination(spark, sf_dir):
     found = decontaminate.scanned(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     found = decontaminate.hits(found)
@@ -27,6 +42,11 @@ def op5_decontamination(spark, sf_dir):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_pii(spark, sf_dir):
+    rows = pii.replaced(_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return rows.select("doc_id", F.size("entities").cast("long").alias("n_entities"), "text", "entities")
+
+
 def op7_mixing(spark, sf_dir):
     rows = mixing.mixed(_table(spark, sf_dir, "documents"))
     return rows.select(F.col("row.doc_id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
@@ -46,5 +66,8 @@ def op9_token_counts(spark, sf_dir):
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_url_filters, op5_decontamination, op7_mixing, op8_quality_rules, op9_token_counts)
+    for query in (
+        op1_url_filters, op2_line_dedup, op4_warc, op5_decontamination, op6_pii, op7_mixing, op8_quality_rules,
+        op9_token_counts,
+    )
 }
