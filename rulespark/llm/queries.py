@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, pii, quality, token_counts, url_filter, warc
+from . import decontaminate, line_dedup, mixing, ngram_join, pii, quality, token_counts, url_filter, warc
 
 URL_RULES = """
 SELECT * FROM VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
@@ -27,6 +27,11 @@ def op2_line_dedup(spark, sf_dir):
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_ngram_join(spark, sf_dir):
+    rows = ngram_join.memberships(ngram_join.joined(_table(spark, sf_dir, "documents")))
+    return rows.select(F.col("id").alias("doc_id"), "class_id", "n_links")
+
+
 def op4_warc(spark, sf_dir):
     archives = warc.write(_table(spark, sf_dir, "pages"))
     records = warc.read(archives, warc.index_of(spark, archives), with_payload=False)
@@ -67,7 +72,7 @@ def op9_token_counts(spark, sf_dir):
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_url_filters, op2_line_dedup, op4_warc, op5_decontamination, op6_pii, op7_mixing, op8_quality_rules,
+        op1_url_filters, op2_line_dedup, op3_ngram_join, op4_warc, op5_decontamination, op6_pii, op7_mixing, op8_quality_rules,
         op9_token_counts,
     )
 }
