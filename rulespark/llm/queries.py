@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, ngram_join, pii, quality, token_counts, url_filter, warc
+from . import decontaminate, line_dedup, mixing, ngram_join, pii, quality, suffix_dedup, token_counts, url_filter, warc
 
 URL_RULES = """
 SELECT * FROM VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
@@ -69,10 +69,16 @@ def op9_token_counts(spark, sf_dir):
     return token_counts.answers(token_counts.histogram(_table(spark, sf_dir, "documents"), length))
 
 
+def op10_suffix_dedup(spark, sf_dir):
+    rows = suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_url_filters, op2_line_dedup, op3_ngram_join, op4_warc, op5_decontamination, op6_pii, op7_mixing, op8_quality_rules,
-        op9_token_counts,
+        op9_token_counts, op10_suffix_dedup,
     )
 }
