@@ -173,5 +173,9 @@ def located(found: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text="text", **options) -> DataFrame:
     """The documents without any hit, with all their columns, whatever these are called."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("body"))
-    return scanned(rows, benchmark, "body", carry=("row",), **options).where(F.size("spans") == 0).select("row.*")
+    others = [name for name in docs.columns if name != text]
+    plain = docs.select(F.col(text).alias("own_text"), *(F.col(name).alias(f"own_{place}") for place, name in enumerate(others)))
+    carry = [name for name in plain.columns if name != "own_text"]
+    rows = scanned(plain, benchmark, "own_text", carry=carry, **options).where(F.size("spans") == 0)
+    names = dict(zip(others, carry)) | {text: "body"}
+    return rows.select(*(F.col(names[name]).alias(name) for name in docs.columns))

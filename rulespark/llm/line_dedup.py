@@ -229,3 +229,14 @@ def without_frequent(docs: DataFrame, index: LineIndex, carry=("doc_id",), doc_i
         *fields, StructField("body", BinaryType()), StructField("n_lines", LongType()), StructField("n_dropped", LongType())]))
     names = [F.col(f"kept_{place}").alias(name) for place, name in enumerate(carry)]
     return rows.select(*names, F.col("body").cast("string").alias("kept"), "n_lines", "n_dropped")
+
+
+def deduplicated(docs: DataFrame, index: LineIndex, doc_id="doc_id", text="text") -> DataFrame:
+    """The documents without their frequent lines, with all their columns."""
+    others = [name for name in docs.columns if name != text]
+    plain = docs.select(F.col(doc_id).alias("own_doc"), F.col(text).alias("own_text"),
+                        *(F.col(name).alias(f"own_{place}") for place, name in enumerate(others)))
+    carry = [name for name in plain.columns if name not in ("own_doc", "own_text")]
+    rows = without_frequent(plain, index, carry, "own_doc", "own_text")
+    names = dict(zip(others, carry)) | {text: "kept"}
+    return rows.select(*(F.col(names[name]).alias(name) for name in docs.columns))
