@@ -118,7 +118,9 @@ def changed(index: LineIndex, docs: DataFrame, sign=1, text="text") -> LineIndex
     keys = spark.read.parquet(counts).where(enters != was).select(
         _shard(index.shards).alias("shard"), F.lit(None).cast("binary").alias("filter"), "high", "low", enters.alias("enters"))
     if index.filters:
-        held = spark.read.parquet(index.filters)
+        # no null among the hashes: pandas would turn the column into floats
+        zero = F.lit(0).cast("long")
+        held = spark.read.parquet(index.filters).withColumns({"high": zero, "low": zero})
         keys = keys.unionByName(held, allowMissingColumns=True)
     keys.groupBy("shard").applyInPandas(_changed_filter, "shard int, filter binary").write.parquet(filters)
     return index._replace(counts=counts, filters=filters)
