@@ -70,7 +70,9 @@ def runs_of(data, valid, length):
         at = place[first]
         whole = (sums[last + length] - sums[first]) * inverse[first]
         shape = (last - first).astype(np.uint64) * np.uint64(1 << 20) + (at - first).astype(np.uint64)
-        found.append((first + begin, last - first + 1, seeds[at], mixed(whole ^ mixed(shape + np.uint64(1)))))
+        # least hashes are all small: spread them again, as parts are dealt by their leading bits
+        anchors = mixed(seeds[at] ^ np.uint64(_BASE))
+        found.append((first + begin, last - first + 1, anchors, mixed(whole ^ mixed(shape + np.uint64(1)))))
     if not found:
         return Runs(*(np.zeros(0, kind) for kind in ("i8", "i8", "u8", "u8")))
     return Runs(*(np.concatenate(parts) for parts in zip(*found)))
