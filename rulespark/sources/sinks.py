@@ -1,13 +1,15 @@
 """Result files and the status ledger's files."""
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ..model import LEDGER_SCHEMA, RESULT_COLUMNS, RESULT_DATA_COLUMNS, RESULT_SCHEMA
 
-LEDGER_DAY = "created_day"
+LEDGER_DAY, APPEND = "created_day", "append"
+_STORED = StructType([*LEDGER_SCHEMA, StructField(APPEND, StringType()), StructField(LEDGER_DAY, DateType())])
 
 
 def result_path(base, rule_id, run_id):
@@ -29,19 +31,40 @@ def read_results(spark, paths):
     paths = list(paths)
     if not paths:
         return spark.createDataFrame([], RESULT_SCHEMA)
-    return spark.read.schema(RESULT_SCHEMA).parquet(*paths)
+    return spark.read.schema(RESULT_SCHEMA).parquet(*paths).select(*RESULT_SCHEMA.names)
+
+
+def _own_folder(path):
+    """A folder that no other append writes to, whose name is a partition of the whole.
+
+    Writers to one folder share its temporary files, and the first to end takes or
+    drops those of the others; so every append is a write of its own.
+    """
+    return f"{path.rstrip('/')}/{APPEND}={uuid.uuid4().hex}"
 
 
 def append_status(rows, path):
-    """Append ledger rows, a folder per day (in UTC) of their time."""
+    """Append ledger rows, a folder per day (in UTC) of their time, safe from other appends."""
     day = F.date_from_unix_date(F.floor(F.unix_seconds("created_dt") / 86400).cast("int"))
     rows = rows.select(*LEDGER_SCHEMA.names, day.alias(LEDGER_DAY))
-    rows.write.mode("append").partitionBy(LEDGER_DAY).parquet(path)
+    rows.write.partitionBy(LEDGER_DAY).parquet(_own_folder(path))
 
 
 def read_ledger(spark, path, since=None):
     """The ledger; or what has no time, or one from ``since`` on, without opening older folders."""
-    rows = spark.read.schema(StructType([*LEDGER_SCHEMA, StructField(LEDGER_DAY, DateType())])).parquet(path)
+    return _recent(spark.read.schema(_STORED).parquet(path), since)
+
+
+def ledger_stream(spark, path, since=None, files_per_look=1000):
+    """Ledger rows as they are appended; undated ones and those from ``since`` on, if given.
+
+    Each micro-batch takes at most ``files_per_look`` new files, and opens none of older days.
+    """
+    rows = spark.readStream.schema(_STORED).option("maxFilesPerTrigger", files_per_look).parquet(path)
+    return _recent(rows, since)
+
+
+def _recent(rows, since):
     if since is not None:
         recent_day = F.col(LEDGER_DAY).isNull() | (F.col(LEDGER_DAY) >= F.lit(_utc_day(since)))
         recent = F.col("created_dt").isNull() | (F.col("created_dt") >= F.lit(since))
@@ -49,10 +72,15 @@ def read_ledger(spark, path, since=None):
     return rows.select(*LEDGER_SCHEMA.names)
 
 
-def ledger_stream(spark, path, day=None):
-    """Ledger rows as they are appended; those of one day (in UTC) only, if given."""
-    folder = f"{path}/{LEDGER_DAY}={day}" if day else path
-    return spark.readStream.schema(LEDGER_SCHEMA).parquet(folder)
+def compact_ledger(spark, path, into):
+    """Write the whole ledger to a new folder as one append, a file or few per day.
+
+    Nothing is taken away: readers and writers go over to the new folder when none of
+    them is at work, and the old one may go then.
+    """
+    rows = read_ledger(spark, path)
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("created_dt") / 86400).cast("int"))
+    append_status(rows.withColumn(LEDGER_DAY, day).hint("rebalance", LEDGER_DAY), into)
 
 
 def _utc_day(moment):
@@ -74,4 +102,5 @@ def result_rows(entries):
 
 
 def append_results(entries, path):
-    result_rows(entries).write.mode("append").parquet(path)
+    """Append result rows, safe from other appends to the same folder."""
+    result_rows(entries).write.parquet(_own_folder(path))

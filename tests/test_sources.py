@@ -120,7 +120,8 @@ def test_known_schemas_give_the_same_tables(spark, folder):
     path = folder("csv")
     spark.range(5).select(F.col("id").cast("string"), F.lit("x").alias("v")).write.option("header", True).csv(path)
     config = {"tables": [{"logicalName": "t", "path": path, "kind": {"RAW": "csv"}}]}
-    known = sources.read_schemas(spark, config)
+    known = {}
+    sources.load_tables(spark, config, {}, schemas=known)
     first, second = (sources.load_tables(spark, config, {}, schemas=schemas)["t"] for schemas in (None, known))
     assert first.schema == second.schema
     assert sorted(first.collect()) == sorted(second.collect())
@@ -193,3 +194,29 @@ def test_ledger_is_read_from_a_time_on(spark, folder):
     scan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [(isnull(created_day" in scan
     assert sources.read_ledger(spark, path).schema == recent.schema
+
+
+def test_appends_at_once(spark, folder):
+    """Overlapping appends keep all rows, and a compacted ledger has them too."""
+    from concurrent.futures import ThreadPoolExecutor
+    from datetime import datetime
+
+    from rulespark import operators as op
+    from rulespark.model import LEDGER_SCHEMA
+
+    path, compacted = folder("ledger"), folder("compacted")
+    others = {name: F.lit("") for name in LEDGER_SCHEMA.names if name not in ("rule_id", "rule_run_id", "created_dt")}
+
+    def append(number):
+        for part in range(6):
+            rows = spark.range(50).select(F.lit(str(number)).alias("rule_id"), F.concat(F.lit(f"{part}_"), "id").alias("rule_run_id"))
+            sources.append_status(rows.withColumns(others).withColumn("created_dt", F.lit(datetime(2024, 1, 1 + part))), path)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(append, range(4)))
+    ledger = sources.read_ledger(spark, path)
+    assert ledger.select("rule_id", "rule_run_id").distinct().count() == ledger.count() == 4 * 6 * 50
+    assert sources.read_ledger(spark, path, datetime(2024, 1, 5)).count() == 4 * 2 * 50
+    sources.compact_ledger(spark, path, compacted)
+    assert sorted(sources.read_ledger(spark, compacted).collect()) == sorted(ledger.collect())
+    assert op.latest_status(ledger, run_ids=["0_1", "5_2"]).count() == 4
