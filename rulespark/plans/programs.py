@@ -1,5 +1,6 @@
 """Rule programs: SQL statements, Python functions or files, and registered kinds."""
 
+import inspect
 import re
 from datetime import datetime
 
@@ -13,7 +14,7 @@ _functions = {}
 def register_program_type(name, handler):
     """Run rules of type ``name`` with ``handler(session, rule, tables, as_of_date)``.
 
-    ``rule`` is a dict, ``tables`` holds DataFrames by logical name, which are also
+    ``rule`` is a dict, ``tables`` maps logical names to DataFrames, which are also
     temporary views of ``session``. The handler returns a DataFrame.
     """
     _handlers[name.lower()] = handler
@@ -31,14 +32,30 @@ def handler_for(name):
 
 
 def run_program(session, rule, tables, as_of_date):
-    """The rows of one rule's program. The tables must belong to ``session``."""
+    """The rows of one rule's program. The tables must belong to ``session``.
+
+    The tables that the program names become views; others of ``tables`` are read only
+    if a Python program asks for them.
+    """
     check_date(as_of_date)
     handler = handler_for(rule["program_type"])
-    for name, table in tables.items():
-        table.createOrReplaceTempView(name)
+    for name in _named(session, rule, tables):
+        tables[name].createOrReplaceTempView(name)
     return handler(session, rule, tables, as_of_date)
 
 
+def _named(session, rule, tables):
+    """The tables whose names are in the program's text; all, where there is no text to look into."""
+    code = rule["program_code"]
+    if rule["program_type"].lower() not in ("sql", "python"):
+        return list(tables)
+    try:
+        text = inspect.getsource(_functions[code]) if code in _functions else program_text(session, code)
+    except (OSError, TypeError):
+        return list(tables)
+    return [name for name in tables if name.lower() in text.lower()]
+
+
 def check_date(as_of_date):
     """An as-of date is eight digits that make a date."""
     if not re.fullmatch(r"[0-9]{8}", as_of_date):

@@ -18,6 +18,7 @@ from ..operators import (
     exit_code,
     final_rows,
     latest_status,
+    of_runs,
     rule_rows,
     rules_for_packages,
     started_rows,
@@ -27,7 +28,7 @@ from ..operators import (
     with_run_ids,
 )
 from ..session import rule_session, written
-from ..sources import append_status, load_tables, read_ledger, read_schemas, write_results
+from ..sources import Tables, append_status, read_ledger, read_results, write_results
 from .programs import check_date, handler_for, run_program
 
 logger = logging.getLogger(__name__)
@@ -50,7 +51,8 @@ class RunSettings:
     a session of its own; with ``share_session`` the SQL rules use one together, so
     that tables of very many files are listed once. The tables named in ``persist``
     are kept by the executors for as long as the rules run; worth it for a table that
-    several rules read and that fits.
+    several rules read and that fits. ``export(rows, rule)`` is called with the saved
+    rows of each rule before its final status; if it fails, the rule has failed.
     """
 
     data_config: dict
@@ -64,6 +66,7 @@ class RunSettings:
     flush_seconds: float = 60
     share_session: bool = False
     persist: tuple = ()
+    export: callable = None
     clock: callable = field(default=datetime.now)
 
 
@@ -77,17 +80,16 @@ def stamp_results(rows, run_id, rule_id):
 
 
 class _Tables:
-    """The configured tables, for one rule after the other.
+    """The configured tables, for one rule after the other; each is read when a rule asks for it.
 
-    Their schemas are read once, ahead of the rules. If that or what builds on it
-    fails, each rule finds out by itself, and fails.
+    A schema is read once. If a table to keep can't be read, each rule that uses it
+    finds out by itself, and fails.
     """
 
     def __init__(self, spark, settings):
         self._spark, self._settings = spark, settings
         self._schemas, self._shared, self._kept = {}, None, []
         try:
-            self._schemas = read_schemas(spark, settings.data_config)
             if settings.share_session:
                 session = rule_session(spark)
                 self._shared = session, self._load(session)
@@ -99,7 +101,7 @@ class _Tables:
 
     def _load(self, session):
         settings = self._settings
-        return load_tables(session, settings.data_config, settings.dictionary, settings.on_bad_value, self._schemas)
+        return Tables(session, settings.data_config, settings.dictionary, settings.on_bad_value, self._schemas)
 
     def release(self):
         for table in self._kept:
@@ -114,15 +116,22 @@ class _Tables:
 
 
 def _execute(tables, rule, settings):
-    """Load, run, stamp and save. Whatever goes wrong in it is the rule's failure."""
+    """Load, run, stamp, save and export. Whatever goes wrong in it is the rule's failure.
+
+    So is a rule that calls ``sys.exit``: it ends itself, not the run.
+    """
     run_id, rule_id = rule["rule_run_id"], rule["rule_id"]
     try:
         rows = run_program(*_program_arguments(tables, rule), settings.as_of_date)
         path = write_results(stamp_results(rows, run_id, rule_id), settings.results, rule_id, run_id)
+        if settings.export:
+            settings.export(read_results(rows.sparkSession, [path]), rule)
         return Outcome(run_id, rule_id, True, path, None)
-    except Exception as error:
-        logger.error("rule %s failed: %s", rule_id, error)
-        return Outcome(run_id, rule_id, False, None, str(error))
+    except KeyboardInterrupt:
+        raise
+    except BaseException as error:
+        logger.error("rule %s failed: %r", rule_id, error)
+        return Outcome(run_id, rule_id, False, None, str(error) or repr(error))
 
 
 def _program_arguments(tables, rule):
@@ -133,7 +142,7 @@ def _program_arguments(tables, rule):
 
 def _record(spark, rows, make, settings):
     """Append ledger rows for rules that are dicts of the driver."""
-    frame = spark.createDataFrame(pa.Table.from_pylist(rows, _OUTCOME_ARROW))
+    frame = spark.createDataFrame(pa.Table.from_pylist(list(rows), _OUTCOME_ARROW))
     append_status(make(frame, settings.clock()).coalesce(1), settings.ledger)
 
 
@@ -172,13 +181,19 @@ def _run_all(spark, rules, settings):
                 ended.append((outcome, running.pop(future) | {"succeeded": outcome.succeeded}))
             due = time.monotonic() - written_at > settings.flush_seconds
             if ended and (due or not running or len(ended) >= settings.batch):
-                _record(spark, [row for _, row in ended], final_rows, settings)
-                yield from (outcome for outcome, _ in ended)
+                outcomes, rows = zip(*ended)
                 ended, written_at = [], time.monotonic()
+                _record(spark, rows, final_rows, settings)
+                yield from outcomes
     finally:
         pool.shutdown(cancel_futures=True)
         if tables:
             tables.release()
+        # Left early, by the one who takes the outcomes or by an error: what has ended is still written.
+        late = [(future.result(), rule) for future, rule in running.items() if future.done() and not future.cancelled()]
+        rows = [row for _, row in ended] + [rule | {"succeeded": outcome.succeeded} for outcome, rule in late]
+        if rows:
+            _record(spark, rows, final_rows, settings)
 
 
 def by_latest_status(feed_map, resolve=None):
@@ -191,7 +206,7 @@ def by_latest_status(feed_map, resolve=None):
     def judge(rules, ledger, begun):
         # Each rule has a row since the run began, so an older one is never its latest.
         recent = read_ledger(rules.sparkSession, ledger, since=begun)
-        categories = categorize(latest_status(recent, rules), feed_map)
+        categories = categorize(latest_status(recent, rules), feed_map, rules)
         if resolve is None:
             return verdict(rules, categories)
         categories = written(categories, "categories")
@@ -200,11 +215,24 @@ def by_latest_status(feed_map, resolve=None):
     return judge
 
 
-def by_approvals(approvals):
-    """Judge a run by the whole history of its approved rules."""
+def by_approvals(approvals, timeout=None, every=60, whole_history=False):
+    """Judge a run by the history of its approved rules: all of the run's rows.
+
+    ``whole_history`` takes their rows of other runs as well. With a ``timeout``, as
+    long as the run does not pass, the ledger is looked at again every ``every``
+    seconds; exceptions may come in as rows or be set in rows that are there.
+    """
 
     def judge(rules, ledger, begun):
-        return verdict_from_approvals(rules, approvals, read_ledger(rules.sparkSession, ledger))
+        spark = rules.sparkSession
+        deadline = time.monotonic() + (timeout.total_seconds() if timeout else 0)
+        while True:
+            rows = read_ledger(spark, ledger, None if whole_history else begun)
+            found = verdict_from_approvals(rules, approvals, rows if whole_history else of_runs(rows, rules))
+            left = deadline - time.monotonic()
+            if left <= 0 or found.first().passes:
+                return found
+            time.sleep(min(every, left))
 
     return judge
 

@@ -1,8 +1,9 @@
 from .database import execute_query, optional_table, read_database, write_database
-from .files import apply_dictionary, count_bad_values, load_tables, read_schemas, read_table
+from .files import Tables, apply_dictionary, count_bad_values, load_tables, read_table
 from .sinks import (
     append_results,
     append_status,
+    compact_ledger,
     ledger_stream,
     read_ledger,
     read_results,
@@ -11,7 +12,6 @@ from .sinks import (
 )
 
 __all__ = [
-    "append_results", "append_status", "apply_dictionary", "count_bad_values", "execute_query",
-    "ledger_stream", "load_tables", "optional_table", "read_database", "read_ledger", "read_results", "read_schemas",
-    "read_table", "result_path", "write_database", "write_results",
+    "Tables", "append_results", "append_status", "apply_dictionary", "compact_ledger", "count_bad_values", "execute_query",
+    "ledger_stream", "load_tables", "optional_table", "read_database", "read_ledger", "read_results", "read_table", "result_path", "write_database", "write_results",
 ]

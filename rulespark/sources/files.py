@@ -1,11 +1,11 @@
 """File sources and the dictionary's casts."""
 
 import warnings
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping
 
 from pyspark.sql import functions as F
 
-from ..config import table_columns, table_format
+from ..config import table_columns, table_format, tables_by_name
 
 # Type names a dictionary may use. Any other name leaves the column as read.
 CASTS = {"string": "string", "integer": "int", "double": "double", "date": "date"}
@@ -77,32 +77,40 @@ def count_bad_values(df, columns):
     return df.agg(*counts.values()).unpivot([], [_quoted(name) for name in counts], "column", "bad_values")
 
 
-def load_tables(spark, data_config, dictionary, on_bad_value="fail", schemas=None):
-    """Every configured table as a lazy DataFrame, by logical name.
-
-    ``schemas`` may hold what ``read_schemas`` found.
-    """
-    tables = {}
-    for table in data_config.get("tables", []):
-        name = table["logicalName"]
-        read = read_table(spark, table_format(table), table["path"], (schemas or {}).get(table["path"]))
-        tables[name] = apply_dictionary(read, table_columns(dictionary, name), on_bad_value)
-    return tables
-
-
 # Formats that take a schema as it was read. Others may keep their own, as a table format does.
 _GIVEN_SCHEMA = {"PARQUET", "CSV", "ORC", "JSON"}
 
 
-def read_schemas(spark, data_config, parallel=8):
-    """The schemas of the configured tables by path, for loading them again elsewhere.
+class Tables(Mapping):
+    """The configured tables as lazy DataFrames, by logical name; each is read when asked for.
 
-    Each takes a small job over the table's files; ``parallel`` of them run at a time.
+    ``schemas`` holds the schemas read so far by path, and may be shared by several
+    sessions' tables: reading a schema takes a small job over the table's files.
     """
-    tables = [table for table in data_config.get("tables", []) if table_format(table) in _GIVEN_SCHEMA]
 
-    def schema(table):
-        return read_table(spark, table_format(table), table["path"]).schema
+    def __init__(self, spark, data_config, dictionary, on_bad_value="fail", schemas=None):
+        self._spark, self._dictionary, self._on_bad_value = spark, dictionary, on_bad_value
+        self._entries, self._loaded = tables_by_name(data_config), {}
+        self._schemas = {} if schemas is None else schemas
 
-    with ThreadPoolExecutor(parallel) as pool:
-        return dict(zip((table["path"] for table in tables), pool.map(schema, tables)))
+    def __getitem__(self, name):
+        if name not in self._loaded:
+            entry = self._entries[name]
+            path, file_format = entry["path"], table_format(entry)
+            read = read_table(self._spark, file_format, path, self._schemas.get(path))
+            if file_format in _GIVEN_SCHEMA:
+                self._schemas.setdefault(path, read.schema)
+            self._loaded[name] = apply_dictionary(read, table_columns(self._dictionary, name), self._on_bad_value)
+        return self._loaded[name]
+
+    def __iter__(self):
+        return iter(self._entries)
+
+    def __len__(self):
+        return len(self._entries)
+
+
+def load_tables(spark, data_config, dictionary, on_bad_value="fail", schemas=None):
+    """All of them at once, up to the first that cannot be read."""
+    tables = Tables(spark, data_config, dictionary, on_bad_value, schemas)
+    return {name: tables[name] for name in dict.fromkeys(table["logicalName"] for table in data_config.get("tables", []))}

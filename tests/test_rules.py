@@ -255,12 +255,86 @@ def test_run_judged_by_approvals(spark, settings, write):
     for day in (2, 3):
         sources.append_status(op.final_rows(failed, datetime(2024, 2, day)), settings.ledger)
 
-    def approved(*names):
+    def approved(*names, **options):
         frame = spark.createDataFrame([(name, "Approved") for name in names], "rule_id string, approval_status string")
-        return plans.by_approvals(frame)
+        return plans.by_approvals(frame, **options)
 
     assert summary(spark, rules, settings, ["P"], judge=approved()) == (1, 1, True, 0)
-    assert summary(spark, rules, settings, ["P"], judge=approved("a")) == (1, 1, False, 100)
+    assert summary(spark, rules, settings, ["P"], judge=approved("a", whole_history=True)) == (1, 1, False, 100)
+    for _ in range(2):  # a run is judged by its own rows
+        assert summary(spark, rules, settings, ["P"], judge=approved("a")) == (1, 1, True, 0)
+
+
+def test_approvals_are_waited_for(spark, settings, write, monkeypatch):
+    """The history counts, and while the run waits an exception is set in the row that failed."""
+    rules = catalog_of(spark, rule("a", program_type="SQL", program_code=write("r.sql", GOOD)))
+    failed = op.with_run_ids(op.rule_rows(rules), token="t").withColumn("succeeded", F.lit(False))
+    approvals = spark.createDataFrame([("a", "Approved")], "rule_id string, approval_status string")
+    for name in ("before", "after"):
+        sources.append_status(op.final_rows(failed, datetime(2024, 2, 2)).withColumn(
+            "exception_applied", F.lit("No" if name == "before" else "Yes")), f"{settings.ledger}-{name}")
+    given = failed.select("rule_id", "rule_run_id")
+    from rulespark.plans import runs
+
+    read, looks = runs.read_ledger, []
+
+    def look(session, path, since=None):
+        looks.append(1)
+        return read(session, f"{settings.ledger}-{'before' if len(looks) < 3 else 'after'}", since)
+
+    monkeypatch.setattr(runs, "read_ledger", look)
+    judge = plans.by_approvals(approvals, timeout=timedelta(seconds=60), every=0.1, whole_history=True)
+    assert judge(given, settings.ledger, datetime(2024, 2, 1)).first().passes and len(looks) >= 3
+
+
+def test_no_rule_ends_the_run(spark, settings, write):
+    """A rule that calls sys.exit has failed; the others, and the ledger, go on."""
+    leaves = write("leaves.py", "import sys; sys.exit(0)")
+    rules = catalog_of(
+        spark, rule("a", program_type="SQL", program_code=write("r.sql", GOOD)), rule("b", program_type="Python", program_code=leaves))
+    assert summary(spark, rules, settings, ["P"]) == (2, 1, False, 100)
+    ended = {row.rule_id: row.rule_execution_status for row in sources.read_ledger(spark, settings.ledger).collect()
+             if row.workflow_status != "In Progress"}
+    assert ended == {"a": "Success", "b": "Failure"}
+
+
+def test_ended_rules_are_written_when_a_run_is_left(spark, settings, write):
+    good = program(spark, "a", write("r.sql", GOOD))
+    settings.batch, settings.flush_seconds = 2, 0
+    rules = spark.createDataFrame([tuple(good.values()), tuple((good | {"rule_id": "b", "rule_run_id": "run_b"}).values())], RUNNABLE_RULE_SCHEMA)
+    outcomes = plans.run_rules(spark, rules.coalesce(1), settings)
+    next(outcomes)
+    outcomes.close()
+    ended = [row.rule_id for row in sources.read_ledger(spark, settings.ledger).collect() if row.workflow_status == "Completed"]
+    assert sorted(ended) == ["a", "b"]
+
+
+def test_failing_export_fails_the_rule(spark, settings, write):
+    seen = []
+
+    def export(rows, rule_row):
+        seen.append((rule_row["rule_id"], rows.count()))
+        if rule_row["rule_id"] == "b":
+            raise OSError("no way out")
+
+    settings.export = export
+    outcomes = [plans.run_rule(spark, program(spark, name, write("r.sql", GOOD)), settings) for name in ("a", "b")]
+    assert [outcome.succeeded for outcome in outcomes] == [True, False] and "no way out" in outcomes[1].error
+    assert [name for name, _ in seen] == ["a", "b"]
+
+
+def test_only_tables_that_rules_name_are_read(spark, settings, write, monkeypatch):
+    from rulespark.sources import files
+
+    read, paths = files.read_table, []
+    monkeypatch.setattr(files, "read_table", lambda session, kind, path, schema=None: paths.append(path) or read(session, kind, path, schema))
+    tables = settings.data_config["tables"]
+    many = [tables[0] | {"logicalName": f"unused{place}", "path": f"/nowhere/{place}"} for place in range(8)]
+    settings.data_config = {"tables": [*tables, *many]}
+    assert plans.run_rule(spark, program(spark, "a", write("r.sql", GOOD)), settings).succeeded
+    python = write("r.py", f"result_df = dataframes['{tables[0]['logicalName']}'].selectExpr(\"'h' AS HEADER_DATA\", \"'1' AS COL1\", \"'2' AS COL2\", \"'3' AS COL3\")")
+    assert plans.run_rule(spark, program(spark, "b", python, program_type="Python"), settings).succeeded
+    assert paths and not any(path.startswith("/nowhere") for path in paths)
 
 
 def test_kept_tables_are_read_from_memory_and_released(spark, settings, write):
