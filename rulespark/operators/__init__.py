@@ -1,4 +1,4 @@
-from .ledger import final_rows, latest_status, started_rows, status_history, with_run_ids
+from .ledger import final_rows, latest_status, of_runs, started_rows, status_history, with_run_ids
 from .selection import (
     approved_rules,
     has_feed_mapping,
@@ -24,7 +24,7 @@ from .verdict import (
 __all__ = [
     "all_succeeded", "approved_rules", "categorize", "exception_check", "exceptions_applied",
     "exceptions_in_time", "exit_code", "final_rows", "has_feed_mapping", "latest_status",
-    "mapped_rules", "rule_rows", "rules_for_feed", "rules_for_packages", "select_rules",
+    "mapped_rules", "of_runs", "rule_rows", "rules_for_feed", "rules_for_packages", "select_rules",
     "started_rows", "status_history", "unmapped_rules", "verdict", "verdict_from_approvals",
     "waiting_rules", "with_run_ids",
 ]

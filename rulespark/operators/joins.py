@@ -18,6 +18,15 @@ def id_frame(spark, ids):
     return ids.select(KEY).distinct()
 
 
+def of_ids(per_rule, ids):
+    """Rows with one of the ids, of a table that was just reduced to a row per rule.
+
+    Right above an aggregate Spark moves the ids below it if they can be broadcast; if
+    not, the table is reduced before it meets them.
+    """
+    return per_rule.join(id_frame(per_rule.sparkSession, ids), KEY, "left_semi")
+
+
 def lookup_join(rows, lookup, how):
     """Join ``rows``, where one rule may hold a large share, to ``lookup``, unique by rule.
 

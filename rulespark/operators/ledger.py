@@ -3,6 +3,7 @@
 import uuid
 from datetime import datetime
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..model import (
@@ -16,7 +17,7 @@ from ..model import (
     STARTED,
     SUCCESS,
 )
-from .joins import KEY, id_frame, lookup_join
+from .joins import KEY, id_frame, lookup_join, of_ids
 
 LATEST_COLUMNS = ("rule_run_id", "created_dt", "rule_execution_status", "exception_applied", "rule_status")
 
@@ -90,17 +91,22 @@ def ledger_order():
     )
 
 
+def of_runs(ledger, run_ids):
+    """The rows of some runs only, from a DataFrame with a rule_run_id column or any iterable."""
+    if isinstance(run_ids, DataFrame):
+        return ledger.join(run_ids.select("rule_run_id").distinct(), "rule_run_id", "left_semi").select(ledger.columns)
+    return ledger.where(F.col("rule_run_id").isin(list(run_ids)))
+
+
 def latest_status(ledger, ids=None, run_ids=None):
     """The latest row of each rule; of the given rules and runs only, if given.
 
-    The ids are joined right above the aggregate. There Spark pushes them below it if
-    they can be broadcast; if not, the ledger is reduced before it meets them.
     """
     if run_ids is not None:
-        ledger = ledger.where(F.col("rule_run_id").isin(list(run_ids)))
+        ledger = of_runs(ledger, run_ids)
     latest = ledger.groupBy(KEY).agg(newest().alias("_newest"))
     if ids is not None:
-        latest = latest.join(id_frame(ledger.sparkSession, ids), KEY, "left_semi")
+        latest = of_ids(latest, ids)
     return latest.select(KEY, *[F.col(f"_newest.{name}").alias(name) for name in LATEST_COLUMNS])
 
 

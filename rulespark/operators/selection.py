@@ -1,10 +1,11 @@
 """Which rules apply to a run."""
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text_or_empty
 from ..model import APPROVED, AUDIT_COLUMNS, RULE_COLUMNS, RULE_TEXT_COLUMNS, SELECTED_STATUSES, YES
-from .joins import KEY, id_frame, lookup_join
+from .joins import KEY, id_frame, lookup_join, of_ids
 
 
 def _applicable(catalog, module, stage, packages):
@@ -21,9 +22,10 @@ def _applies(feed_id):
     return F.col("feed_id").eqNullSafe(feed_id) & F.col("rule_applicable_status").eqNullSafe(YES)
 
 
-def mapped_ids(feed_map):
-    """Rules with at least one applicable mapping, to whatever feed."""
-    return feed_map.where(F.col("rule_applicable_status") == YES).select(KEY).distinct()
+def mapped_ids(feed_map, ids=None):
+    """Rules, of the given ones if any are, with at least one applicable mapping to whatever feed."""
+    mapped = feed_map.where(F.col("rule_applicable_status") == YES).select(KEY).distinct()
+    return mapped if ids is None else of_ids(mapped, ids)
 
 
 def select_rules(catalog, module, stage, package):
@@ -39,15 +41,16 @@ def mapped_rules(catalog, feed_map, module, stage, package, feed_id):
 
 def unmapped_rules(catalog, feed_map, module, stage, package):
     """The selected rules without any mapping row, whatever its feed or flag."""
-    known = feed_map.select(KEY).distinct()
-    return lookup_join(select_rules(catalog, module, stage, package), known, "left_anti").select(*RULE_COLUMNS)
+    rules = select_rules(catalog, module, stage, package)
+    known = of_ids(feed_map.select(KEY).distinct(), rules)
+    return lookup_join(rules, known, "left_anti").select(*RULE_COLUMNS)
 
 
 def _for_feed(rules, feed_map, feed_id, unmapped):
     """Mapped and never-mapped rules in one pass over the feed map."""
     if unmapped not in ("keep", "drop"):
         raise ValueError("unmapped is 'keep' or 'drop'")
-    hits = feed_map.groupBy(KEY).agg(F.bool_or(_applies(feed_id)).alias("_hit"))
+    hits = of_ids(feed_map.groupBy(KEY).agg(F.bool_or(_applies(feed_id)).alias("_hit")), rules)
     kept = F.coalesce("_hit", F.lit(unmapped == "keep"))
     return lookup_join(rules, hits, "left").where(kept).select(*RULE_COLUMNS)
 
@@ -92,17 +95,17 @@ def rule_rows(rules):
 
 def has_feed_mapping(ids, feed_map):
     """For each given rule: is there an applicable mapping to any feed?"""
-    mapped = mapped_ids(feed_map).withColumn("_mapped", F.lit(True))
     ids = id_frame(feed_map.sparkSession, ids)
+    mapped = mapped_ids(feed_map, ids).withColumn("_mapped", F.lit(True))
     return ids.join(mapped, KEY, "left").select(KEY, F.coalesce("_mapped", F.lit(False)).alias("has_feed_mapping"))
 
 
 def approved_rules(ids, approvals):
-    """The given rules that are approved for this run.
+    """The given rules that are approved for this run, each once.
 
     ``approvals=None`` means that there is no approvals table; then all of them are.
     """
     if approvals is None:
-        return ids.select(KEY)
+        return id_frame(SparkSession.active(), ids)
     approved = approvals.where(F.col("approval_status") == APPROVED).select(KEY).distinct()
     return id_frame(approvals.sparkSession, ids).join(approved, KEY, "left_semi")

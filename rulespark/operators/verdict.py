@@ -5,7 +5,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from ..model import ACTIVE, EXIT_FAIL, EXIT_PASS, PASSIVE, SUCCESS, YES
-from .joins import KEY, id_frame, lookup_join
+from .joins import KEY, lookup_join, of_ids
 from .ledger import LATEST_COLUMNS, ledger_order
 from .selection import approved_rules, mapped_ids
 
@@ -22,12 +22,13 @@ def _category(mapped):
     )
 
 
-def categorize(latest, feed_map):
+def categorize(latest, feed_map, ids=None):
     """Add ``category`` to each rule's latest row.
 
     Both inputs are already partitioned by rule, so the join moves nothing again.
+    With the ``ids`` that ``latest`` was taken for, the feed map is reduced for them only.
     """
-    mapped = mapped_ids(feed_map).withColumn("_mapped", F.lit(True))
+    mapped = mapped_ids(feed_map, ids).withColumn("_mapped", F.lit(True))
     joined = latest.join(mapped, KEY, "left")
     category = _category(F.coalesce("_mapped", F.lit(False)))
     return joined.select(*latest.columns, category.alias("category"))
@@ -63,11 +64,11 @@ def exceptions_in_time(ledger, feed_map, start, timeout=timedelta(minutes=60), i
         F.max(F.when(seen, ledger_order())).alias("_newest"), F.bool_or(later & resolving).alias("_later")
     )
     if ids is not None:
-        per_rule = per_rule.join(id_frame(ledger.sparkSession, ids), KEY, "left_semi")
+        per_rule = of_ids(per_rule, ids)
     per_rule = per_rule.where(F.col("_newest").isNotNull()).select(
         KEY, *[F.col(f"_newest.{name}").alias(name) for name in LATEST_COLUMNS], "_later"
     )
-    waiting = waiting_rules(categorize(per_rule, feed_map))
+    waiting = waiting_rules(categorize(per_rule, feed_map, ids))
     at_start = F.col("exception_applied").eqNullSafe(YES)
     return waiting.select(KEY, (at_start | F.coalesce("_later", F.lit(False))).alias("resolved"))
 
@@ -114,18 +115,18 @@ def exit_code(passes):
 # The earlier way to decide: approvals first, and the whole history instead of the latest row.
 
 
-def _history_by_rule(ledger):
-    """Per rule, over its whole history: successes, and rows that are neither success nor excepted."""
+def _history_by_rule(ledger, ids):
+    """Per given rule, over its whole history: successes, and rows that are neither success nor excepted."""
     succeeded = F.col("rule_execution_status").eqNullSafe(SUCCESS)
     excepted = F.col("exception_applied").eqNullSafe(YES)
-    return ledger.groupBy(KEY).agg(
+    return of_ids(ledger.groupBy(KEY).agg(
         F.count_if(succeeded).alias("_successes"), F.count_if(~succeeded & ~excepted).alias("_pending")
-    )
+    ), ids)
 
 
 def _grouped_history(given, ledger, group_by):
     given = given.select(*group_by, KEY).distinct()
-    return lookup_join(given, _history_by_rule(ledger), "left").groupBy(*group_by).agg(
+    return lookup_join(given, _history_by_rule(ledger, given), "left").groupBy(*group_by).agg(
         F.count(F.lit(1)).alias("given"),
         F.coalesce(F.sum("_successes"), F.lit(0)).alias("successes"),
         F.coalesce(F.sum("_pending"), F.lit(0)).alias("pending"),
@@ -150,11 +151,10 @@ def verdict_from_approvals(given, approvals, ledger, group_by=()):
     """A group passes if none of its rules is approved, or the approved ones all
     succeeded, or all their exceptions are applied.
 
-    The ledger is taken as it is. It only grows, so exceptions that are not applied
-    when the wait begins cannot all be applied by rows that come later.
+    The ledger is taken as it is; ``of_runs`` limits it to some runs beforehand.
     """
-    approved = approved_rules(given.select(KEY).distinct(), approvals).distinct()
-    rules = approved.join(_history_by_rule(ledger), KEY, "left").withColumn("_approved", F.lit(True))
+    approved = approved_rules(given, approvals)
+    rules = approved.join(_history_by_rule(ledger, given), KEY, "left").withColumn("_approved", F.lit(True))
     given = given.select(*group_by, KEY).distinct()
     passes = (F.col("approved") == 0) | (F.col("successes") == F.col("approved")) | (F.col("pending") == 0)
     return (

@@ -91,4 +91,5 @@ def test_approvals(spark):
         "rule_id string, approval_status string")
     given = spark.createDataFrame([("a",), ("b",), ("c",), ("a",)], "rule_id string")
     assert ids(op.approved_rules(given, approvals)) == ["a"]
-    assert ids(op.approved_rules(given, None)) == ["a", "a", "b", "c"]
+    assert ids(op.approved_rules(["a", "d", "a"], approvals)) == ["a", "d"]
+    assert ids(op.approved_rules(given, None)) == ids(op.approved_rules(["c", "b", "a", "a"], None)) == ["a", "b", "c"]
