@@ -1,7 +1,7 @@
 from .exceptions import exception_matches, read_resolved, wait_for_exceptions, waiting_at, write_matches
-from .latest import latest_updates, read_latest, write_latest
+from .latest import compact_latest, latest_updates, read_latest, write_latest
 
 __all__ = [
-    "exception_matches", "latest_updates", "read_latest", "read_resolved",
+    "compact_latest", "exception_matches", "latest_updates", "read_latest", "read_resolved",
     "wait_for_exceptions", "waiting_at", "write_latest", "write_matches",
 ]

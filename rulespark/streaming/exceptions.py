@@ -1,6 +1,7 @@
 """Waiting rules joined to the exceptions that come in for them."""
 
 import time
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -19,15 +20,24 @@ def waiting_at(waiting, start):
     )
 
 
-def exception_matches(waiting, ledger, timeout, delay="10 minutes", salts=8, accept_success=False):
+def exception_matches(waiting, ledger, timeout, delay="10 minutes", salts=None, accept_success=False, ids=None):
     """Join a stream of waiting rules to the ledger's stream.
 
     Gives a row per exception in time, and a row without one once the watermark of
     both streams has passed a rule's deadline. ``delay`` is how late rows may come; it
-    must be above zero, as a row on the watermark itself is dropped. ``salts`` spreads the exceptions of
-    one rule over that many tasks and state partitions; each waiting rule is looked
-    for in all of them, so ``read_resolved`` takes a rule's rows together.
+    must be above zero, as a row on the watermark itself is dropped.
+
+    The watermark is that of the slower stream. Rows that come later than ``delay``
+    behind it may be dropped: exceptions of a rule that already waits, if rules that
+    started much later come in before them. Where old rows may still come in, give a
+    ``delay`` as long as they may be behind, or use the batch form.
+
+    ``salts`` spreads the exceptions of one rule over that many tasks and state
+    partitions, as many as the session has unless given; each waiting rule is looked
+    for in all of them, so ``read_resolved`` takes a rule's rows together. With ``ids``,
+    a table of the rules that wait, the state holds no exceptions of others.
     """
+    salts = salts or int(ledger.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     resolving = F.col("exception_applied").eqNullSafe(YES)
     if accept_success:
         resolving = resolving | F.col("rule_execution_status").eqNullSafe(SUCCESS)
@@ -39,10 +49,11 @@ def exception_matches(waiting, ledger, timeout, delay="10 minutes", salts=8, acc
         waiting.withWatermark("started_at", delay)
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
+    right = ledger.withWatermark("created_dt", delay).where(counts)
+    if ids is not None:
+        right = right.join(ids.select(KEY).distinct(), KEY, "left_semi")
     right = (
-        ledger.withWatermark("created_dt", delay)
-        .where(counts)
-        .select(
+        right.select(
             F.col(KEY).alias("exception_rule_id"),
             F.col("created_dt").alias("excepted_at"),
             F.pmod(F.xxhash64("rule_run_id"), F.lit(salts)).cast("int").alias("exception_salt"),
@@ -78,11 +89,18 @@ def read_resolved(spark, folder):
 def wait_for_exceptions(waiting, ledger, folder, checkpoint, timeout, every=60):
     """Follow a ledger stream until all waiting rules are resolved, at most for ``timeout``.
 
-    The stream looks every ``every`` seconds. A rule is resolved once a look finds the
-    exception on its latest row, and stays so. State is kept for waiting rules only.
+    ``waiting`` may say by ``exception_applied`` that a rule is resolved already, as
+    ``waiting_rules`` does; only for others is there a stream. It looks at once, then
+    every ``every`` seconds, and a last time after the timeout, over rows dated up to
+    its end. A rule is resolved once a look finds the exception on its latest row, and
+    stays so. State is kept for waiting rules only.
     """
     spark = waiting.sparkSession
-    ids = written(waiting.select(KEY).distinct(), "waiting-rules")
+    flag = F.col("exception_applied").eqNullSafe(YES) if "exception_applied" in waiting.columns else F.lit(False)
+    rules = written(waiting.groupBy(KEY).agg(F.bool_or(flag).alias("at_start")), "waiting-rules")
+    ids = rules.where("NOT at_start").select(KEY)
+    if ids.isEmpty():
+        return rules.select(KEY, F.lit(True).alias("resolved"))
     looks = []
 
     def save(updates, batch_id):
@@ -91,24 +109,39 @@ def wait_for_exceptions(waiting, ledger, folder, checkpoint, timeout, every=60):
         looks.append(batch_id)
 
     def resolved():
-        return spark.read.schema(f"{KEY} string").parquet(folder) if looks else ids.where(F.lit(False))
+        return spark.read.schema(f"{KEY} string").parquet(folder).select(KEY) if looks else ids.where(F.lit(False))
+
+    end = F.lit(datetime.now() + timeout).cast(dict(ledger.dtypes)["created_dt"])
+    in_time = ledger.where(F.col("created_dt").isNull() | (F.col("created_dt") <= end))
+
+    def follow(**trigger):
+        return (
+            latest_updates(in_time.join(ids, KEY, "left_semi"))
+            .writeStream.outputMode("update")
+            .foreachBatch(save)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger)
+            .start()
+        )
+
+    def all_resolved():
+        return ids.join(resolved(), KEY, "left_anti").isEmpty()
 
-    query = (
-        latest_updates(ledger.join(ids, KEY, "left_semi"))
-        .writeStream.outputMode("update")
-        .foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=f"{every} seconds")
-        .start()
-    )
     deadline = time.monotonic() + timeout.total_seconds()
+    query = follow(processingTime=f"{every} seconds")
     try:
-        while (left := deadline - time.monotonic()) > 0:
-            if query.awaitTermination(max(1, min(every, int(left)))):
-                break
-            if ids.join(resolved(), KEY, "left_anti").isEmpty():
-                break
+        while not (done := bool(looks) and all_resolved()) and (left := deadline - time.monotonic()) > 0:
+            seen = len(looks)
+            until = time.monotonic() + min(every, left)
+            while len(looks) == seen and (left := until - time.monotonic()) > 0:
+                if query.awaitTermination(max(0.1, min(1, left))):
+                    break
     finally:
+        while query.isActive and query.status["isTriggerActive"]:  # a look that began is not broken off
+            query.awaitTermination(0.2)
         query.stop()
-    flags = resolved().distinct().withColumn("resolved", F.lit(True))
-    return ids.join(flags, KEY, "left").select(KEY, F.coalesce("resolved", F.lit(False)).alias("resolved"))
+    if not done:
+        follow(availableNow=True).awaitTermination()
+    flags = resolved().distinct().withColumn("found", F.lit(True))
+    found = F.col("at_start") | F.coalesce("found", F.lit(False))
+    return rules.join(flags, KEY, "left").select(KEY, found.alias("resolved"))

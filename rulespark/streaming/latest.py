@@ -35,7 +35,20 @@ def write_latest(ledger, folder, checkpoint, **trigger):
 
 def read_latest(spark, folder):
     """The current latest row of every rule: the newest of its updates."""
-    updates = spark.read.parquet(folder)
-    return updates.groupBy(KEY).agg(F.max("newest").alias("newest")).select(
+    return _reduced(spark.read.parquet(folder)).select(
         KEY, *[F.col(f"newest.{name}").alias(name) for name in LATEST_COLUMNS]
     )
+
+
+def compact_latest(spark, folder, into):
+    """Write one update per rule, its newest, to a new folder that a stream may go on in.
+
+    Micro-batches that the stream writes there later come beside it. The old folder may
+    go once no reader uses it.
+    """
+    rows = _reduced(spark.read.parquet(folder))
+    rows.write.parquet(f"{into}/batch=-1")
+
+
+def _reduced(updates):
+    return updates.groupBy(KEY).agg(F.max("newest").alias("newest"))

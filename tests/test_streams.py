@@ -106,6 +106,47 @@ def test_waiting_ends_at_the_timeout(spark, folder):
     assert {row.rule_id: row.resolved for row in done.collect()} == {"a": False, "b": True}
 
 
+def test_nothing_to_wait_for(spark, folder):
+    """No stream is started if no rule waits, or all have their exception already."""
+    path = folder("ledger")
+    append(spark, path, *FIRST)
+    for rows, answer in ([], {}), ([("a", "Yes"), ("b", "Yes")], {"a": True, "b": True}):
+        waiting = spark.createDataFrame(rows, "rule_id string, exception_applied string")
+        begun = time.monotonic()
+        done = streaming.wait_for_exceptions(
+            waiting, stream(spark, path), folder("looks"), folder("state"), timedelta(hours=1), every=60)
+        assert {row.rule_id: row.resolved for row in done.collect()} == answer
+        assert time.monotonic() - begun < 20
+
+
+def test_exception_just_before_the_end(spark, folder):
+    """It comes in after the last look that the interval gives."""
+    path = folder("ledger")
+    append(spark, path, *FIRST)
+    waiting = spark.createDataFrame([("a", "No"), ("b", "Yes"), ("c", None)], "rule_id string, exception_applied string")
+
+    def later():
+        time.sleep(12)
+        append(spark, path, ("a", "r2", "Failure", "Yes", "Active", at(12)))
+
+    writer = threading.Thread(target=later)
+    writer.start()
+    done = streaming.wait_for_exceptions(
+        waiting, stream(spark, path), folder("looks"), folder("state"), timedelta(seconds=25), every=600)
+    assert {row.rule_id: row.resolved for row in done.collect()} == {"a": True, "b": True, "c": False}
+    writer.join()
+
+
+def test_compacted_latest(spark, folder):
+    path, latest, state, compacted = (folder(name) for name in ("ledger", "latest", "state", "compacted"))
+    append(spark, path, *FIRST)
+    streaming.write_latest(stream(spark, path), latest, state, availableNow=True).awaitTermination()
+    streaming.compact_latest(spark, latest, compacted)
+    append(spark, path, ("a", "r3", "Started", "No", "Active", at(12)))
+    streaming.write_latest(stream(spark, path), compacted, state, availableNow=True).awaitTermination()
+    assert states(streaming.read_latest(spark, compacted)) == {"a": ("r3", "Started"), "b": ("r1", "Failure"), "c": ("r1", "Success")}
+
+
 def test_ledger_files_as_a_stream(spark, folder):
     from datetime import datetime
 
@@ -116,8 +157,8 @@ def test_ledger_files_as_a_stream(spark, folder):
     for day in (1, 2):
         sources.append_status(op.started_rows(rules, datetime(2024, 3, day)), path)
     counts = []
-    for date in (None, "2024-03-02"):
-        rows = sources.ledger_stream(spark, path, date)
+    for since in (None, datetime(2024, 3, 1, 23)):
+        rows = sources.ledger_stream(spark, path, since)
         latest = folder("latest")
         streaming.write_latest(rows, latest, folder("state"), availableNow=True).awaitTermination()
         counts.append(states(streaming.read_latest(spark, latest)))
