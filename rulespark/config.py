@@ -8,12 +8,14 @@ def read_config(path):
         return json.load(source)
 
 
+def tables_by_name(config):
+    """The entries by logical name; of several with one name the first."""
+    return {table["logicalName"]: table for table in reversed(config.get("tables", []))}
+
+
 def find_table(config, logical_name):
     """The first entry with that logical name, or ``None``."""
-    for table in config.get("tables", []):
-        if table["logicalName"] == logical_name:
-            return table
-    return None
+    return tables_by_name(config).get(logical_name)
 
 
 def table_columns(dictionary, logical_name):

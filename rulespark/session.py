@@ -1,6 +1,5 @@
 """Sessions: one for a user's script, one per rule, and the folder they share."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -46,12 +45,11 @@ def stream_session(spark, partitions=None):
 
 
 def work_folder(spark, purpose):
-    """A fresh path, not yet made, in the folder that all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="rulespark-")
+    """A fresh path, not yet made, in the folder that all executors share.
+
+    It is in ``spark.checkpoint.dir``, or else beside the tables of the warehouse.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/rulespark/{purpose}-{uuid.uuid4().hex}"
 
 
