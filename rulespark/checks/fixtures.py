@@ -1,7 +1,8 @@
 """Views with the shape of the rule tables, over whole driver tables.
 
-The text is the same for Spark and DuckDB. Its conditions give the data its shape
-(rules without a mapping or ledger row, repeated catalog rows), not its size.
+The text is the same for Spark and DuckDB. Every row of a table is in its view; one
+that shall not meet a rule of the catalog (so that there are rules without a mapping,
+an approval or a ledger row) has the id of a rule outside it, with an ``x``.
 """
 
 VIEWS = {
@@ -26,22 +27,22 @@ UNION ALL
 SELECT rule_id, rule_name, rule_type, rule_status, module, stage, package, slg, program_type, program_code,
        created_dt, created_by, modified_dt, modified_by FROM base WHERE p_partkey % 10 = 0""",
     "fx_feed_map": """
-SELECT CAST(l_partkey AS STRING) AS rule_id,
+SELECT CONCAT(CASE WHEN l_quantity >= 48 AND l_partkey % 4 <> 0 THEN '' ELSE 'x' END, CAST(l_partkey AS STRING)) AS rule_id,
        CONCAT('F', CAST(l_suppkey % 5 AS STRING)) AS feed_id,
        CASE l_returnflag WHEN 'N' THEN 'No' ELSE 'Yes' END AS rule_applicable_status
-FROM {lineitem} WHERE l_quantity >= 48 AND l_partkey % 4 <> 0""",
+FROM {lineitem}""",
     "fx_approvals": """
-SELECT CAST(o_custkey AS STRING) AS rule_id,
+SELECT CONCAT(CASE WHEN o_totalprice > 400000 THEN '' ELSE 'x' END, CAST(o_custkey AS STRING)) AS rule_id,
        CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Pending' ELSE 'Rejected' END AS approval_status
-FROM {orders} WHERE o_totalprice > 400000""",
+FROM {orders}""",
     "fx_status": """
 SELECT CONCAT(CAST(l_orderkey AS STRING), '_', CAST(l_linenumber AS STRING)) AS rule_run_id,
-       CAST(l_partkey AS STRING) AS rule_id,
+       CONCAT(CASE WHEN l_partkey % 6 <> 5 THEN '' ELSE 'x' END, CAST(l_partkey AS STRING)) AS rule_id,
        CASE WHEN l_partkey % 97 = 0 THEN 'Retired' WHEN l_suppkey % 3 = 0 THEN 'Passive' ELSE 'Active' END AS rule_status,
        CASE l_returnflag WHEN 'A' THEN 'Success' WHEN 'R' THEN 'Failure' ELSE 'Started' END AS rule_execution_status,
        CASE WHEN l_tax < 0.005 THEN NULL WHEN l_linestatus = 'F' THEN 'Yes' ELSE 'No' END AS exception_applied,
        CASE WHEN l_quantity > 49.5 AND l_linenumber = 1 THEN NULL ELSE l_shipdate END AS created_dt
-FROM {lineitem} WHERE l_partkey % 6 <> 5""",
+FROM {lineitem}""",
     "fx_raw_csv": """
 SELECT CAST(c_custkey AS STRING) AS custkey,
        CASE WHEN c_custkey % 50 = 0 THEN 'n/a' ELSE CAST(c_nationkey AS STRING) END AS nationkey,

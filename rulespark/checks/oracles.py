@@ -153,10 +153,12 @@ def _texts():
         "c7_run_rule": f"""SELECT 'run_stale_order' AS rule_run_id, 'stale_order' AS rule_id, rule_execution_status,
             workflow_status, 'No' AS exception_applied, (SELECT count(*) FROM ({rule_sql('stale_order')}) t) AS result_rows
             FROM (VALUES ('Started', 'In Progress'), ('Success', 'Completed')) v(rule_execution_status, workflow_status)""",
+        "c7_export": _saved("stale_order"),
         "c8_run_rules": " UNION ALL ".join(_saved(name) for name in _ALL_RULES),
         "d1_result_files": _saved("stale_order"),
         "d3_ledger_append": _ledger_select("runnable", "'Started'", "'In Progress'")
             + " UNION ALL " + _ledger_select("runnable", *_FINAL, minutes=5),
+        "d3_appends_at_once": "SELECT * FROM fx_status",
         "d4_result_append": """SELECT CONCAT('run_', CAST(c_custkey AS STRING)) AS RULE_RUN_ID,
             c_mktsegment AS RULE_ID, 'customer|segment' AS HEADER_DATA, c_name AS COL1, '' AS COL2,
             CASE WHEN c_acctbal < 0 THEN CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) ELSE '' END AS COL3
@@ -179,6 +181,9 @@ def _texts():
             SELECT 1 FROM fx_status l WHERE l.rule_id = at_start.rule_id AND l.exception_applied = 'Yes'
             AND l.created_dt > {_START} AND l.created_dt <= {_END}) AS resolved
             FROM at_start WHERE category = 'waiting'""",
+        "f6_wait": f"""SELECT a.rule_id, coalesce(a.exception_applied = 'Yes', false) OR coalesce(l.exception_applied = 'Yes', false)
+            AS resolved FROM at_start a LEFT JOIN (SELECT * FROM (SELECT *, ROW_NUMBER() OVER ({_NEWEST_FIRST}) AS place FROM fx_status
+            WHERE created_dt IS NULL OR created_dt <= {_END}) s WHERE place = 1) l USING (rule_id) WHERE category = 'waiting'""",
         "f7_all_succeeded_v1": """SELECT package, slg, count(*) AS given, coalesce(sum(successes), 0)::BIGINT AS successes,
             coalesce(sum(successes), 0) = count(*) AS passes
             FROM groups LEFT JOIN history USING (rule_id) GROUP BY package, slg""",
@@ -191,10 +196,13 @@ def _texts():
               coalesce(sum(pending) FILTER (WHERE a.rule_id IS NOT NULL), 0)::BIGINT AS pending
             FROM groups g LEFT JOIN approved a USING (rule_id) LEFT JOIN history h USING (rule_id)
             GROUP BY package, slg) t""",
+        "f9_verdict_of_run": f"""SELECT run, 8 AS rules, 8 AS succeeded, true AS passes, 0 AS exit_code, 2 * ({total}) AS result_rows
+            FROM (VALUES (1), (2)) v(run)""",
         "f10_exit_code": "SELECT package, slg, CASE WHEN passes THEN 0 ELSE 100 END AS exit_code FROM judged",
         "f11_run": f"""SELECT 'ours' AS package, 8 AS rules, 8 AS succeeded, true AS passes, 0 AS exit_code,
             {total} AS result_rows, 0 AS failures
             UNION ALL SELECT 'theirs', 2, 1, false, 100, {debts}, 1
+            UNION ALL SELECT 'leaving', 2, 1, false, 100, {debts}, 1
             UNION ALL SELECT 'nobody''s', 0, 0, true, 0, 0, 0""",
         "g1_case": "SELECT p_partkey, upper(p_name) AS upper_name, lower(p_brand) AS lower_brand FROM part",
         "g2_replace": "SELECT doc_id, replace(text, 'a', '${b}') AS replaced FROM documents",

@@ -1,6 +1,8 @@
 """One query per operator, each over whole tables."""
 
 import os
+import sys
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from .. import operators as op
 from .. import plans, sources, streaming
-from ..model import FAILURE, RESULT_COLUMNS, RULE_COLUMNS, RULE_TEXT_COLUMNS, RUNNABLE_RULE_SCHEMA
+from ..model import FAILURE, LEDGER_SCHEMA, RESULT_COLUMNS, RULE_COLUMNS, RULE_TEXT_COLUMNS, RUNNABLE_RULE_SCHEMA
 from ..session import rule_session, stream_session, work_folder
 from .fixtures import table, view
 
@@ -186,9 +188,21 @@ def c3_as_of_date(spark, sf_dir):
 
 
 def c5_program_types(spark, sf_dir):
-    kind = F.lower("program_type")
-    handler = F.when(kind.isin(plans.program_types()), kind).otherwise("rejected")
-    return view(spark, sf_dir, "fx_rules").groupBy(handler.alias("handler")).agg(F.count(F.lit(1)).alias("rules"))
+    rules = view(spark, sf_dir, "fx_rules")
+    counts = rules.groupBy("program_type").agg(F.count(F.lit(1)).alias("rules"))
+    chosen = {kind: _handler_name(kind) for kind, in counts.select("program_type").collect()}
+    handlers = spark.createDataFrame(list(chosen.items()), "program_type string, handler string")
+    return counts.join(handlers, "program_type").groupBy("handler").agg(F.sum("rules").alias("rules"))
+
+
+def _handler_name(kind):
+    """The registered name whose handler is chosen for a kind of program."""
+    try:
+        handler = plans.handler_for(kind)
+    except ValueError:
+        return "rejected"
+    [name] = [name for name in plans.program_types() if plans.handler_for(name) is handler]
+    return name
 
 
 def _stamped(spark, sf_dir, name):
@@ -231,6 +245,14 @@ def c7_run_rule(spark, sf_dir):
     )
 
 
+def c7_export(spark, sf_dir):
+    """A rule whose saved rows are sent on to files before its final status."""
+    settings, exported = _settings(spark, sf_dir), work_folder(spark, "exported")
+    settings.export = lambda rows, rule: rows.write.parquet(f"{exported}/{rule['rule_id']}")
+    plans.run_rule(spark, _program_rule("stale_order"), settings)
+    return sources.read_results(spark, [f"{exported}/stale_order"])
+
+
 def c8_run_rules(spark, sf_dir):
     rows = [_program_rule(name) for name in SQL_RULES + PYTHON_RULES]
     rules = spark.createDataFrame([tuple(row.values()) for row in rows], RUNNABLE_RULE_SCHEMA)
@@ -249,7 +271,7 @@ def d1_result_files(spark, sf_dir):
 
 def _applicable(spark, sf_dir):
     rules = view(spark, sf_dir, "fx_rules")
-    return rules.where(F.col("rule_status").isin("Active", "Passive")).distinct()
+    return rules.where(F.col("rule_status").isin("Active", "Passive")).select("rule_id", *GROUPS).distinct()
 
 
 def _runnable(spark, sf_dir):
@@ -273,6 +295,21 @@ def d3_ledger_append(spark, sf_dir):
     return _readable(sources.read_ledger(spark, path))
 
 
+def d3_appends_at_once(spark, sf_dir):
+    """The ledger in parts, appended by several writers at a time."""
+    parts, path, ledger = 12, work_folder(spark, "ledger"), _ledger_with_zone(spark, sf_dir)
+    others = {name: F.lit("") for name in LEDGER_SCHEMA.names if name not in ledger.columns}
+    rows = ledger.withColumns(others)
+
+    def append(part):
+        sources.append_status(rows.where(F.pmod(F.xxhash64("rule_run_id"), F.lit(parts)) == part), path)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(append, range(parts)))
+    back = F.col("created_dt").cast("timestamp_ntz").alias("created_dt")
+    return sources.read_ledger(spark, path).select(*(back if name == "created_dt" else name for name in ledger.columns))
+
+
 def d4_result_append(spark, sf_dir):
     debt = F.create_map(F.lit("col3"), F.col("c_acctbal").cast("decimal(18,2)").cast("string"))
     data = F.map_concat(
@@ -330,8 +367,12 @@ def _ledger_with_zone(spark, sf_dir):
 def e8_latest_stream(spark, sf_dir):
     _, ledger = _stream_of(stream_session(spark), _ledger_with_zone(spark, sf_dir), "ledger-stream")
     folder = work_folder(spark, "latest")
-    query = streaming.write_latest(ledger, folder, work_folder(spark, "latest-state"), availableNow=True)
-    query.awaitTermination()
+    state, compacted = work_folder(spark, "latest-state"), work_folder(spark, "latest-compacted")
+    streaming.write_latest(ledger, folder, state, availableNow=True).awaitTermination()
+    streaming.compact_latest(spark, folder, compacted)
+    # Nothing is new; the stream goes on in the compacted folder.
+    streaming.write_latest(ledger, compacted, state, availableNow=True).awaitTermination()
+    folder = compacted
     latest = streaming.read_latest(spark, folder)
     return latest.withColumn("created_dt", F.col("created_dt").cast("timestamp_ntz"))
 
@@ -340,8 +381,8 @@ def e8_latest_stream(spark, sf_dir):
 
 
 def _categories(spark, sf_dir):
-    latest = op.latest_status(view(spark, sf_dir, "fx_status"), _applicable(spark, sf_dir))
-    return op.categorize(latest, view(spark, sf_dir, "fx_feed_map"))
+    ids = _applicable(spark, sf_dir)
+    return op.categorize(op.latest_status(view(spark, sf_dir, "fx_status"), ids), view(spark, sf_dir, "fx_feed_map"), ids)
 
 
 def f2_categories(spark, sf_dir):
@@ -383,7 +424,8 @@ def f6_stream(spark, sf_dir):
     waiting_path, waiting_stream = _stream_of(session, waiting, "waiting-stream", files=2)
     ledger_path, ledger_stream = _stream_of(session, ledger, "ledger-stream")
     folder, state = work_folder(spark, "matches"), work_folder(spark, "matches-state")
-    matches = streaming.exception_matches(waiting_stream, ledger_stream, TIMEOUT)
+    ids = session.read.parquet(waiting_path)
+    matches = streaming.exception_matches(waiting_stream, ledger_stream, TIMEOUT, ids=ids)
 
     def drain():
         streaming.write_matches(matches, folder, state, availableNow=True).awaitTermination()
@@ -402,6 +444,20 @@ def f6_stream(spark, sf_dir):
     return streaming.read_resolved(spark, folder).select("rule_id", "resolved")
 
 
+def f6_wait(spark, sf_dir):
+    """A wait over a ledger that has rows up to the end of the time, in one look."""
+    ledger, feed_map = view(spark, sf_dir, "fx_status"), view(spark, sf_dir, "fx_feed_map")
+    begin, end = (F.lit(str(moment)).cast("timestamp_ntz") for moment in (START, START + TIMEOUT))
+    undated = F.col("created_dt").isNull()
+    latest = op.latest_status(ledger.where(undated | (F.col("created_dt") <= begin)))
+    waiting = op.waiting_rules(op.categorize(latest, feed_map))
+    rows = _ledger_with_zone(spark, sf_dir).where(undated | (F.col("created_dt") <= end.cast("timestamp")))
+    path, session = work_folder(spark, "wait-stream"), stream_session(spark)
+    rows.write.parquet(path)
+    stream = session.readStream.schema(rows.schema).parquet(path)
+    return streaming.wait_for_exceptions(waiting, stream, work_folder(spark, "looks"), work_folder(spark, "state"), timedelta(seconds=1))
+
+
 def f7_all_succeeded_v1(spark, sf_dir):
     return op.all_succeeded(_applicable(spark, sf_dir), view(spark, sf_dir, "fx_status"), GROUPS)
 
@@ -415,19 +471,36 @@ def f9_verdict_v1(spark, sf_dir):
                                      view(spark, sf_dir, "fx_status"), GROUPS)
 
 
+def f9_verdict_of_run(spark, sf_dir):
+    """Two runs with one ledger, each judged by its own rows of the approved rules."""
+    rows = [_program_rule(name) for name in SQL_RULES + PYTHON_RULES]
+    catalog = spark.createDataFrame([tuple(row.values()) for row in rows], RUNNABLE_RULE_SCHEMA).select(*RULE_COLUMNS)
+    approved = catalog.select("rule_id", F.lit("Approved").alias("approval_status"))
+    approvals = view(spark, sf_dir, "fx_approvals").unionByName(approved)
+    settings, runs = _settings(spark, sf_dir), None
+    for number in (1, 2):
+        summary = plans.run(spark, catalog, view(spark, sf_dir, "fx_feed_map"), settings, MODULE, STAGE, ["ours"], FEED,
+                            judge=plans.by_approvals(approvals))
+        summary = summary.select(F.lit(number).alias("run"), "rules", "succeeded", "passes", "exit_code")
+        runs = runs.unionByName(summary) if runs else summary
+    saved = spark.read.parquet(f"{settings.results}/*/*").agg(F.count(F.lit(1)).alias("result_rows"))
+    return runs.withColumn("result_rows", F.lit(saved.first()[0]))
+
+
 def f10_exit_code(spark, sf_dir):
     return _verdicts(spark, sf_dir).select(*GROUPS, op.exit_code("passes").alias("exit_code"))
 
 
 def f11_run(spark, sf_dir):
-    """Three runs over one catalog: all rules good, one bad, and no rules."""
+    """Runs over one catalog: all rules good, one bad, one that would end the process, and no rules."""
     bad = _program_rule("bad_cast", package="theirs", program_type="Python", program_code="rulespark.bad_cast")
     rows = [_program_rule(name) for name in SQL_RULES + PYTHON_RULES]
-    rows += [_program_rule("neg_balance", package="theirs"), bad]
+    leaving = _program_rule("leaves", package="leaving", program_type="Python", program_code="rulespark.leaves")
+    rows += [_program_rule("neg_balance", package="theirs"), bad, _program_rule("neg_balance", package="leaving"), leaving]
     catalog = spark.createDataFrame([tuple(row.values()) for row in rows], RUNNABLE_RULE_SCHEMA)
     settings = _settings(spark, sf_dir)
     runs = None
-    for package in ("ours", "theirs", "nobody's"):
+    for package in ("ours", "theirs", "leaving", "nobody's"):
         summary = plans.run(spark, catalog.select(*RULE_COLUMNS), view(spark, sf_dir, "fx_feed_map"), settings,
                             MODULE, STAGE, [package], FEED)
         summary = summary.select(F.lit(package).alias("package"), "rules", "succeeded", "passes", "exit_code")
@@ -451,6 +524,12 @@ def _bad_cast(spark, dataframes, as_of_date, rule_id):
         name.alias("COL2"), name.alias("COL3"))
 
 
+@plans.python_rule("rulespark.leaves")
+def _leaves(spark, dataframes, as_of_date, rule_id):
+    """A rule that tries to end the process, as a success."""
+    sys.exit(0)
+
+
 # Functions
 
 

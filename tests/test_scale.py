@@ -5,9 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from rulespark import operators as op
 from rulespark.checks.fixtures import view
+from rulespark.checks.queries import all_queries
 from rulespark.model import RULE_COLUMNS
 
 SMALL = "/root/testdata/sf0.001"
@@ -127,12 +127,12 @@ def test_hot_rule_in_every_answer(files):
     assert verdict.given == verdict.in_ledger == files("ledger").select("rule_id").distinct().count() - 1
 
 
-RUN_IN_PLACE = ("a3", "a4", "c7", "c8", "d", "e8", "f11", "f6_stream")
+RUN_IN_PLACE = ("a3", "a4", "c7", "c8", "d", "e8", "f11", "f6_stream", "f6_wait", "f9_verdict_of_run")
 
 
-@pytest.mark.parametrize("name", [name for name in entry_points.queries() if not name.startswith(RUN_IN_PLACE)])
+@pytest.mark.parametrize("name", [name for name in all_queries() if not name.startswith(RUN_IN_PLACE)])
 def test_no_query_pairs_all_rows(spark, no_broadcast, name):
-    text = plan(entry_points.queries()[name](spark, SMALL))
+    text = plan(all_queries()[name](spark, SMALL))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     assert "PythonUDF" not in text and "EvalPython" not in text
 
