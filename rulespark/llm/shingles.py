@@ -7,7 +7,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_PART = 4 << 20
+_PART = 1 << 20
 _powers = {}
 
 
@@ -44,7 +44,7 @@ def _word_hashes(data):
 
 
 def _parts(texts):
-    """Runs of texts of a few megabytes together; a longer text is a run of its own."""
+    """Runs of texts of about a megabyte together; a longer text is a run of its own."""
     begin, size = 0, 0
     for place, text in enumerate(texts):
         if size and size + len(text) > _PART:
