@@ -5,6 +5,7 @@ the key space, and prefix sums of their sizes say where the source's budget ends
 per range first, then from range to range, then within each range. A budget above the
 source's size repeats the source, whole first and then up to the cut. The document at
 the cut gives the words that are left, so that a source's words equal its budget.
+``mixed`` says how often and how far each document is taken; ``corpus`` gives the texts.
 
 Ranges are leading digits of the key, so a source with a third of all rows is sorted
 in as many tasks as there are ranges, and the same in every run. Only sources and
@@ -14,7 +15,7 @@ ranges, never documents, meet in one task.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .text import same, words
+from .text import WORD_END, same, words
 
 WEIGHTS, CAP, SEED = (1, 2, 3), 3, "mix-1"
 #: Hexadecimal digits of the key that name a range: 4096 ranges for each source.
@@ -49,7 +50,8 @@ def mixed(docs: DataFrame, weights=WEIGHTS, cap=CAP, seed=SEED, digits=DIGITS, t
     """Each row as the struct ``row``, with source, size, source_size, target and taken.
 
     Size is the number of words; null texts have none. Null is a source of its own.
-    ``taken`` counts repeats, and is at most ``cap`` times the size. Rows that are alike
+    ``taken`` is the words of ``repeats`` whole copies and of the ``cut``, the first
+    words of one more; it is at most ``cap`` times the size. Rows that are alike
     in id and text share a key: which of them the cut meets makes no difference.
     """
     key = F.md5(F.concat_ws(":", F.lit(seed), F.col(doc_id).cast("string"), F.col(text)).cast("binary"))
@@ -70,4 +72,26 @@ def mixed(docs: DataFrame, weights=WEIGHTS, cap=CAP, seed=SEED, digits=DIGITS, t
     rows = rows.select("row", "source", "size", "source_size", "target", start.alias("start"), repeats.alias("repeats"),
                        (budget - repeats * F.col("source_size")).alias("rest"))
     cut = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("start")))
-    return rows.select("row", "source", "size", "source_size", "target", (F.col("repeats") * F.col("size") + cut).alias("taken"))
+    rows = rows.withColumn("cut", cut)
+    return rows.select("row", "source", "size", "source_size", "target",
+                       (F.col("repeats") * F.col("size") + F.col("cut")).alias("taken"), "repeats", "cut")
+
+
+def first_words(text, count):
+    """The text up to the end of that many words, with its white space."""
+    return F.array_join(F.slice(F.split(text, WORD_END), F.lit(1), count.cast("int")), "")
+
+
+def corpus(rows: DataFrame, text="text") -> DataFrame:
+    """The mix itself: from rows of ``mixed``, each copy that is taken as a row.
+
+    ``row`` has the text of the copy, whole or its first words; ``epoch`` counts the
+    copies of a row from 1. Documents of which nothing is taken, and those without
+    words, give no row.
+    """
+    copies = F.col("repeats") + (F.col("cut") > 0).cast("long")
+    copies = F.when(F.col("taken") > 0, F.sequence(F.lit(1).cast("long"), copies))
+    rows = rows.select("*", F.explode(copies).alias("epoch"))
+    own = F.col("row").getField(text)
+    short = (F.col("epoch") > F.col("repeats")) & (F.col("cut") < F.col("size"))
+    return rows.withColumn("row", F.col("row").withField(text, F.when(short, first_words(own, F.col("cut"))).otherwise(own)))

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 SPACES = " \t\n\x0b\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+#: The place after a word's last character, unless the text ends there.
+WORD_END = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
