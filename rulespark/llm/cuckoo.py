@@ -24,6 +24,8 @@ class CuckooFilter:
     """Says no only for keys that aren't in it. Tables are added as they fill up.
 
     A key must be put in once and taken out once; what it stands for is counted outside.
+    Where several tables show a key's mark, one of them may be another key's: ``remove``
+    then leaves them all, which can only let through more. Who wants them gone builds anew.
     """
 
     def __init__(self, tables=()):
@@ -66,12 +68,15 @@ class CuckooFilter:
 
     def remove(self, high, low):
         for at in range(len(high)):
+            shown = []
             for table in self.tables:
                 marks, first, second = _places(high[at : at + 1], low[at : at + 1], len(table))
                 bucket = next((way for way in (int(first[0]), int(second[0])) if (table[way] == marks[0]).any()), None)
                 if bucket is not None:
-                    table[bucket, int(np.argmax(table[bucket] == marks[0]))] = 0
-                    break
+                    shown.append((table, bucket, int(np.argmax(table[bucket] == marks[0]))))
+            if len(shown) == 1:
+                table, bucket, slot = shown[0]
+                table[bucket, slot] = 0
 
     def _grow(self, keys):
         buckets = 1 << max(4, int(np.ceil(np.log2(max(1, keys) / (SLOTS * 0.8)))))

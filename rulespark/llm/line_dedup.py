@@ -5,7 +5,9 @@ for each line key (a 128-bit hash of the stripped, lower-cased line), the exact
 of documents that hold it. ``filters`` has a cuckoo filter per shard of the keys that
 enough documents hold. Adding documents counts up and puts keys that reach the bound
 into their shard's filter; removing documents counts down and takes keys out again, so
-an index after adding and removing equals the one before. Each change writes a new
+an index after adding and removing equals the one before. A filter that has grown to
+several tables doesn't tell which of them a key is in: on removal it is built anew from
+the exact counts. Each change writes a new
 version of both tables and leaves the old.
 
 To drop lines, the keys of each document meet the filter of their shard, which lets
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from ..session import work_folder
-from .cuckoo import CuckooFilter
+from .cuckoo import SLOTS, CuckooFilter
 from .text import SPACES, same
 
 MIN_CHARS, MIN_DOCS, SHARDS, SALTS = 1, 10, 64, 16
@@ -102,6 +104,12 @@ def _changed_filter(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"shard": rows["shard"].iloc[:1].to_numpy(), "filter": [filter_.dumps()]})
 
 
+def _has_tables():
+    """Whether a filter has more than one table; its first eight bytes are the first one's buckets."""
+    digits = F.concat(*(F.hex(F.substring("filter", at, 1)) for at in range(8, 0, -1)))
+    return F.length("filter") > 8 + F.conv(digits, 16, 10).cast("long") * SLOTS * 2
+
+
 def changed(index: LineIndex, docs: DataFrame, sign=1, text="text") -> LineIndex:
     """The index after adding the documents, or removing them where ``sign`` is -1."""
     spark = docs.sparkSession
@@ -115,13 +123,19 @@ def changed(index: LineIndex, docs: DataFrame, sign=1, text="text") -> LineIndex
     rows.where(f"docs > 0 OR before >= {index.min_docs}").write.parquet(counts)
 
     enters, was = F.col("docs") >= index.min_docs, F.col("before") >= index.min_docs
-    keys = spark.read.parquet(counts).where(enters != was).select(
-        _shard(index.shards).alias("shard"), F.lit(None).cast("binary").alias("filter"), "high", "low", enters.alias("enters"))
+    keys = spark.read.parquet(counts).where(enters | was).withColumn("shard", _shard(index.shards))
+    moves = enters != was
+    if index.filters:
+        held = spark.read.parquet(index.filters)
+        if sign < 0:
+            anew = F.broadcast(held.where(_has_tables()).select("shard", F.lit(True).alias("anew")))
+            keys, held = keys.join(anew, "shard", "left"), held.join(anew, "shard", "left_anti")
+            moves = F.when(F.col("anew"), enters).otherwise(moves)
+    keys = keys.where(moves).select("shard", F.lit(None).cast("binary").alias("filter"), "high", "low", enters.alias("enters"))
     if index.filters:
         # no null among the hashes: pandas would turn the column into floats
         zero = F.lit(0).cast("long")
-        held = spark.read.parquet(index.filters).withColumns({"high": zero, "low": zero})
-        keys = keys.unionByName(held, allowMissingColumns=True)
+        keys = keys.unionByName(held.withColumns({"high": zero, "low": zero}), allowMissingColumns=True)
     keys.groupBy("shard").applyInPandas(_changed_filter, "shard int, filter binary").write.parquet(filters)
     return index._replace(counts=counts, filters=filters)
 
