@@ -1,7 +1,8 @@
 """Personal data and secrets, replaced by surrogates of the same kind.
 
 Detected: mail addresses, telephone numbers, IPv4 addresses, long card-like numbers,
-secrets given as ``token = ...`` and the like, and names after a title. A surrogate is
+secrets given as ``token = ...`` and the like or known by their first letters, names
+after a title, and later mentions of these names in the same document. A surrogate is
 drawn with a secret key from the value alone, so that a value has the same surrogate in
 every document: digits for digits, letters for letters of the same case, octets for
 octets; a card number stays valid if it was, a mail address keeps the ending of its
@@ -13,6 +14,14 @@ draws a value that occurs, all but the smallest value draw again, until none is
 Later draws are joined to the documents that hold such a value; all others draw their
 surrogates as they are rewritten, so texts are not shuffled unless those are many.
 
+Not detected: names that never follow one of ``TITLES`` in their document, mentions before
+the title or in another case or inflection, third and later names, names in scripts whose
+vowels are combining marks; telephone numbers without separators that have no plus, and
+local ones without area code; IPv6; postal addresses, dates of birth and identity numbers;
+secrets without a key word or known start. A name alone after a title is a family name
+unless its document has it as a first name, and a first name of unknown gender is a kind
+of its own: such a name may have another surrogate in another document.
+
 Null and empty texts have no entities and stay as they are. Later draws are kept by
 value, so rows with repeated or null ids each get those of their own values.
 """
@@ -38,16 +47,28 @@ class Entity(NamedTuple):
 
 
 _DOMAIN = re.compile(r"@([A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,})")
-_LOCAL = re.compile(r"[A-Za-z0-9_](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_])?$|[A-Za-z0-9_]$")
-_PHONE = re.compile(r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d.])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)")
+#: With a plus or 00; in groups of 3, 3 and 4 digits; with a trunk 0 and nine digits at least.
+_PHONE = re.compile(
+    r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d.])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
+    r"|(?<![\w.+/-])00[1-9]\d{0,2}[ .-](?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+    r"|(?<![\w.+/-])(?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w]|[.-]\d)"
+    r"|(?<![\w.+/-])(?=\(?0(?:[ /()-]{0,2}\d){8,13}(?!\d))(?:\(0[1-9]\d{0,3}\) ?|0[1-9]\d{0,3}[ /-])\d{2,8}(?:[ -]\d{2,5}){0,4}(?![\w]|[.-]\d)")
 _IPV4 = re.compile(r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)")
 _CARD = re.compile(r"(?<![\d+.])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{13,19})(?!\d)")
-_SECRET = re.compile(r"(?i:token|secret|password|passwd|api[_-]?key)(?:\"|')?\s*[=:]\s*[\"']?([A-Za-z0-9_+/=-]{12,})")
-#: Titles by gender; those that are words of their own need their dot.
+_SECRET_NAME = r"(?i:token|secret|passw(?:or)?d|passwd|passphrase|pwd|(?:api|access|private|secret)[_ -]?key|credentials?)(?:\"|')?\s*(?:=>|[=:])\s*"
+_SECRET = re.compile(_SECRET_NAME + r"(?:[\"']?([A-Za-z0-9_+/=-]{12,})|[\"']?(?=[^\s\"'<>,;]*\d)([^\s\"'<>,;]{7,}[^\s\"'<>,;.!?)]))")
+#: Secrets that say by their first letters what they are.
+_KNOWN = re.compile(
+    r"(?<![A-Za-z0-9_-])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk[_-][A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+    r"|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}|(?<=Bearer )[A-Za-z0-9._~+/=-]{12,})(?![A-Za-z0-9_-])")
+#: Titles by gender, none for those of both; those that are words of their own need their dot.
 TITLES = {"Mr.": "m", "Mrs.": "f", "Ms.": "f", "Herr": "m", "Frau": "f", "Monsieur": "m", "Madame": "f", "Mme": "f",
-          "Señor": "m", "Señora": "f", "Sr.": "m", "Sra.": "f", "Господин": "m", "Госпожа": "f"}
+          "Señor": "m", "Señora": "f", "Sr.": "m", "Sra.": "f", "Господин": "m", "Госпожа": "f",
+          "Mr": "m", "Mrs": "f", "Miss": "f", "Sir": "m", "Mlle": "f", "Herrn": "m", "Don": "m", "Doña": "f", "Dra.": "f",
+          "Κύριος": "m", "Κύριε": "m", "Κυρία": "f", "Mx.": "", "Dr.": "", "Dr": "", "Prof.": "", "Prof": "", "Professor": "", "Доктор": ""}
+_TITLE = "(?:" + "|".join(map(re.escape, sorted(TITLES, key=len, reverse=True))) + ")"
 _TITLED = re.compile(
-    r"(?<!\w)(" + "|".join(map(re.escape, sorted(TITLES, key=len, reverse=True))) + r") ([^\W\d_]+(?:-[^\W\d_]+)?)(?: ([^\W\d_]+(?:-[^\W\d_]+)?))?")
+    rf"(?<!\w)({_TITLE}(?: {_TITLE})*) ([^\W\d_]+(?:[-'’][^\W\d_]+)*)(?: ([^\W\d_]+(?:[-'’][^\W\d_]+)*))?")
 
 
 def _luhn(digits):
@@ -59,33 +80,80 @@ def _luhn(digits):
 
 
 _DIGIT = re.compile(r"\d")
-_SECRET_WORDS = ("token", "secret", "password", "passwd", "api")
+_SECRET_WORDS = ("token", "secret", "passw", "passphrase", "pwd", "key", "credential")
+_KNOWN_STARTS = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "sk_", "xox", "eyJ", "Bearer ")
 _TITLE_STARTS = tuple(f"{title} " for title in TITLES)
 
 
+def _local(text, end):
+    """Where the local part that ends there starts; the end itself if there is none."""
+    start = end
+    while start and (text[start - 1] in "._%+-" or text[start - 1] < "\u0590" and text[start - 1].isalnum()):
+        start -= 1
+    while start < end and text[start] in ".%+-":
+        start += 1
+    return start if text[end - 1 : end] not in (".", "%", "+", "-") else end
+
+
+def _is_name(word):
+    return not word[0].islower()
+
+
+def _names(text):
+    """Names after titles, and where these names stand alone later on."""
+    found, firsts = [], {}
+    for match in _TITLED.finditer(text):
+        if _is_name(match[2]):
+            gender = next(filter(None, map(TITLES.get, match[1].split(" "))), "")
+            both = match[3] and _is_name(match[3]) and (match[3][0].isupper() or not match[2][0].isupper())
+            kind = "family" if not both else f"first_{gender}" if gender else "first"
+            found.append(Entity(*match.span(2), kind, match[2]))
+            if both:
+                value = normal(kind, match[2])
+                firsts[value] = max(kind, firsts.get(value, kind))
+                found.append(Entity(*match.span(3), "second", match[3]))
+    # a name alone is a first name if it is one elsewhere; without a gender, it has the one known
+    for at, (start, end, kind, value) in enumerate(found):
+        if kind in ("family", "first"):
+            found[at] = Entity(start, end, firsts.get(normal("family", value), kind), value)
+        elif kind == "second":
+            found[at] = Entity(start, end, "family", value)
+    kinds = {}
+    for entity in found:
+        kinds.setdefault(entity.value, entity)
+    if kinds:
+        for match in _WORD.finditer(text, found[0].end):
+            first = kinds.get(match[0])
+            if first and match.start() >= first.end and len(match[0]) > 1:
+                found.append(Entity(*match.span(), first.kind, match[0]))
+    return {entity.start: entity for entity in reversed(found)}.values()
+
+
+_WORD = re.compile(r"(?<!\w)[^\W\d_]+(?:[-'’][^\W\d_]+)*(?!\w)")
+
+
 def _found(text):
     """All matches. Most texts lack what a kind can't be without, which is quick to see."""
     if "@" in text:
         for match in _DOMAIN.finditer(text):
-            local = _LOCAL.search(text, max(0, match.start() - 64), match.start())
-            if local:
-                yield Entity(local.start(), match.end(), "mail", text[local.start() : match.end()])
+            start = _local(text, match.start())
+            if start < match.start():
+                yield Entity(start, match.end(), "mail", text[start : match.end()])
     if "=" in text or ":" in text:
         folded = text.casefold()
         if any(word in folded for word in _SECRET_WORDS):
             for match in _SECRET.finditer(text):
-                yield Entity(*match.span(1), "secret", match[1])
+                yield Entity(*match.span(match.lastindex), "secret", match[match.lastindex])
+    if any(start in text for start in _KNOWN_STARTS):
+        for match in _KNOWN.finditer(text):
+            yield Entity(*match.span(), "secret", match[0])
     if _DIGIT.search(text):
         for kind, pattern in (("phone", _PHONE), ("ip", _IPV4), ("card", _CARD)):
             for match in pattern.finditer(text):
                 if kind != "ip" or all(int(part) < 256 for part in match[0].split(".")):
                     yield Entity(*match.span(), kind, match[0])
     if any(title in text for title in _TITLE_STARTS):
-        for match in _TITLED.finditer(text):
-            gender, names = TITLES[match[1]], [place for place in (2, 3) if match[place] and match[place][0].isupper()]
-            for place in names if names[:1] == [2] else ():
-                kind = f"first_{gender}" if place == 2 and len(names) == 2 else "family"
-                yield Entity(*match.span(place), kind, match[place])
+        yield from _names(text)
 
 
 def entities(text):
@@ -127,6 +195,8 @@ def _characters(draws, value):
             out.append(chr(97 + draws.below(26)))
         elif "A" <= char <= "Z":
             out.append(chr(65 + draws.below(26)))
+        elif char > "\x7f" and char.isalpha():
+            out.append(chr(97 + draws.below(26)))
         else:
             out.append(char)
     return "".join(out)
@@ -135,14 +205,28 @@ def _characters(draws, value):
 #: Syllables that names are made of, by script, and their endings by gender.
 _SYLLABLES = {
     "latin": (["b", "d", "f", "g", "k", "l", "m", "n", "p", "r", "s", "t", "v"], ["a", "e", "i", "o", "u"],
-              {"first_m": ["n", "r", "s", "k"], "first_f": ["na", "la", "ra", "sa"], "family": ["ner", "son", "man", "ler"]}),
+              {"first_m": ["n", "r", "s", "k"], "first_f": ["na", "la", "ra", "sa"], "first": ["i", "e"], "family": ["ner", "son", "man", "ler"]}),
     "cyrillic": (["б", "в", "г", "д", "к", "л", "м", "н", "п", "р", "с", "т"], ["а", "е", "и", "о", "у"],
-                 {"first_m": ["н", "р", "с", "к"], "first_f": ["на", "ла", "ра", "са"], "family": ["нов", "ров", "лин", "кин"]}),
+                 {"first_m": ["н", "р", "с", "к"], "first_f": ["на", "ла", "ра", "са"], "first": ["и", "е"], "family": ["нов", "ров", "лин", "кин"]}),
+    "greek": (["β", "γ", "δ", "κ", "λ", "μ", "ν", "π", "ρ", "σ", "τ"], ["α", "ε", "ι", "ο"],
+              {"first_m": ["νος", "ρος", "σης"], "first_f": ["να", "λα", "ρα"], "first": ["νι", "ρι"], "family": ["δης", "πουλος", "κης"]}),
 }
+#: Scripts without capitals: a range of characters, and letters that names are drawn from.
+_LETTERS = [
+    ("\u0590", "\u05ff", "אבגדהוזחטילמנסעפצקרשת"), ("\u0600", "\u06ff", "ابتجحدرزسشصطعفقكلمنهوي"),
+    ("\u3040", "\u309f", "あいうえおかきくけこさしすせそたちつてとなにのはひふほまみむもやゆよらりるれろわ"),
+    ("\u30a0", "\u30ff", "アイウエオカキクケコサシスセソタチツテトナニノハヒフホマミムモヤユヨラリルレロワ"),
+    ("\u3400", "\u9fff", "安白成德东方光国海和华家建江杰金立林龙明宁平青荣山石水松天文武西祥新星永玉云志中"),
+    ("\uac00", "\ud7a3", "가강경고나남다대도라리마미민박배보서성수시아영오우유윤이인재정조주지진창태하한현호"),
+]
 
 
 def _name(draws, kind, value, draw):
-    first, then, endings = _SYLLABLES["cyrillic" if any("Ѐ" <= char <= "ӿ" for char in value) else "latin"]
+    for low, high, letters in _LETTERS:
+        if low <= value[0] <= high:
+            return "".join(letters[draws.below(len(letters))] for _ in range(max(2, len(value)) + draw // 4))
+    script = "cyrillic" if any("Ѐ" <= char <= "ӿ" for char in value) else "greek" if any("Ͱ" <= char <= "Ͽ" for char in value) else "latin"
+    first, then, endings = _SYLLABLES[script]
     syllables = max(2, min(6, len(value) // 2)) + draw // 4
     name = "".join(first[draws.below(len(first))] + then[draws.below(len(then))] for _ in range(syllables))
     return name + endings[kind][draws.below(len(endings[kind]))]
