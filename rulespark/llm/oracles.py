@@ -135,8 +135,34 @@ WITH docs AS (
 SELECT doc_id, len(lines) AS n_lines, len(lines) - coalesce(n, 0) AS n_dropped, sha256(coalesce(body, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (rid)"""
 
+_TERMS = f"regexp_extract_all({_LOWER.format('text')}, '{{}}')".format(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+RANKED_SEARCH = f"""
+WITH asked AS (
+  SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark
+), bodies AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL
+), corpus AS (
+  SELECT CAST(count(*) FILTER (len(terms) > 0) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM bodies
+), norms AS (
+  SELECT rid, doc_id, CAST(50 + (50 * len(terms) * n_docs) // n_terms AS BIGINT) AS m FROM bodies, corpus WHERE len(terms) > 0
+), counts AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(terms) AS term FROM bodies)
+  WHERE term IN (SELECT term FROM asked) GROUP BY rid, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), corpus
+), scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN norms USING (rid) GROUP BY item_id, doc_id, rid
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50"""
+
 ORACLES = {
     "op2_line_dedup": LINE_DEDUP,
     "op1_url_filters": URL_FILTERS, "op5_decontamination": DECONTAMINATION, "op7_mixing": mixing("documents"),
-    "op8_quality_rules": QUALITY,
+    "op8_quality_rules": QUALITY, "op11_ranked_search": RANKED_SEARCH,
 }

@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, ngram_join, pii, quality, suffix_dedup, token_counts, url_filter, warc
+from . import (
+    decontaminate, line_dedup, mixing, ngram_join, pii, quality, ranked_search, suffix_dedup, token_align, token_counts, url_filter, warc,
+)
 
 URL_RULES = """
 SELECT * FROM VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
@@ -11,6 +13,7 @@ SELECT * FROM VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('
 #: For the checks only: what is drawn with it can be drawn again by anyone who has it.
 SURROGATE_KEY = b"key of the checks"
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+TOKENIZER_A, TOKENIZER_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _table(spark, sf_dir, name):
@@ -75,10 +78,19 @@ def op10_suffix_dedup(spark, sf_dir):
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_ranked_search(spark, sf_dir):
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_align(spark, sf_dir):
+    a, b = token_align.byte_level_coder(TOKENIZER_A), token_align.piece_coder(TOKENIZER_B)
+    return token_align.compared(_table(spark, sf_dir, "documents"), a, b)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_url_filters, op2_line_dedup, op3_ngram_join, op4_warc, op5_decontamination, op6_pii, op7_mixing, op8_quality_rules,
-        op9_token_counts, op10_suffix_dedup,
+        op9_token_counts, op10_suffix_dedup, op11_ranked_search, op12_token_align,
     )
 }

@@ -1,6 +1,7 @@
 """Plain versions of the operators, over Python lists."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -104,3 +105,71 @@ def contamination(text, items, size=10):
                     hit.update(range(at, at + len(window)))
                     found.add("null" if item is None else str(item))
     return len(words), len(hit), sorted(found)
+
+
+def search(docs, items, top=50):
+    """Per item id its (rank, doc id, score), of (doc id, text) and (item id, text)."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    bags = [(doc_id, Counter(term.findall((text or "").translate(LOWER)))) for doc_id, text in docs]
+    sizes = [sum(bag.values()) for _, bag in bags]
+    n_docs, n_terms, asked = sum(size > 0 for size in sizes), sum(sizes), {}
+    for item, text in items:
+        asked.setdefault(item, set()).update(term.findall((text or "").translate(LOWER)))
+    out = []
+    for item, terms in asked.items():
+        found = []
+        for (doc_id, bag), size in zip(bags, sizes):
+            norm = 50 + (50 * size * n_docs) // n_terms if n_terms else 50
+            score = 0
+            for one in terms & set(bag):
+                holding = sum(one in other for _, other in bags)
+                weight = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * holding + 1)))
+                score += weight * ((1000000000 * bag[one]) // (1000 * bag[one] + 20 * norm))
+            if score > 0:
+                found.append((-score, doc_id is None, doc_id or 0))
+        for rank, (score, null, doc_id) in enumerate(sorted(found)[:top], 1):
+            out.append((item, rank, None if null else doc_id, -score))
+    return out
+
+
+def alignment(texts, encode_a, encode_b, bytes_a, bytes_b):
+    """Per text: tokens of either, groups, links, best links, sum of counts, groups as text."""
+    found, counts = [], Counter()
+    for text in texts:
+        a, b = (encode_a(" " + text), encode_b(text)) if text else ([], [])
+        body = b" " + (text or "").encode()
+        if not text or b"".join(bytes_a[one] for one in a) != body or b"".join(bytes_b[one] for one in b) != body:
+            found.append(([], [], [], []))
+            continue
+        spans = []
+        for ids, of in ((a, bytes_a), (b, bytes_b)):
+            at, own = 0, []
+            for one in ids:
+                own.append((at, at + len(of[one]), one))
+                at += len(of[one])
+            spans.append(own)
+        links, begin = [], 0
+        for first, last, one in spans[0]:
+            while spans[1][begin][1] <= first:
+                begin += 1
+            place = begin
+            while place < len(spans[1]) and spans[1][place][0] < last:
+                links.append((one, spans[1][place][2]))
+                place += 1
+        cuts = sorted({last for _, last, _ in spans[0]} & {last for _, last, _ in spans[1]})
+        groups, places = [], [0, 0]
+        for cut in cuts:
+            sides = []
+            for side, own in enumerate(spans):
+                begin = places[side]
+                while places[side] < len(own) and own[places[side]][1] <= cut:
+                    places[side] += 1
+                sides.append(",".join(str(one) for _, _, one in own[begin : places[side]]))
+            groups.append("|".join(sides))
+        found.append((a, b, groups, links))
+        counts.update(links)
+    most = {}
+    for (_, other), n in counts.items():
+        most[other] = max(most.get(other, 0), n)
+    return [(len(a), len(b), len(groups), len(links), sum(counts[link] == most[link[1]] for link in links),
+             sum(counts[link] for link in links), sha(";".join(groups)) if a else "") for a, b, groups, links in found]

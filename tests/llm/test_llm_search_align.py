@@ -1,0 +1,116 @@
+"""Ranked search and token alignment, against plain versions and over odd rows."""
+
+import brute
+import pytest
+
+from odd import no_documents, odd_documents, odd_rows  # noqa: F401
+
+from rulespark.llm import frequent, queries, ranked_search, token_align
+
+SEARCH = [
+    (1, "A passage of words"), (2, "one two THREE"), (3, None), (4, ""), (None, "null id words"), (5, "nowhere_to be__found zzz"),
+    (2, "more of item two: w1 w5"), (6, "w1 w2 w3 common line word x"), (7, "漢字 и äöü"),
+]
+
+
+@pytest.fixture(scope="module")
+def coders():
+    return token_align.byte_level_coder(queries.TOKENIZER_A), token_align.piece_coder(queries.TOKENIZER_B)
+
+
+@pytest.fixture
+def items(spark):
+    return spark.createDataFrame(SEARCH, "item_id long, text string")
+
+
+@pytest.mark.parametrize("top, block_bytes", [(2, 1 << 20), (50, 100)])
+def test_search(odd_rows, odd_documents, items, top, block_bytes):
+    found = [tuple(row) for row in ranked_search.search(odd_documents, items, top=top, block_bytes=block_bytes).collect()]
+    expected = brute.search([row[:2] for row in odd_rows], SEARCH, top)
+    assert sorted(found, key=str) == sorted(expected, key=str) and found
+
+
+def test_search_classes(spark, items):
+    """Many copies: one class, its least ids; ids that come after them where a score ties."""
+    docs = [(at, "one two three") for at in range(90, 0, -1)] + [(200 + at, f"one two three of{at}") for at in range(9)]
+    docs += [(300 + at, "words one " * 3) for at in range(60)]
+    found = ranked_search.search(spark.createDataFrame(docs, "doc_id long, text string").repartition(7), items, top=5).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(brute.search(docs, SEARCH, 5), key=str)
+
+
+def test_search_of_few_cells(spark, items, odd_rows, odd_documents, monkeypatch):
+    monkeypatch.setattr(ranked_search, "CELLS", 1)
+    found = [tuple(row) for row in ranked_search.search(odd_documents, items, top=3).collect()]
+    assert sorted(found, key=str) == sorted(brute.search([row[:2] for row in odd_rows], SEARCH, 3), key=str)
+
+
+def test_equal_hashes_stay_apart(spark):
+    """Classes are told apart by their vectors, whatever the hash says."""
+    rows = spark.createDataFrame([(1, bytearray(b"a" * 8), 1), (2, bytearray(b"b" * 8), 1), (3, bytearray(b"a" * 8), 1)], "id long, vector binary, n long")
+    found = ranked_search.classes(rows, rows.n).collect()
+    assert sorted(row.least for row in found) == [1, 2]
+
+
+def test_search_of_nothing(no_documents, odd_documents, items):
+    assert ranked_search.search(no_documents, items).collect() == []
+    assert ranked_search.search(odd_documents, items.limit(0)).collect() == []
+    assert ranked_search.search(odd_documents, items.where("text is null or text = ''")).columns == ["item_id", "rank", "doc_id", "score"]
+
+
+def _expected(texts, coders):
+    a, b = (token_align._made(coder) for coder in coders)
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(queries.TOKENIZER_A)
+    plain.encode_special_tokens = True
+
+    def encode(text):
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert a(text) == ids  # pieces remembered one by one give what the whole text gives
+        return ids
+
+    return brute.alignment(texts, encode, b, coders[0].pieces, coders[1].pieces)
+
+
+ODD = [
+    "<|endoftext|> and <s> </s> <unk> <0x0A>", "tabs\tand\r\nlines\n\n\n  spaces   ", "it's we'll I'D 's''s ''re", "\x00\x01 nul", "漢字かな交じり文 と emoji 🎉🎉",
+    "▁ a piece's own space ▁▁", "naïve café  façade", " " * 3000 + "x" + "\n" * 3000, "a", " ", "́ combining", "1234567890 12 3", "ﬁne ½ ² Ⅷ",
+]
+
+
+@pytest.mark.parametrize("hot", [0, 3, 1 << 17])
+def test_alignment(spark, odd_rows, odd_documents, coders, hot):
+    docs = odd_documents.select("doc_id", "text", "id", "row").union(
+        spark.createDataFrame([(100 + at, text, "x", "y") for at, text in enumerate(ODD)], "doc_id long, text string, id string, row string"))
+    found = token_align.compared(docs, *coders, carry=("doc_id", "id"), hot=hot).drop("id").collect()
+    rows = [row[:2] for row in odd_rows] + [(100 + at, text) for at, text in enumerate(ODD)]
+    expected = _expected([text for _, text in rows], coders)
+    assert sorted(map(tuple, found), key=str) == sorted(((doc[0], *of) for doc, of in zip(rows, expected)), key=str)
+
+
+def test_alignment_of_documents(spark, coders):
+    from conftest import SF_DIR
+
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    found = {row.doc_id: tuple(row)[1:] for row in queries.QUERIES["op12_token_align"](spark, SF_DIR).collect()}
+    assert found == {row.doc_id: of for row, of in zip(rows, _expected([row.text for row in rows], coders))}
+
+
+def test_alignment_in_parts(spark, odd_documents, coders, monkeypatch):
+    whole = sorted(map(tuple, token_align.compared(odd_documents, *coders).collect()), key=str)
+    monkeypatch.setattr(token_align, "HELD", 1)
+    assert sorted(map(tuple, token_align.compared(odd_documents, *coders).collect()), key=str) == whole
+
+
+def test_alignment_of_nothing(no_documents, coders):
+    assert token_align.compared(no_documents, *coders).collect() == []
+
+
+def test_most_frequent(spark):
+    counts = spark.createDataFrame([(key, 1 + key * key) for key in range(100)], "key long, n long")
+    for most in (0, 1, 10, 99, 100, 1000):
+        held, condition = frequent.split(counts, most)
+        keys = {row.key for row in held.collect()}
+        assert len(keys) <= most and keys == set(range(100 - len(keys), 100))
+        assert {row.key for row in counts.where(~condition).collect()} == set(range(100)) - keys
+    assert len(frequent.split(counts, 100)[0].collect()) == 100
