@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, line_dedup, mixing, ngram_join, pii, quality, ranked_search, suffix_dedup, token_align, token_counts, url_filter, warc,
+    decontaminate, line_dedup, lm_score, mixing, ngram_join, pii, quality, ranked_search, suffix_dedup, token_align, token_counts, url_filter,
+    warc,
 )
 
 URL_RULES = """
@@ -87,10 +88,15 @@ def op12_token_align(spark, sf_dir):
     return token_align.compared(_table(spark, sf_dir, "documents"), a, b)
 
 
+def op13_lm_score(spark, sf_dir):
+    return lm_score.scored(_table(spark, sf_dir, "documents")).withColumnRenamed("own_id", "doc_id")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_url_filters, op2_line_dedup, op3_ngram_join, op4_warc, op5_decontamination, op6_pii, op7_mixing, op8_quality_rules,
         op9_token_counts, op10_suffix_dedup, op11_ranked_search, op12_token_align,
+        op13_lm_score,
     )
 }

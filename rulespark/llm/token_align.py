@@ -236,7 +236,7 @@ def aligned(docs: DataFrame, a: Coder, b: Coder, text="text", carry=("doc_id",))
 
     def align(batches):
         aligner, place = _Aligner(*coders.value), TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in (batch for batch in batches if batch.num_rows):
             found = []
             for body in batch.column("body"):
                 *numbers, groups, quick, links = aligner.aligned(body.as_py())

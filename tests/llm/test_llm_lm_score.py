@@ -1,0 +1,127 @@
+"""Language-model scores: counts against plain ones, slopes against differences, held-out gain."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import SF_DIR
+from odd import no_documents, odd_documents, odd_rows  # noqa: F401
+
+from rulespark.llm import gru, lm_score, queries
+
+FAST = {"least_words": 2000}
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain(rows):
+    """Per (id, text): id, held out, tokens, known ones, training's tokens, base score."""
+    import re
+
+    docs = []
+    for doc_id, text in rows:
+        held = zlib.crc32(str("" if doc_id is None else doc_id).encode()) % 7 == 2
+        docs.append((doc_id, held, [*re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER)), "<end>"]))
+    counts = Counter(word for _, held, words in docs if not held for word in words)
+    total = sum(counts.values())
+    for doc_id, held, words in docs:
+        score = sum(math.log10((counts[word] + 1) / (total + len(counts) + 1)) for word in words)
+        yield doc_id, held, len(words), sum(counts[word] > 0 for word in words), total, score
+
+
+def same(found, expected):
+    found = sorted([tuple(row)[:6] for row in found], key=str)
+    expected = sorted(expected, key=str)
+    assert [row[:5] for row in found] == [row[:5] for row in expected]
+    assert sorted(row[5] for row in found) == pytest.approx(sorted(row[5] for row in expected))
+
+
+def test_documents(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    found = queries.QUERIES["op13_lm_score"](spark, SF_DIR).collect()
+    same(found, plain(map(tuple, rows)))
+    held = [row for row in found if row.held_out]
+    gain = sum(row.score - row.base_score for row in held) / sum(row.n_tokens for row in held)
+    assert gain > 0.2 and sum(row.score > row.base_score for row in held) > 0.9 * len(held)
+
+
+@pytest.mark.parametrize("hot", [0, 7, 1 << 17])
+def test_odd_rows(odd_rows, odd_documents, hot):
+    found = lm_score.scored(odd_documents, hot=hot, **FAST).collect()
+    same(found, plain(row[:2] for row in odd_rows))
+    assert all(row.score < 0 and math.isfinite(row.score) for row in found)
+
+
+def test_nothing(no_documents):
+    assert lm_score.scored(no_documents, **FAST).collect() == []
+
+
+def test_nothing_to_learn_from(spark):
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    found = lm_score.scored(docs, held=docs.doc_id > 0, **FAST).collect()
+    assert [(row.n_known, row.train_tokens, row.base_score) for row in found] == [(0, 0, 0.0)] * 2
+    assert all(math.isfinite(row.score) for row in found)
+
+
+def test_reruns_agree(spark, odd_documents):
+    docs = odd_documents.repartitionByRange(4, "doc_id", "text")
+    one, other = (sorted(lm_score.scored(docs, **FAST).collect(), key=str) for _ in range(2))
+    assert [row.score for row in one] == pytest.approx([row.score for row in other])
+
+
+def test_probabilities_sum_to_one(spark):
+    """Of every word of training and one unseen word per class, after any words."""
+    shape = gru.Shape(words=8, per_class=4, tails=3, hidden=5)
+    texts = ["a b a c", "a d e", "f g h i j k l a b", "m " * 5]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = lm_score.word_counts(docs, shape.tails)
+    words = lm_score.learned_words(counts, shape, 1 << 10)
+    flat = gru.started(shape, words.frequencies) + np.random.default_rng(1).normal(0, 0.3, shape.size()).astype(np.float32)
+    begin = [words.words.index("a"), words.words.index("b")]
+    before = gru.log_likelihoods(shape, flat, [np.array(begin)])[0]
+    nexts = [np.array([*begin, token]) for token in range(shape.words + shape.tails)]
+    after = np.exp(gru.log_likelihoods(shape, flat, nexts) - before)
+    sizes = Counter(words.tokens.tolist())
+    assert after.sum() == pytest.approx(1, abs=1e-5)
+    _, tokens, _, within, _ = words.prepared()
+    for tail in range(shape.tails):
+        own = 10 ** within[tokens == shape.words + tail]
+        assert own.sum() + 10 ** -words.tail_logs[tail] == pytest.approx(1)
+    assert sum(sizes.values()) == len(words.words) == 14
+
+
+def test_slopes(monkeypatch):
+    """Every part's slope against differences of the loss, over texts that end within a window."""
+    monkeypatch.setattr(np, "float32", np.float64)
+    shape = gru.Shape(words=6, per_class=3, tails=2, hidden=4)
+    draw = np.random.default_rng(3)
+    flat = np.zeros(shape.size())
+    flat += draw.normal(0, 0.5, shape.size())
+    texts = [np.array([3, 7, 1, 0]), np.array([0]), np.array([2, 5, 6, 4, 1, 0]), np.array([5, 0])]
+    tokens, _ = gru.packed(texts, 2)
+    (_, inputs, targets), = gru.windows(tokens)
+
+    def loss(of):
+        trainer = gru.Trainer(shape, of, 0.1, 1)
+        return trainer.window(inputs, targets, np.zeros((inputs.shape[1], shape.hidden)))[0], trainer.slope
+
+    _, slope = loss(flat)
+    for at in draw.permutation(len(flat))[:80]:
+        step = np.zeros(len(flat))
+        step[at] = 1e-5
+        assert (loss(flat + step)[0] - loss(flat - step)[0]) / 2e-5 == pytest.approx(slope[at], abs=1e-5)
+
+
+def test_state_is_carried():
+    """A long text's score is the same in any lanes, and depends on words many windows back."""
+    shape = gru.Shape(words=8, per_class=4, tails=2, hidden=6)
+    draw = np.random.default_rng(2)
+    flat = gru.started(shape, np.ones(10)) + draw.normal(0, 0.5, shape.size()).astype(np.float32)
+    texts = [np.array([*draw.integers(1, 10, size), 0]) for size in (1, 200, 3, 50, 0, 17, 33)]
+    together = gru.log_likelihoods(shape, flat, texts, 3)
+    alone = [gru.log_likelihoods(shape, flat, [text])[0] for text in texts]
+    assert together == pytest.approx(alone, rel=1e-4)
+    parts = shape.views(flat)
+    steps, _ = gru._advance(parts, 6, np.array([0, *texts[1][:-1]])[:, None], np.zeros((1, 6), np.float32))
+    assert np.abs(steps[64:]).max() > 0.01 and len(texts[1]) > 10 * gru.WINDOW
