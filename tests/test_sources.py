@@ -182,18 +182,56 @@ def test_shared_folder_comes_from_the_session(spark):
     assert work_folder(spark, "x") != work_folder(spark, "x")
 
 
-def test_ledger_is_read_from_a_time_on(spark, folder):
-    path = folder("ledger")
-    times = [datetime(2024, 3, 1, 23, 59), datetime(2024, 3, 2), datetime(2024, 3, 2, 12), datetime(2024, 3, 5), None]
+def _dated(spark, *times):
     rows = spark.createDataFrame([(str(n), time) for n, time in enumerate(times)], "rule_id string, created_dt timestamp")
-    others = [F.lit("").alias(name) for name in STATUS_COLUMNS if name != "rule_id"]
-    sources.append_status(rows.select("*", *others), path)
-    assert sources.read_ledger(spark, path).count() == 5
+    return rows.select("*", *[F.lit("").alias(name) for name in STATUS_COLUMNS if name != "rule_id"])
+
+
+def test_ledger_is_read_from_a_time_on(spark, folder):
+    path, far = folder("ledger"), datetime(2100, 1, 1)
+    for times in ([datetime(2024, 3, 1, 23, 59), datetime(2024, 3, 2), far], [datetime(2024, 3, 5)], [None, datetime(2024, 3, 1)]):
+        sources.append_status(_dated(spark, *times).coalesce(2), path)
+    assert sources.read_ledger(spark, path).count() == 6
     recent = sources.read_ledger(spark, path, since=datetime(2024, 3, 2, 0, 0, 1))
-    assert sorted(row.rule_id for row in recent.collect()) == ["2", "3", "4"]
-    scan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(isnull(created_day" in scan
+    assert sorted(map(str, (row.created_dt for row in recent.collect()))) == ["2024-03-05 00:00:00", "2100-01-01 00:00:00", "None"]
+    later = sources.read_ledger(spark, path, since=datetime(2099, 1, 1))
+    assert sorted(str(row.created_dt) for row in later.collect()) == ["2100-01-01 00:00:00", "None"]
+    opened = later.inputFiles()
+    assert 0 < len(opened) <= 4 and all("last_day=2100-01-01" in name or "last_day=__HIVE" in name for name in opened)
+    assert len(sources.read_ledger(spark, path).inputFiles()) > len(opened)
     assert sources.read_ledger(spark, path).schema == recent.schema
+    empty = folder("ledger")
+    sources.append_status(_dated(spark, far).limit(0), empty)
+    assert sources.read_ledger(spark, empty, far).schema.names == recent.schema.names
+
+
+def test_an_append_is_a_file_per_task(spark, folder):
+    """However many days its rows are of; the day's folder is that of the append or later."""
+    from datetime import timedelta
+
+    path = folder("ledger")
+    rows = _dated(spark, *(datetime(2001, 1, 1) + timedelta(days=day) for day in range(1000))).repartition(3)
+    sources.append_status(rows, path)
+    assert len(sources.read_ledger(spark, path).inputFiles()) == 3
+    assert sources.read_ledger(spark, path, since=datetime(2003, 9, 26)).count() == 2
+
+
+def test_an_append_is_seen_whole_or_not(spark, folder):
+    """A reader in the middle of an append, and after one that fails."""
+    import glob
+
+    path = folder("ledger")
+    rows = _dated(spark, datetime(2024, 1, 1))
+    sources.append_status(rows, path)
+    halfway = f"file:{path}" if path.startswith("/") else path
+    staged = f"{halfway.removeprefix('file:')}/_staging/other"
+    rows.write.parquet(staged)
+    assert sources.read_ledger(spark, path).count() == 1
+    bad = rows.withColumn("rule_id", F.raise_error(F.lit("breaks off")))
+    with pytest.raises(Exception, match="breaks off"):
+        sources.append_status(rows.union(bad).repartition(2, "rule_name"), path)
+    assert sources.read_ledger(spark, path).count() == 1
+    assert [name.rpartition("/")[2] for name in glob.glob(f"{path.removeprefix('file:')}/_staging/*")] == ["other"]
 
 
 def test_appends_at_once(spark, folder):
