@@ -7,11 +7,15 @@ documents are truncated to it, and which share of documents fits. Rows per sourc
 the lengths that occur, at most the longest document's tokens, however many documents
 there are; counts are combined before the shuffle.
 
+A long run of white space is taken out of the text and encoded as the piece that the
+pattern would make of it: matching it there needs a stack as deep as the run is long.
+
 Null and empty texts have no tokens. Null is a source of its own.
 """
 
 import base64
 
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -19,6 +23,11 @@ from pyspark.sql.types import LongType
 #: Fixed value: the split into pieces that the vocabulary was made with.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: White space that is encoded apart, where a text has so much of it in a row.
+LONG_RUN = 1000
+#: All of a text as one piece.
+_WHOLE = r"[\s\S]+"
+
 _ENCODINGS = {}
 
 
@@ -31,10 +40,31 @@ def _encoding(vocabulary, pattern):
     return _ENCODINGS[pattern]
 
 
+def pieces_apart(text, long_run=LONG_RUN):
+    """The text in parts, and for each whether it is one piece of white space.
+
+    The pattern ends a piece of white space at the end of the text or one character before
+    other characters, and none of its pieces begins with characters of two kinds, but for one
+    space. So a run can be cut out but for its last character, and what is before and after it
+    gives the same pieces alone.
+    """
+    at = 0
+    for run in regex.finditer(rf"\s{{{long_run},}}", text):
+        last = run.end() if run.end() == len(text) else run.end() - 1
+        yield text[at : run.start()], False
+        yield text[run.start() : last], True
+        at = last
+    yield text[at:], False
+
+
+def _token_count(text, encode, encode_piece, long_run=LONG_RUN):
+    return sum(len((encode_piece if alone else encode)(part)) for part, alone in pieces_apart(text, long_run))
+
+
 def length_of(spark, path, pattern=PATTERN):
     """A function from a text column to its encoded length, for the ranks file at ``path``.
 
-    The driver reads the file, a fixed vocabulary of about a megabyte, and broadcasts it.
+    Another ``pattern`` gets texts as they are, with white space of any length. The driver reads the file, a fixed vocabulary of about a megabyte, and broadcasts it.
     """
     import pandas as pd
 
@@ -44,7 +74,10 @@ def length_of(spark, path, pattern=PATTERN):
     @F.pandas_udf(LongType())
     def length(texts: pd.Series) -> pd.Series:
         encode = _encoding(vocabulary.value, pattern).encode_ordinary
-        return pd.Series([len(encode(text)) if text else 0 for text in texts], dtype="int64")
+        encode_piece = _encoding(vocabulary.value, _WHOLE).encode_ordinary
+        if pattern != PATTERN:
+            return pd.Series([len(encode(text)) if text else 0 for text in texts], dtype="int64")
+        return pd.Series([_token_count(text, encode, encode_piece) if text else 0 for text in texts], dtype="int64")
 
     return lambda text: length(F.col(text))
 
