@@ -260,6 +260,24 @@ def c8_run_rules(spark, sf_dir):
     return sources.read_results(spark, [outcome.path for outcome in outcomes if outcome.succeeded])
 
 
+def c8_shared(spark, sf_dir):
+    """The rules of c8_run_rules, the SQL ones in one plan, with one that fails as it runs and one that can't be resolved."""
+    bad = {"bad_text": "SELECT nothing FROM nowhere", "bad_value": (
+        "SELECT o_orderstatus AS HEADER_DATA, CAST(CAST(o_orderstatus AS INT) AS STRING) AS COL1, '' AS COL2, '' AS COL3 FROM orders")}
+    rows = [_program_rule(name) for name in SQL_RULES + PYTHON_RULES]
+    for name, text in bad.items():
+        path = f"{work_folder(spark, 'programs')}/{name}.sql"
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+        rows.append(_program_rule(name, program_code=path if "://" in path else f"file://{path}" if path.startswith("/") else path))
+    rules = spark.createDataFrame([tuple(row.values()) for row in rows], RUNNABLE_RULE_SCHEMA)
+    settings = _settings(spark, sf_dir)
+    settings.one_plan = True
+    outcomes = list(plans.run_rules(spark, rules, settings))
+    if sorted(outcome.rule_id for outcome in outcomes if not outcome.succeeded) != sorted(bad):
+        raise ValueError(f"other rules failed: {outcomes}")
+    return sources.read_results(spark, [outcome.path for outcome in outcomes if outcome.succeeded])
+
+
 # Sinks
 
 

@@ -39,12 +39,12 @@ def run_program(session, rule, tables, as_of_date):
     """
     check_date(as_of_date)
     handler = handler_for(rule["program_type"])
-    for name in _named(session, rule, tables):
+    for name in named_tables(session, rule, tables):
         tables[name].createOrReplaceTempView(name)
     return handler(session, rule, tables, as_of_date)
 
 
-def _named(session, rule, tables):
+def named_tables(session, rule, tables):
     """The tables whose names are in the program's text; all, where there is no text to look into."""
     code = rule["program_code"]
     if rule["program_type"].lower() not in ("sql", "python"):
@@ -71,13 +71,18 @@ def program_text(session, path):
     return session.read.text(path, wholetext=True).first().value
 
 
-def run_sql_rule(session, text, as_of_date):
-    """One SQL statement. The date goes in for ``${as_of_date}`` and as ``:as_of_date``."""
+def sql_arguments(text, as_of_date):
+    """A statement with the date in for ``${as_of_date}``, and the arguments that it names."""
     check_date(as_of_date)
     text = text.replace(_DATE_MARK, as_of_date)
     if "${" in text:
         raise ValueError("the only ${...} a rule may use is ${as_of_date}")
-    args = {_DATE_NAME: as_of_date} if f":{_DATE_NAME}" in text else None
+    return text, {_DATE_NAME: as_of_date} if f":{_DATE_NAME}" in text else None
+
+
+def run_sql_rule(session, text, as_of_date):
+    """One SQL statement. The date goes in for ``${as_of_date}`` and as ``:as_of_date``."""
+    text, args = sql_arguments(text, as_of_date)
     return session.sql(text, args=args)
 
 

@@ -30,6 +30,7 @@ from ..operators import (
 from ..session import rule_session, written
 from ..sources import Tables, append_status, read_ledger, read_results, write_results
 from .programs import check_date, handler_for, run_program
+from .shared import SharedRules, can_share, shared_path
 
 logger = logging.getLogger(__name__)
 
@@ -65,6 +66,7 @@ class RunSettings:
     batch: int = 100
     flush_seconds: float = 60
     share_session: bool = False
+    one_plan: bool = False
     persist: tuple = ()
     export: callable = None
     clock: callable = field(default=datetime.now)
@@ -115,7 +117,12 @@ class _Tables:
         return session, self._load(session)
 
 
-def _execute(tables, rule, settings):
+def _execute(tables, rules, settings):
+    """The outcomes of one rule, or of several that share a plan."""
+    return _execute_one(tables, rules[0], settings) if len(rules) == 1 else _execute_shared(tables, rules, settings)
+
+
+def _execute_one(tables, rule, settings):
     """Load, run, stamp, save and export. Whatever goes wrong in it is the rule's failure.
 
     So is a rule that calls ``sys.exit``: it ends itself, not the run.
@@ -126,12 +133,55 @@ def _execute(tables, rule, settings):
         path = write_results(stamp_results(rows, run_id, rule_id), settings.results, rule_id, run_id)
         if settings.export:
             settings.export(read_results(rows.sparkSession, [path]), rule)
-        return Outcome(run_id, rule_id, True, path, None)
+        return [Outcome(run_id, rule_id, True, path, None)]
     except KeyboardInterrupt:
         raise
     except BaseException as error:
-        logger.error("rule %s failed: %r", rule_id, error)
-        return Outcome(run_id, rule_id, False, None, str(error) or repr(error))
+        return [_failed(rule, error)]
+
+
+def _failed(rule, error):
+    logger.error("rule %s failed: %r", rule["rule_id"], error)
+    return Outcome(rule["rule_run_id"], rule["rule_id"], False, None, str(error) or repr(error))
+
+
+def _execute_shared(tables, rules, settings):
+    """SQL rules in one plan; those that can't be, or that make it fail, by themselves."""
+    try:
+        session, loaded = tables.for_rule(rules[0])
+        shared = SharedRules(session, loaded, settings.as_of_date)
+        taken = {rule["rule_run_id"]: rule for rule in rules if shared.add(rule)}
+    except Exception as error:
+        logger.warning("rules run by themselves: %s", error)
+        taken = {}
+    outcomes = [outcome for rule in rules if rule["rule_run_id"] not in taken for outcome in _execute_one(tables, rule, settings)]
+    for run_id, has_rows, error in shared.write_each(taken, settings.results) if taken else ():
+        outcomes.append(_saved(session, taken[run_id], has_rows, error, settings))
+    return outcomes
+
+
+def _saved(session, rule, has_rows, error, settings):
+    run_id, rule_id = rule["rule_run_id"], rule["rule_id"]
+    path = shared_path(settings.results, rule_id, run_id) if has_rows else None
+    try:
+        if error:
+            raise error
+        if settings.export:
+            settings.export(read_results(session, [path] if path else []), rule)
+        return Outcome(run_id, rule_id, True, path, None)
+    except KeyboardInterrupt:
+        raise
+    except BaseException as failure:
+        return _failed(rule, failure)
+
+
+def _groups(batch, settings):
+    """What runs together: all rules of the batch that can share a plan, and each other rule."""
+    together = [rule for rule in batch if settings.one_plan and can_share(rule)]
+    ids = {rule["rule_run_id"] for rule in together}
+    if len(ids) < len(together):  # a run id given twice can't name two folders
+        together, ids = [], set()
+    return ([together] if together else []) + [[rule] for rule in batch if rule["rule_run_id"] not in ids]
 
 
 def _program_arguments(tables, rule):
@@ -173,12 +223,11 @@ def _run_all(spark, rules, settings):
             if len(running) < settings.parallel and (batch := list(islice(rules, settings.batch))):
                 tables = tables or _Tables(spark, settings)
                 _record(spark, batch, started_rows, settings)
-                running |= {pool.submit(execute, tables, rule, settings): rule for rule in batch}
+                running |= {pool.submit(execute, tables, group, settings): group for group in _groups(batch, settings)}
             if not running:
                 return
             for future in wait(running, max(1, settings.flush_seconds), FIRST_COMPLETED).done:
-                outcome = future.result()
-                ended.append((outcome, running.pop(future) | {"succeeded": outcome.succeeded}))
+                ended += _with_rules(future.result(), running.pop(future))
             due = time.monotonic() - written_at > settings.flush_seconds
             if ended and (due or not running or len(ended) >= settings.batch):
                 outcomes, rows = zip(*ended)
@@ -190,10 +239,19 @@ def _run_all(spark, rules, settings):
         if tables:
             tables.release()
         # Left early, by the one who takes the outcomes or by an error: what has ended is still written.
-        late = [(future.result(), rule) for future, rule in running.items() if future.done() and not future.cancelled()]
-        rows = [row for _, row in ended] + [rule | {"succeeded": outcome.succeeded} for outcome, rule in late]
-        if rows:
-            _record(spark, rows, final_rows, settings)
+        for future, rules in running.items():
+            if future.done() and not future.cancelled():
+                ended += _with_rules(future.result(), rules)
+        if ended:
+            _record(spark, [row for _, row in ended], final_rows, settings)
+
+
+def _with_rules(outcomes, rules):
+    """Each outcome with its rule, as a row that says how it ended."""
+    if len(rules) == 1:
+        return [(outcome, rules[0] | {"succeeded": outcome.succeeded}) for outcome in outcomes]
+    by_run = {rule["rule_run_id"]: rule for rule in rules}
+    return [(outcome, by_run[outcome.rule_run_id] | {"succeeded": outcome.succeeded}) for outcome in outcomes]
 
 
 def by_latest_status(feed_map, resolve=None):

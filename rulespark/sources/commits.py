@@ -41,3 +41,12 @@ def folders(spark, path):
     files, below = _file_system(spark, path), _path(spark, path)
     found = [entry.getPath().getName() for entry in files.listStatus(below) if entry.isDirectory()]
     return sorted(name for name in found if not name.startswith(("_", ".")))
+
+
+def exists(spark, path):
+    return _file_system(spark, path).exists(_path(spark, path))
+
+
+def remove(spark, path):
+    """Take a folder away, if it is there."""
+    _file_system(spark, path).delete(_path(spark, path), True)

@@ -30,8 +30,8 @@ def write_results(results, base, rule_id, run_id):
 
 
 def read_results(spark, paths):
-    """Result rows of any number of runs, in one scan."""
-    paths = list(paths)
+    """Result rows of any number of runs, in one scan. None stands for a run without rows."""
+    paths = [path for path in paths if path is not None]
     if not paths:
         return spark.createDataFrame([], RESULT_SCHEMA)
     return spark.read.schema(RESULT_SCHEMA).parquet(*paths).select(*RESULT_SCHEMA.names)

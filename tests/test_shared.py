@@ -1,0 +1,134 @@
+"""SQL rules in one plan."""
+
+import re
+
+import pytest
+from conftest import SF_DIR
+
+from rulespark import plans, sources
+from rulespark.checks import queries as checks
+from rulespark.model import RESULT_COLUMNS
+from rulespark.plans.shared import SharedRules, can_share
+
+TABLES = ("orders", "customer")
+#: Twelve rules over two tables; each needs other columns and rows of them.
+TEXTS = [
+    f"SELECT 'h' AS HEADER_DATA, CAST(o_orderkey AS STRING) AS COL1, o_orderstatus AS COL2, '' AS COL3 FROM orders WHERE o_totalprice > {price}"
+    for price in (400000, 430000, 460000, 480000)
+] + [
+    f"SELECT 'h' AS HEADER_DATA, c_name AS COL1, '' AS COL2, '' AS COL3 FROM customer WHERE c_acctbal < {balance} -- a comment"
+    for balance in (-900, -500, 0)
+] + [
+    "WITH many AS (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY o_custkey) "
+    "SELECT 'h' AS HEADER_DATA, CAST(o_custkey AS STRING) AS COL1, CAST(n AS STRING) AS COL2, '' AS COL3 FROM many WHERE n > 20;",
+    "SELECT 'h' AS HEADER_DATA, c_name AS COL1, '' AS COL2, '' AS COL3 FROM customer LEFT ANTI JOIN orders ON o_custkey = c_custkey",
+    "SELECT 'h' AS HEADER_DATA, o_orderstatus AS COL1, '' AS COL2, '' AS COL3 FROM ORDERS WHERE o_orderdate > to_date(:as_of_date, 'yyyyMMdd')",
+    "SELECT * FROM (SELECT 'h' AS HEADER_DATA, c_name AS COL1, c_mktsegment AS COL2, '' AS COL3 FROM customer) INTERSECT "
+    "SELECT 'h', c_name, 'BUILDING', '' FROM customer",
+    "SELECT 'it''s \\\\ h' AS HEADER_DATA, '${as_of_date}' AS COL1, CAST(COUNT(*) AS STRING) AS COL2, CAST(NULL AS INT) AS COL3 FROM orders",
+]
+
+
+def rules_of(tmp_path, texts):
+    rules = []
+    for at, text in enumerate(texts):
+        path = tmp_path / f"rule{at}.sql"
+        path.write_text(text)
+        rules.append(checks._program_rule(f"rule{at}", program_code=str(path)))
+    return rules
+
+
+def settings_of(spark, **changes):
+    settings = checks._settings(spark, SF_DIR)
+    settings.one_plan = True
+    for name, value in changes.items():
+        setattr(settings, name, value)
+    return settings
+
+
+def run(spark, rules, settings):
+    frame = spark.createDataFrame([tuple(rule.values()) for rule in rules], ", ".join(f"{name} string" for name in rules[0]))
+    return {outcome.rule_id: outcome for outcome in plans.run_rules(spark, frame, settings)}
+
+
+def saved(spark, outcomes):
+    return sorted(map(str, sources.read_results(spark, [outcome.path for outcome in outcomes.values() if outcome.succeeded]).collect()))
+
+
+def shared_of(spark, rules):
+    from rulespark import rule_session
+
+    session = rule_session(spark)
+    tables = sources.load_tables(session, checks.data_config(SF_DIR), {})
+    shared = SharedRules(session, tables, checks.AS_OF_DATE)
+    assert all(shared.add(rule) for rule in rules)
+    return shared
+
+
+def test_rows_are_those_of_single_rules(spark, tmp_path):
+    rules = rules_of(tmp_path, TEXTS)
+    together = run(spark, rules, settings_of(spark))
+    alone = run(spark, rules, settings_of(spark, one_plan=False))
+    assert all(outcome.succeeded for outcome in [*together.values(), *alone.values()])
+    assert saved(spark, together) == saved(spark, alone) and len(saved(spark, alone)) > 100
+    assert len({outcome.path for outcome in together.values()}) > 5
+
+
+def test_each_table_is_read_once(spark, tmp_path, setting):
+    """The final plan of twelve rules scans two files' worth of tables, with the columns that rules need."""
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    rows = shared_of(spark, rules_of(tmp_path, TEXTS)).rows([f"run_rule{at}" for at in range(len(TEXTS))])
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("== Final Plan =="):plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    scans = re.findall(r"FileScan parquet \[(.*?)\].*?(\w+)\.parquet", final)
+    assert sorted(table for _, table in scans) == sorted(TABLES)
+    columns = dict((table, names) for names, table in scans)
+    assert "o_totalprice" in columns["orders"] and "c_nationkey" not in columns["customer"]
+    assert final.count("ReusedExchange") >= 10
+
+
+def test_what_fails_fails_alone(spark, tmp_path):
+    bad = "SELECT o_orderstatus AS HEADER_DATA, CAST(CAST(o_orderstatus AS INT) AS STRING) AS COL1, '' AS COL2, '' AS COL3 FROM orders"
+    texts = [*TEXTS[:5], bad, "SELECT 1 AS HEADER_DATA", "not a query", "${other}", TEXTS[7]]
+    found = run(spark, rules_of(tmp_path, texts), settings_of(spark))
+    assert [found[f"rule{at}"].succeeded for at in range(len(texts))] == [True] * 5 + [False] * 4 + [True]
+    assert "INVALID" in found["rule5"].error or "nvalid" in found["rule5"].error or "CAST" in found["rule5"].error
+    good = rules_of(tmp_path, [*TEXTS[:5], TEXTS[7]])
+    alone = run(spark, good, settings_of(spark, one_plan=False))
+    assert len(saved(spark, found)) == len(saved(spark, alone))
+
+
+def test_rules_without_rows_and_repeated_attempts(spark, tmp_path):
+    nothing = TEXTS[0].replace("400000", "400000 AND o_totalprice < 0")
+    rules, settings = rules_of(tmp_path, [nothing, TEXTS[4], TEXTS[5]]), settings_of(spark)
+    first = run(spark, rules, settings)
+    assert first["rule0"] == ("run_rule0", "rule0", True, None, None)
+    before = saved(spark, first)
+    assert saved(spark, run(spark, rules, settings)) == before
+    rules_of(tmp_path, [nothing, TEXTS[4], nothing])  # the third has no rows any more
+    again = run(spark, rules, settings)
+    assert again["rule2"].path is None and saved(spark, again) == [row for row in before if "rule2" not in row]
+
+
+def test_exports_and_ledger(spark, tmp_path):
+    seen = {}
+
+    def export(rows, rule):
+        seen[rule["rule_id"]] = rows.count()
+        assert rows.columns == list(RESULT_COLUMNS)
+        if rule["rule_id"] == "rule1":
+            raise ValueError("not there")
+
+    settings = settings_of(spark, export=export)
+    found = run(spark, rules_of(tmp_path, TEXTS[:4]), settings)
+    assert [found[f"rule{at}"].succeeded for at in range(4)] == [True, False, True, True] and set(seen) == set(found)
+    ledger = sources.read_ledger(spark, settings.ledger)
+    ended = {row.rule_id: row.rule_execution_status for row in ledger.where("workflow_status <> 'In Progress'").collect()}
+    assert ended == {"rule0": "Success", "rule1": "Failure", "rule2": "Success", "rule3": "Success"}
+
+
+@pytest.mark.parametrize("changes", [{"program_type": "Python"}, {"rule_id": "a/b"}, {"rule_run_id": ""}, {"rule_id": ".."}, {"program_type": None}])
+def test_what_runs_by_itself(changes):
+    rule = checks._program_rule("neg_balance")
+    assert can_share(rule) and not can_share(rule | changes)
