@@ -21,6 +21,7 @@ told apart by their place, not by their id: null and repeated ids are rows of th
 import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ HELD = 1 << 20
 
 #: Fixed value: how the byte-level vocabulary splits texts into pieces, for letters up to U+036F.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: A text that begins with a space, in parts that each begin with all the spaces before a word.
+_WORDS = regex.compile(r" +[^ ]*")
 _OTHER_LETTERS = regex.compile(r"[^\x00-ͯ]")
 #: Pieces whose ids a task remembers, and the longest of them.
 _REMEMBERED, _SHORT = 1 << 18, 64
@@ -65,24 +68,24 @@ def _byte_level(state):
 
     tokenizer = Tokenizer.from_str(state.decode())
     tokenizer.encode_special_tokens = True
-    remembered = {}
+    letters = str.maketrans({byte: letter for letter, byte in _byte_of_letters().items()})
+    model, remembered = tokenizer.model, {}
 
     def whole(text):
         return tokenizer.encode(text, add_special_tokens=False).ids
 
+    def of_piece(piece):
+        ids = [token.id for token in model.tokenize(piece.encode().decode("latin-1").translate(letters))]
+        if len(piece) <= _SHORT and len(remembered) < _REMEMBERED:
+            remembered[piece] = ids
+        return ids
+
     def encode(text):
         # merges stay within pieces, so a piece has the same ids in every text
         if _OTHER_LETTERS.search(text):
             return whole(text)
-        ids = []
-        for piece in _PIECES.findall(text):
-            own = remembered.get(piece)
-            if own is None:
-                own = whole(piece)
-                if len(piece) <= _SHORT and len(remembered) < _REMEMBERED:
-                    remembered[piece] = own
-            ids += own
-        return ids
+        pieces = _PIECES.findall(text)
+        return list(chain.from_iterable([remembered.get(piece) or of_piece(piece) for piece in pieces]))
 
     return encode
 
@@ -113,7 +116,29 @@ def _pieced(state):
     from sentencepiece import SentencePieceProcessor
 
     processor = SentencePieceProcessor(model_proto=state)
-    return lambda text: processor.encode(text, num_threads=1)
+    remembered = {}
+
+    def whole(text):
+        return processor.encode(text, num_threads=1)
+
+    def of_word(word):
+        ids = whole(word[1:]) if len(word) > 1 else [space]  # the encoder puts the space before it again
+        if len(word) <= _SHORT and len(remembered) < _REMEMBERED:
+            remembered[word] = ids
+        return ids
+
+    def encode(text):
+        if not text or _OTHER_LETTERS.search(text):
+            return whole(text)
+        words = _WORDS.findall(f" {text}")
+        return list(chain.from_iterable([remembered.get(word) or of_word(word) for word in words]))
+
+    letters = "".join(map(chr, range(0x21, 0x370)))
+    inner_space = any("▁" in processor.id_to_piece(number).lstrip("▁") for number in range(processor.get_piece_size()))
+    as_they_are = processor.normalize(f"{letters}  a") == f"▁{letters}▁▁a"
+    space = processor.piece_to_id("▁")
+    # no piece goes on after a word, and letters stay as they are: words have the same ids in every text
+    return encode if as_they_are and not inner_space and space != processor.unk_id() else whole
 
 
 def piece_coder(path) -> Coder:
@@ -179,23 +204,36 @@ class _Aligner:
             return 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
         a, b = found
         ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
-        cuts = np.intersect1d(ends_a, ends_b)
-        last_a, last_b = np.searchsorted(ends_a, cuts, "right"), np.searchsorted(ends_b, cuts, "right")
-        first_a, first_b = np.concatenate(([0], last_a[:-1])), np.concatenate(([0], last_b[:-1]))
-        plain = (last_a - first_a == 1) & (last_b - first_b == 1) & (self.same[a[first_a]] == b[first_b])
-        quick = a[first_a[plain]]
-
-        # where a token begins, each pair of overlapping tokens meets for the first time
-        starts = np.union1d(ends_a - self.sizes_a[a], ends_b - self.sizes_b[b])
-        starts = starts[~plain[np.searchsorted(cuts, starts, "right")]]
-        links = np.stack((a[np.searchsorted(ends_a, starts, "right")], b[np.searchsorted(ends_b, starts, "right")]))
-
-        names = list(map(self.names.__getitem__, a[first_a].tolist()))
-        ids_a, ids_b = a.tolist(), b.tolist()
-        for group in np.flatnonzero(~plain).tolist():
-            one, other = ids_a[first_a[group] : last_a[group]], ids_b[first_b[group] : last_b[group]]
-            names[group] = f"{','.join(map(str, one))}|{','.join(map(str, other))}"
-        return len(a), len(b), len(cuts), len(quick) + links.shape[1], ";".join(names), quick, links
+        cuts_a, cuts_b = _marked(ends_b)[ends_a], _marked(ends_a)[ends_b]
+        last_a, last_b = np.flatnonzero(cuts_a), np.flatnonzero(cuts_b)
+        size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        plain = (size_a == 1) & (size_b == 1) & (self.same[a[last_a]] == b[last_b])
+        quick = a[last_a[plain]]
+        names = list(map(self.names.__getitem__, a[last_a].tolist()))
+
+        # what is left of either side are whole groups, so places in it still say what overlaps
+        other, rest_a, rest_b = ~plain, np.repeat(~plain, size_a), np.repeat(~plain, size_b)
+        links = _links(a[rest_a], ends_a[rest_a], self.sizes_a, b[rest_b], ends_b[rest_b], self.sizes_b)
+        texts_a, texts_b = (list(map(str, ids)) for ids in (a[rest_a].tolist(), b[rest_b].tolist()))
+        at_a = at_b = 0
+        for group, n_a, n_b in zip(np.flatnonzero(other).tolist(), size_a[other].tolist(), size_b[other].tolist()):
+            names[group] = f"{','.join(texts_a[at_a : at_a + n_a])}|{','.join(texts_b[at_b : at_b + n_b])}"
+            at_a += n_a
+            at_b += n_b
+        return len(a), len(b), len(names), len(quick) + links.shape[1], ";".join(names), quick, links
+
+
+def _marked(ends):
+    """For each byte offset, whether a token ends there."""
+    marks = np.zeros(ends[-1] + 1, bool)
+    marks[ends] = True
+    return marks
+
+
+def _links(a, ends_a, sizes_a, b, ends_b, sizes_b):
+    """The pairs of tokens whose bytes overlap: where either begins, a pair meets for the first time."""
+    starts = np.union1d(ends_a - sizes_a[a], ends_b - sizes_b[b])
+    return np.stack((a[np.searchsorted(ends_a, starts, "right")], b[np.searchsorted(ends_b, starts, "right")]))
 
 
 def _counted(values):

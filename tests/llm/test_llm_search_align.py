@@ -69,7 +69,33 @@ def _expected(texts, coders):
         assert a(text) == ids  # pieces remembered one by one give what the whole text gives
         return ids
 
-    return brute.alignment(texts, encode, b, coders[0].pieces, coders[1].pieces)
+    from sentencepiece import SentencePieceProcessor
+
+    pieces = SentencePieceProcessor(model_file=queries.TOKENIZER_B)
+
+    def encode_pieces(text):
+        ids = pieces.encode(text, num_threads=1)
+        assert b(text) == ids
+        return ids
+
+    return brute.alignment(texts, encode, encode_pieces, coders[0].pieces, coders[1].pieces)
+
+
+def test_words_alone_give_what_texts_give(coders):
+    """Both encoders put together from what they remember, over texts of all kinds of letters."""
+    import random
+
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    a, b = (token_align._made(coder) for coder in coders)
+    plain, pieces = Tokenizer.from_file(queries.TOKENIZER_A), SentencePieceProcessor(model_file=queries.TOKENIZER_B)
+    plain.encode_special_tokens = True
+    draw, letters = random.Random(4), [chr(code) for code in range(0x370)] + [" "] * 300 + list("etaoinshrdlu") * 30 + ["the", " of", "'s", "  "]
+    for _ in range(3000):
+        text = "".join(draw.choices(letters, k=draw.randint(1, 80)))
+        assert a(text) == plain.encode(text, add_special_tokens=False).ids
+        assert b(text) == pieces.encode(text, num_threads=1)
 
 
 ODD = [
