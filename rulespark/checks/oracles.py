@@ -212,7 +212,7 @@ def _texts():
             l_partkey * l_suppkey AS multiplied,
             CASE WHEN l_partkey <= 807 THEN CAST(9223372036854775000 + l_partkey AS STRING) END AS added_or_null FROM lineitem""",
     }
-    texts["f6_stream"] = texts["f6_exceptions_in_time"]
+    texts["f6_stream"] = texts["f6_timers"] = texts["f6_exceptions_in_time"]
     texts["c8_shared"] = texts["c8_run_rules"]
     texts |= {f"c1_{name}": rule_sql(name) for name in q.SQL_RULES}
     texts |= {f"c4_{name}": rule_sql(name) for name in q.PYTHON_RULES}

@@ -432,11 +432,20 @@ def f6_exceptions_in_time(spark, sf_dir):
     return op.exceptions_in_time(view(spark, sf_dir, "fx_status"), view(spark, sf_dir, "fx_feed_map"), START, TIMEOUT)
 
 
-def f6_stream(spark, sf_dir):
+def _waiting_at_start(spark, sf_dir):
     ledger, feed_map = view(spark, sf_dir, "fx_status"), view(spark, sf_dir, "fx_feed_map")
     seen = F.col("created_dt").isNull() | (F.col("created_dt") <= F.lit(str(START)).cast("timestamp_ntz"))
     waiting = op.waiting_rules(op.categorize(op.latest_status(ledger.where(seen)), feed_map))
-    waiting = streaming.waiting_at(waiting, START)
+    return streaming.waiting_at(waiting, START)
+
+
+def _late_row(rows, **values):
+    values = {name: F.lit(values.get(name)).cast(kind).alias(name) for name, kind in rows.dtypes}
+    return rows.sparkSession.range(1).select(*values.values())
+
+
+def f6_stream(spark, sf_dir):
+    waiting = _waiting_at_start(spark, sf_dir)
     ledger = _ledger_with_zone(spark, sf_dir)
     session = stream_session(spark)
     waiting_path, waiting_stream = _stream_of(session, waiting, "waiting-stream", files=2)
@@ -451,15 +460,29 @@ def f6_stream(spark, sf_dir):
     drain()
     # A later row on both inputs moves the watermark over every deadline; its own wait stays open.
     later = str(START + 40 * TIMEOUT)
+    _late_row(waiting, rule_id="-", started_at=later, at_start=False).write.mode("append").parquet(waiting_path)
+    _late_row(ledger, rule_id="-", rule_run_id="-", created_dt=later).write.mode("append").parquet(ledger_path)
+    drain()
+    return streaming.read_resolved(spark, folder).select("rule_id", "resolved")
 
-    def late_row(rows, **values):
-        values = {name: F.lit(values.get(name)).cast(kind).alias(name) for name, kind in rows.dtypes}
-        return spark.range(1).select(*values.values())
 
-    late_row(waiting, rule_id="-", started_at=later, at_start=False).write.mode("append").parquet(waiting_path)
-    late_row(ledger, rule_id="-", rule_run_id="-", created_dt=later).write.mode("append").parquet(ledger_path)
+def f6_timers(spark, sf_dir):
+    """The same waits with a timer each; rows come in no order, ten years of them, so as late as that."""
+    waiting, ledger = _waiting_at_start(spark, sf_dir), _ledger_with_zone(spark, sf_dir)
+    session = stream_session(spark)
+    waiting_path, waiting_stream = _stream_of(session, waiting, "waiting-stream", files=2)
+    ledger_path, ledger_stream = _stream_of(session, ledger, "ledger-stream")
+    folder, state = work_folder(spark, "decided"), work_folder(spark, "decided-state")
+    ends = streaming.exception_timers(waiting_stream, ledger_stream, TIMEOUT, "4000 days", ids=session.read.parquet(waiting_path))
+
+    def drain():
+        streaming.write_matches(ends, folder, state, availableNow=True).awaitTermination()
+
     drain()
-    return streaming.read_resolved(spark, folder).select("rule_id", "resolved")
+    later = str(START + timedelta(days=8000))  # the clock passes every deadline, by a row of the ledger alone
+    _late_row(ledger, rule_id="-", rule_run_id="-", created_dt=later).write.mode("append").parquet(ledger_path)
+    drain()
+    return spark.read.schema(streaming.DECIDED).parquet(folder).select("rule_id", "resolved")
 
 
 def f6_wait(spark, sf_dir):

@@ -1,7 +1,8 @@
 from .exceptions import exception_matches, read_resolved, wait_for_exceptions, waiting_at, write_matches
 from .latest import compact_latest, latest_updates, read_latest, write_latest
+from .timers import DECIDED, exception_timers
 
 __all__ = [
-    "compact_latest", "exception_matches", "latest_updates", "read_latest", "read_resolved",
+    "DECIDED", "compact_latest", "exception_matches", "exception_timers", "latest_updates", "read_latest", "read_resolved",
     "wait_for_exceptions", "waiting_at", "write_latest", "write_matches",
 ]

@@ -1,0 +1,152 @@
+"""Waits that end by an exception or by a timer of their own."""
+
+import itertools
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from rows import at, feed_map, ledger
+
+from rulespark import operators as op
+from rulespark import stream_session, streaming
+from rulespark.streaming.timers import _decide
+
+HOUR = timedelta(minutes=60)
+
+
+@pytest.fixture
+def streams(spark, folder):
+    """Two growing inputs, and a function that follows them and gives all ends so far."""
+    waiting_path, ledger_path, ends, state = (folder(name) for name in ("waiting", "ledger", "ends", "state"))
+    waits = "rule_id string, started_at timestamp, at_start boolean"
+    session = stream_session(spark, 4)
+
+    def wait(*rows):
+        spark.createDataFrame(rows, waits).coalesce(1).write.mode("append").parquet(waiting_path)
+
+    def append(*rows):
+        rows = ledger(spark, *rows).withColumn("created_dt", F.col("created_dt").cast("timestamp"))
+        rows.coalesce(1).write.mode("append").parquet(ledger_path)
+
+    def follow(delay="1 minute", **options):
+        kinds = spark.read.parquet(ledger_path).schema
+        found = streaming.exception_timers(
+            session.readStream.schema(waits).parquet(waiting_path),
+            session.readStream.schema(kinds).option("maxFilesPerTrigger", 1).parquet(ledger_path), HOUR, delay, **options)
+        streaming.write_matches(found, ends, state, availableNow=True).awaitTermination()
+        rows = spark.read.schema(streaming.DECIDED).parquet(ends).collect()
+        return sorted((row.rule_id, row.started_at.replace(tzinfo=None), row.resolved) for row in rows)
+
+    follow.state = state
+    return wait, append, follow
+
+
+def excepted(rule, run, moment, applied="Yes"):
+    return rule, run, "Failure", applied, "Active", moment
+
+
+def test_ends_by_exception_and_by_timer_over_restarts(streams):
+    wait, append, follow = streams
+    wait(("a", at(12), False), ("b", at(12), False), ("c", at(12), True), (None, at(12), True))
+    append(excepted("a", "r1", at(12, 30)), excepted("b", "r1", at(12)), excepted("b", "r2", at(12, 10), "No"), excepted(None, "r", at(12, 1)))
+    assert follow() == [("a", at(12), True), ("c", at(12), True)]
+    append(excepted("x", "r1", at(13, 0), "No"))
+    assert follow() == [("a", at(12), True), ("c", at(12), True)]
+    append(excepted("x", "r2", at(13, 2), "No"))
+    ended = [("a", at(12), True), ("b", at(12), False), ("c", at(12), True)]
+    assert follow() == ended
+    append(excepted("b", "r3", at(12, 20)))  # the wait is over
+    assert follow() == ended
+
+
+def test_a_later_wait_drops_no_exception_of_an_earlier_one(streams):
+    """Another rule begins to wait hours later, before an old exception comes in."""
+    wait, append, follow = streams
+    wait(("a", at(8), False))
+    append(excepted("x", "r1", at(8, 1), "No"))
+    follow()
+    wait(("b", at(20), False))
+    append(excepted("x", "r2", at(8, 59), "No"))
+    assert follow() == []
+    append(excepted("a", "r1", at(8, 30)))
+    assert follow() == [("a", at(8), True)]
+
+
+def test_an_exception_older_than_the_clock_still_counts(streams):
+    """The newest row is past it, but not past the deadline and the delay."""
+    wait, append, follow = streams
+    wait(("a", at(8), False), ("b", at(8), False))
+    append(excepted("x", "r1", at(9, 25), "No"))
+    assert follow("30 minutes") == []
+    append(excepted("a", "r1", at(8, 1)), excepted("b", "r1", at(9, 1)))
+    assert follow("30 minutes") == [("a", at(8), True)]
+    append(excepted("x", "r2", at(9, 40), "No"))
+    assert follow("30 minutes") == [("a", at(8), True), ("b", at(8), False)]
+
+
+def test_one_row_of_state_for_each_waiting_rule(spark, streams, folder):
+    wait, append, follow = streams
+    wait(*[(f"w{n}", at(12, n), False) for n in range(5)], ("w0", at(12, 30), False))
+    append(*[excepted(f"o{n}", "r", at(12, 1)) for n in range(50)], *[excepted("w0", f"r{n}", at(12, 35)) for n in range(40)])
+    ids = spark.createDataFrame([(f"w{n}",) for n in range(5)], "rule_id string")
+    assert follow(ids=ids) == [("w0", at(12), True), ("w0", at(12, 30), True)]
+    rows = spark.read.format("statestore").load(follow.state)
+    # the rule whose waits are over keeps its exceptions until none of them can matter
+    assert sorted(row.key[0] for row in rows.collect()) == ["w0", "w1", "w2", "w3", "w4"]
+
+
+class State:
+    """A rule's state in memory, as the stateful operator gives it."""
+
+    def __init__(self):
+        self.value, self.exists, self.hasTimedOut, self.now, self.timer = None, False, False, 0, None
+
+    get = property(lambda self: self.value)
+
+    def getCurrentWatermarkMs(self):
+        return self.now
+
+    def update(self, value):
+        self.value, self.exists = value, True
+
+    def remove(self):
+        self.value, self.exists, self.timer = None, False, None
+
+    def setTimeoutTimestamp(self, moment):
+        assert moment > self.now
+        self.timer = moment
+
+
+def test_any_order_of_rows_ends_alike():
+    """Waits and exceptions of one rule in every order and in batches; microseconds, a timeout of 10 ms."""
+    import pandas as pd
+
+    rows = [(1000, False, None), (15_000, False, None), (30_000, True, None), (None, None, 1000), (None, None, 12_000), (None, None, 25_000)]
+    decide = _decide(10_000)
+    for order in itertools.permutations(rows):
+        state, ended = State(), []
+        for part in (order[:2], order[2:3], order[3:]):
+            frame = pd.DataFrame(list(part), columns=["started", "at_start", "excepted"], dtype=object)
+            frame["excepted"] = frame["excepted"].astype("float")
+            ended += [out for out in decide(("a",), iter([frame]), state)]
+        state.now, state.hasTimedOut = 60, True
+        ended += list(decide(("a",), iter([]), state))
+        found = {(int(row.started_at.value // 1000), row.resolved) for frame in ended for row in frame.itertuples()}
+        assert found == {(1000, False), (15_000, True), (30_000, True)} and not state.exists
+
+
+def test_equals_the_batch_form(spark, streams):
+    wait, append, follow = streams
+    start, rows = at(12), [excepted(f"r{n}", f"a{n}", at(11)) for n in range(30)]
+    rows = [(*row[:3], "No", *row[4:]) for row in rows]
+    later = [excepted(f"r{n % 40}", f"b{n}", at(11 + n % 4, n % 60), "Yes" if n % 3 else "No") for n in range(150)]
+    mappings = feed_map(spark, *[(f"r{n}", "F", "Yes") for n in range(40)])
+    whole = ledger(spark, *rows, *later)
+    batch = {row.rule_id: row.resolved for row in op.exceptions_in_time(whole, mappings, start, HOUR).collect()}
+    seen = whole.where(F.col("created_dt") <= F.lit(str(start)).cast("timestamp_ntz"))
+    begun = streaming.waiting_at(op.waiting_rules(op.categorize(op.latest_status(seen), mappings)), start)
+    wait(*[(row.rule_id, row.started_at, row.at_start) for row in begun.collect()])
+    for part in range(3):
+        append(*later[part::3])
+    append(*rows, excepted("end", "r", at(22)))
+    assert {rule: done for rule, _, done in follow("5 hours")} == batch and len(set(batch.values())) == 2
