@@ -13,13 +13,14 @@ from dataclasses import dataclass
 import numpy as np
 
 END = 0
-WINDOW = 16
+#: Steps of a window at least; with few lanes, as many as make up so many tokens.
+WINDOW, WINDOW_TOKENS = 16, 4096
 
 
 @dataclass(frozen=True)
 class Shape:
     words: int = 1024
-    per_class: int = 32
+    per_class: int = 64
     tails: int = 48
     hidden: int = 16
 
@@ -81,34 +82,53 @@ def packed(texts, lanes):
     return tokens, owners
 
 
-def windows(tokens, size=WINDOW):
-    """Per window its first step, the inputs and the targets of the lanes that still have some."""
-    for begin in range(0, len(tokens), size):
+def windows(tokens, size=WINDOW, least=WINDOW_TOKENS):
+    """Per window its first step, the inputs and the targets of the lanes that still have some.
+
+    Where few lanes are left, the end of the longest texts, windows are longer.
+    """
+    begin = 0
+    while begin < len(tokens):
         active = int((tokens[begin] >= 0).sum())
-        targets = tokens[begin : begin + size, :active]
+        end = begin + max(size, least // active)
+        targets = tokens[begin:end, :active]
         before = tokens[begin - 1 : begin, :active] if begin else np.full((1, active), END, np.int32)
         yield begin, np.maximum(np.concatenate((before, targets[:-1])), END), targets
+        begin = end
 
 
 def _sigmoid(values):
-    return 0.5 * np.tanh(0.5 * values) + 0.5
+    np.multiply(values, 0.5, out=values)
+    np.tanh(values, out=values)
+    np.multiply(values, 0.5, out=values)
+    np.add(values, 0.5, out=values)
 
 
 def _advance(parts, width, inputs, state):
     """States after each step, and what the way back needs."""
     gates = parts["inputs"][inputs]
-    kept = (inputs != END)[..., None].astype(np.float32)
+    ended = inputs == END
+    kept, resets = (~ended)[..., None].astype(np.float32), ended.any(axis=1)
     steps, lanes = inputs.shape
-    shape = (steps, lanes, width)
-    before, states, new, turned = (np.empty(shape, np.float32) for _ in range(4))
-    both = np.empty((steps, lanes, 2 * width), np.float32)
+    before, states, new, turned = (np.empty((steps, lanes, width), np.float32) for _ in range(4))
+    both, moved = np.empty((steps, lanes, 2 * width), np.float32), np.empty((lanes, 3 * width), np.float32)
     for step in range(steps):
-        np.multiply(state, kept[step], out=before[step])
-        moved = before[step] @ parts["turn"]
-        both[step] = _sigmoid(gates[step, :, : 2 * width] + moved[:, : 2 * width])
-        turned[step] = moved[:, 2 * width :]
-        new[step] = np.tanh(gates[step, :, 2 * width :] + both[step, :, width:] * turned[step])
-        state = states[step] = new[step] + both[step, :, :width] * (before[step] - new[step])
+        held, now, fresh, turn, gate = before[step], both[step], new[step], turned[step], gates[step]
+        if resets[step]:
+            np.multiply(state, kept[step], out=held)
+        else:
+            held[:] = state
+        np.matmul(held, parts["turn"], out=moved)
+        np.add(gate[:, : 2 * width], moved[:, : 2 * width], out=now)
+        _sigmoid(now)
+        turn[:] = moved[:, 2 * width :]
+        np.multiply(now[:, width:], turn, out=fresh)
+        np.add(fresh, gate[:, 2 * width :], out=fresh)
+        np.tanh(fresh, out=fresh)
+        state = states[step]
+        np.subtract(held, fresh, out=state)
+        np.multiply(state, now[:, :width], out=state)
+        np.add(state, fresh, out=state)
     return states, (kept, before, both, new, turned)
 
 
@@ -133,40 +153,45 @@ def _back(parts, width, held, wanted, inputs, grads):
     grads["inputs"][flat[order][starts]] += np.add.reduceat(gates.reshape(-1, 3 * width)[order], starts)
 
 
+def _shares(logits):
+    """Column by column, in place: shares that are not yet divided by their sums; the sums."""
+    np.subtract(logits, logits.max(axis=0), out=logits)
+    shares = np.exp(logits)
+    return shares, shares.sum(axis=0)
+
+
 def _output(shape, parts, states, targets, grads=None):
     """Natural logarithms of the targets' classes and words; with ``grads``, the states' gradients too."""
     classes = shape.class_of(targets)
-    rows = np.arange(len(targets))
-    logits = states @ parts["classes"] + parts["class_bias"]
-    logits -= logits.max(axis=1, keepdims=True)
-    shares = np.exp(logits)
-    sums = shares.sum(axis=1)
-    found = logits[rows, classes] - np.log(sums)
+    columns = np.arange(len(targets))
+    logits = parts["classes"].T @ states.T
+    logits += parts["class_bias"][:, None]
+    shares, sums = _shares(logits)
+    found = logits[classes, columns] - np.log(sums)
     wanted = None
     if grads is not None:
-        shares /= sums[:, None]
-        shares[rows, classes] -= 1
-        grads["classes"] += states.T @ shares
-        grads["class_bias"] += shares.sum(axis=0)
-        wanted = shares @ parts["classes"].T
-    order = np.argsort(classes, kind="stable")
+        shares /= sums
+        shares[classes, columns] -= 1
+        grads["classes"] += states.T @ shares.T
+        grads["class_bias"] += shares.sum(axis=1)
+        wanted = (parts["classes"] @ shares).T.copy()
+    order = np.argsort(classes.astype(np.int16), kind="stable")
     edges = np.searchsorted(classes[order], np.arange(shape.heads + 1))
     for head in range(shape.heads):
         own = order[edges[head] : edges[head + 1]]
         if not len(own):
             continue
-        held, words, at = states[own], targets[own] - head * shape.per_class, np.arange(len(own))
-        logits = held @ parts["members"][head] + parts["member_bias"][head]
-        logits -= logits.max(axis=1, keepdims=True)
-        shares = np.exp(logits)
-        sums = shares.sum(axis=1)
-        found[own] += logits[at, words] - np.log(sums)
+        held, words, at = states[own], targets[own] - head * shape.per_class, columns[: len(own)]
+        logits = parts["members"][head].T @ held.T
+        logits += parts["member_bias"][head][:, None]
+        shares, sums = _shares(logits)
+        found[own] += logits[words, at] - np.log(sums)
         if grads is not None:
-            shares /= sums[:, None]
-            shares[at, words] -= 1
-            grads["members"][head] += held.T @ shares
-            grads["member_bias"][head] += shares.sum(axis=0)
-            wanted[own] += shares @ parts["members"][head].T
+            shares /= sums
+            shares[words, at] -= 1
+            grads["members"][head] += held.T @ shares.T
+            grads["member_bias"][head] += shares.sum(axis=1)
+            wanted[own] += (parts["members"][head] @ shares).T
     return found, wanted
 
 
