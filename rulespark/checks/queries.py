@@ -556,6 +556,32 @@ def f11_run(spark, sf_dir):
     return runs.join(per_package, "package", "left").select(*runs.columns, *counts)
 
 
+def f11_resume(spark, sf_dir):
+    """A run that is broken off after three rules and resumed: each rule's final and result rows."""
+    rows = [_program_rule(name) for name in SQL_RULES + PYTHON_RULES]
+    catalog = spark.createDataFrame([tuple(row.values()) for row in rows], RUNNABLE_RULE_SCHEMA).select(*RULE_COLUMNS)
+    feed_map, settings, ended = view(spark, sf_dir, "fx_feed_map"), _settings(spark, sf_dir), []
+
+    def break_off(rows, rule):
+        ended.append(rule["rule_id"])
+        if len(ended) > 3:
+            raise KeyboardInterrupt
+
+    settings.runs, settings.batch, settings.parallel, settings.export = work_folder(spark, "runs"), 2, 1, break_off
+    try:
+        plans.run(spark, catalog, feed_map, settings, MODULE, STAGE, ["ours"], FEED, token="broken-off")
+    except KeyboardInterrupt:
+        settings.export = None
+    summary = plans.resume(spark, feed_map, settings, "broken-off").select("rules", "succeeded", "passes")
+    final = sources.read_ledger(spark, settings.ledger).where("workflow_status <> 'In Progress'")
+    final = final.groupBy("rule_id").agg(F.count(F.lit(1)).alias("final_rows"))
+    saved = spark.read.parquet(f"{settings.results}/*/*").groupBy(F.col("RULE_ID").alias("rule_id")).agg(F.count(F.lit(1)).alias("result_rows"))
+    values = summary.first().asDict()
+    ids = catalog.select("rule_id", *[F.lit(value).alias(name) for name, value in values.items()])
+    counts = [F.coalesce(name, F.lit(0)).alias(name) for name in ("final_rows", "result_rows")]
+    return ids.join(final, "rule_id", "left").join(saved, "rule_id", "left").select(*ids.columns, *counts)
+
+
 @plans.python_rule("rulespark.bad_cast")
 def _bad_cast(spark, dataframes, as_of_date, rule_id):
     """A rule that fails only when its rows are computed."""

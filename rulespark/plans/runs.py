@@ -1,7 +1,9 @@
 """Running rules: one, a set of them, and a whole run with its verdict."""
 
 import logging
+import re
 import time
+import uuid
 from collections import namedtuple
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
@@ -12,7 +14,7 @@ import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
-from ..model import RESULT_COLUMNS, RESULT_DATA_COLUMNS, RUNNABLE_RULE_SCHEMA
+from ..model import RESULT_COLUMNS, RESULT_DATA_COLUMNS, RUNNABLE_RULE_SCHEMA, STARTED, SUCCESS
 from ..operators import (
     categorize,
     exit_code,
@@ -29,6 +31,7 @@ from ..operators import (
 )
 from ..session import rule_session, written
 from ..sources import Tables, append_status, read_ledger, read_results, write_results
+from ..sources.commits import commit, exists
 from .programs import check_date, handler_for, run_program
 from .shared import SharedRules, can_share, shared_path
 
@@ -69,6 +72,7 @@ class RunSettings:
     one_plan: bool = False
     persist: tuple = ()
     export: callable = None
+    runs: str = None
     clock: callable = field(default=datetime.now)
 
 
@@ -240,7 +244,7 @@ def _run_all(spark, rules, settings):
             tables.release()
         # Left early, by the one who takes the outcomes or by an error: what has ended is still written.
         for future, rules in running.items():
-            if future.done() and not future.cancelled():
+            if future.done() and not future.cancelled() and future.exception() is None:
                 ended += _with_rules(future.result(), rules)
         if ended:
             _record(spark, [row for _, row in ended], final_rows, settings)
@@ -303,23 +307,85 @@ def run(spark, catalog, feed_map, settings, module, stage, packages, feed_id=Non
     ledger is judged, by ``by_latest_status`` unless ``judge(rules, ledger, begun)``
     says otherwise, from the ledger's folder and the time the run began. An
     as-of date that is none raises; errors after that fail the run, and are named in
-    its row.
+    its row. With ``settings.runs`` a run that breaks off can be resumed by its ``token``.
     """
     check_date(settings.as_of_date)
-    judge = judge or by_latest_status(feed_map)
-    begun = settings.clock()
+    token, begun = token or uuid.uuid4().hex, settings.clock()
+    path = _frozen_path(settings, token)
+    if path and exists(spark, path):
+        raise ValueError(f"there is a run {token!r} already; resume it")
+
+    def choose():
+        rules = rules_for_packages(catalog, feed_map, module, stage, packages, feed_id, unmapped)
+        # Those that run are those that are judged, whatever happens to the catalog in between.
+        rules = with_run_ids(rule_rows(rules), token, begun).withColumn("begun", F.lit(begun).cast("timestamp"))
+        if path is None:
+            return written(rules, "chosen-rules")
+        commit(rules, settings.runs, lambda: f"{TOKEN}={token}")
+        return _frozen(spark, path)
+
+    return _finish(spark, choose, begun, settings, judge or by_latest_status(feed_map))
+
+
+TOKEN = "token"
+
+
+def _frozen_path(settings, token):
+    if settings.runs is None:
+        return None
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", token) or token in (".", ".."):
+        raise ValueError(f"{token!r} cannot name a run's folder")
+    return f"{settings.runs.rstrip('/')}/{TOKEN}={token}"
+
+
+def _frozen(spark, path):
+    """The rules of a run, as they were when it began; there are all or none."""
+    return spark.read.parquet(path)
+
+
+def resume(spark, feed_map, settings, token, judge=None):
+    """Go on with a run that broke off: run what has no final ledger row, then judge it all.
+
+    The rules are those that the run has frozen under ``settings.runs``, with their run ids,
+    so a rule that had begun replaces what it may have saved, and each rule has one final
+    row in the end. Final rows of the ledger stand, also those of failures. A run that came to
+    its end is only judged again. No other process may be at work on the run.
+    """
+    check_date(settings.as_of_date)
+    path = _frozen_path(settings, token)
+    if path is None or not exists(spark, path):
+        raise ValueError(f"no run {token!r} is frozen in {settings.runs!r}")
+    rules = _frozen(spark, path)
+    first = rules.select("begun").first()
+    begun = first.begun if first else settings.clock()
+    return _finish(spark, lambda: rules, begun, settings, judge or by_latest_status(feed_map), _final(spark, rules, begun, settings))
+
+
+def _final(spark, rules, begun, settings):
+    """Run ids with their final rows: whether each succeeded. The ledger is read as it is now."""
+    if not exists(spark, settings.ledger):
+        return None
+    ledger = of_runs(read_ledger(spark, settings.ledger, begun), rules)
+    ended = ledger.where(~F.col("rule_execution_status").eqNullSafe(STARTED))
+    return written(ended.groupBy("rule_run_id").agg(F.bool_and(F.col("rule_execution_status") == SUCCESS).alias("ended_well")), "final-rows")
+
+
+def _finish(spark, choose, begun, settings, judge, final=None):
+    """Run the rules that have no final row, and judge those and the others: a row of summary."""
     total = succeeded = 0
     error = None
     try:
-        rules = rules_for_packages(catalog, feed_map, module, stage, packages, feed_id, unmapped)
-        # Those that run are those that are judged, whatever happens to the catalog in between.
-        rules = written(with_run_ids(rule_rows(rules), token, begun), "chosen-rules")
-        for outcome in run_rules(spark, rules, settings):
+        rules = to_run = choose()
+        if final is not None:
+            ended = final.agg(F.count(F.lit(1)).alias("n"), F.count_if("ended_well").alias("well")).first()
+            total, succeeded = ended.n, ended.well
+            to_run = rules.join(final, "rule_run_id", "left_anti")
+        for outcome in run_rules(spark, to_run, settings):
             total += 1
             succeeded += outcome.succeeded
         passes = total == succeeded
         if total and passes:
-            passes = judge(rules, settings.ledger, begun).first().passes
+            passes = judge(rules.drop("begun"), settings.ledger, begun).first().passes
     except Exception as failure:
         logger.exception("run failed")
         passes, error = False, str(failure)
