@@ -129,6 +129,8 @@ def _texts():
             f"""SELECT '{name}' AS "column", count(*) FILTER (WHERE {name} IS NOT NULL
             AND TRY_CAST({name} AS INTEGER) IS NULL) AS bad_values FROM fx_raw_csv"""
             for name in ("custkey", "nationkey", "segment")),
+        "a7_set_aside": """SELECT custkey, nationkey, CASE WHEN nationkey IS NOT NULL AND TRY_CAST(nationkey AS INTEGER) IS NULL
+            THEN 'nationkey' ELSE '' END AS bad_columns FROM fx_raw_csv""",
         "a10_bound_query": _bound_query(),
         "b1_select_rules": f"SELECT DISTINCT {_RULE_COLUMNS} FROM fx_rules WHERE {_IN_PACKAGE}",
         "b2_mapped_rules": f"""SELECT DISTINCT r.* FROM fx_rules r JOIN fx_feed_map f ON {_MAPPED}
@@ -215,6 +217,7 @@ def _texts():
             CASE WHEN l_partkey <= 807 THEN CAST(9223372036854775000 + l_partkey AS STRING) END AS added_or_null FROM lineitem""",
     }
     texts["f6_stream"] = texts["f6_timers"] = texts["f6_exceptions_in_time"]
+    texts["a7_observed"] = texts["a7_count_bad_values"]
     texts["c8_shared"] = texts["c8_run_rules"]
     texts |= {f"c1_{name}": rule_sql(name) for name in q.SQL_RULES}
     texts |= {f"c4_{name}": rule_sql(name) for name in q.PYTHON_RULES}

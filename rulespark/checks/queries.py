@@ -107,6 +107,23 @@ def a7_count_bad_values(spark, sf_dir):
     return sources.count_bad_values(view(spark, sf_dir, "fx_raw_csv"), types)
 
 
+_CHECKED_TYPES = [{"name": name, "dataType": "integer"} for name in ("custkey", "nationkey", "segment")]
+
+
+def a7_observed(spark, sf_dir):
+    """The counts of a7_count_bad_values, as the one pass that casts and writes has seen them."""
+    checked = sources.set_bad_rows_aside(view(spark, sf_dir, "fx_raw_csv"), _CHECKED_TYPES, work_folder(spark, "checked"))
+    return spark.createDataFrame(list(checked.bad_values.items()), "column string, bad_values bigint")
+
+
+def a7_set_aside(spark, sf_dir):
+    """Rows that fit, cast, beside those that don't, as they were."""
+    types = [{"name": "nationkey", "dataType": "integer"}, {"name": "acctbal", "dataType": "double"}]
+    checked = sources.set_bad_rows_aside(view(spark, sf_dir, "fx_raw_csv"), types, work_folder(spark, "checked"))
+    good = checked.good.select("custkey", F.col("nationkey").cast("string"), F.lit("").alias("bad_columns"))
+    return good.unionByName(checked.set_aside.select("custkey", "nationkey", F.array_join("bad_columns", ",").alias("bad_columns")))
+
+
 BOUND_QUERY = """
 SELECT DISTINCT p_partkey, p_name, p_brand
 FROM part JOIN lineitem ON p_partkey = l_partkey

@@ -1,8 +1,10 @@
 """File sources and the dictionary's casts."""
 
 import warnings
+from collections import namedtuple
 from collections.abc import Mapping
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..config import table_columns, table_format, tables_by_name
@@ -77,6 +79,38 @@ def count_bad_values(df, columns):
     return df.agg(*counts.values()).unpivot([], [_quoted(name) for name in counts], "column", "bad_values")
 
 
+Checked = namedtuple("Checked", "good set_aside bad_values rows rows_set_aside")
+
+
+def set_bad_rows_aside(df, columns, path):
+    """Cast the named columns and part rows with values that don't fit from the others, in one pass.
+
+    The table is read once, and written once to a new folder ``path``: as cast rows, and as
+    rows to set aside, which keep their values as they were and name the columns at fault in
+    ``bad_columns``. What is counted is observed by the write itself. Returns both as
+    DataFrames, the number of bad values by column, and the numbers of rows. A column that the
+    dictionary names twice counts once; of no columns, no row is bad.
+    """
+    entries = dict(_cast_entries(df, columns))
+    values = {name: F.col(_quoted(name)) for name in df.columns}
+    bad = {name: values[name].isNotNull() & values[name].try_cast(kind).isNull() for name, kind in entries.items()}
+    at_fault = F.array_compact(F.array(*[F.when(wrong, F.lit(name)) for name, wrong in bad.items()], F.lit(None).cast("string")))
+    cast = F.struct(*[(value.try_cast(entries[name]) if name in entries else value).alias(name) for name, value in values.items()])
+    raw = F.struct(*[value.alias(name) for name, value in values.items()])
+    rows = df.select(cast.alias("cast"), raw.alias("raw"), at_fault.alias("bad_columns"))
+    is_bad = F.size("bad_columns") > 0
+    rows = rows.select(F.when(~is_bad, F.col("cast")).alias("good"), F.when(is_bad, F.col("raw")).alias("bad"), "bad_columns",
+                       F.when(is_bad, "set_aside").otherwise("good").alias("part"))
+    seen, names = Observation(), list(entries)
+    counts = [F.count_if(F.array_contains("bad_columns", name)).alias(f"bad_{at}") for at, name in enumerate(names)]
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("part") == "set_aside").alias("set_aside"), *counts)
+    rows.write.partitionBy("part").parquet(path)
+    found, stored = seen.get, df.sparkSession.read.schema(rows.schema).parquet(path)
+    good = stored.where("part = 'good'").select("good.*")
+    set_aside = stored.where("part = 'set_aside'").select("bad.*", "bad_columns")
+    return Checked(good, set_aside, {name: found[f"bad_{at}"] for at, name in enumerate(names)}, found["rows"], found["set_aside"])
+
+
 # Formats that take a schema as it was read. Others may keep their own, as a table format does.
 _GIVEN_SCHEMA = {"PARQUET", "CSV", "ORC", "JSON"}
 

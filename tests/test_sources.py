@@ -258,3 +258,38 @@ def test_appends_at_once(spark, folder):
     sources.compact_ledger(spark, path, compacted)
     assert sorted(sources.read_ledger(spark, compacted).collect()) == sorted(ledger.collect())
     assert op.latest_status(ledger, run_ids=["0_1", "5_2"]).count() == 4
+
+
+def test_bad_rows_are_set_aside_in_one_pass(spark, folder):
+    rows = [("1", "2.5", "2024-01-31", "a"), ("x", "y", "2024-02-30", "b"), (None, None, None, None), ("3", "z", "2024-02-01", "c"), ("x", "1", None, "b")]
+    frame = spark.createDataFrame(rows, "n string, amount string, day string, bad_columns string")
+    types = [{"name": "n", "dataType": "integer"}, {"name": "amount", "dataType": "double"}, {"name": "day", "dataType": "date"},
+             {"name": "n", "dataType": "integer"}, {"name": "absent", "dataType": "date"}]
+    checked = sources.set_bad_rows_aside(frame.withColumnRenamed("bad_columns", "part"), types, folder("checked"))
+    assert checked.bad_values == {"n": 2, "amount": 2, "day": 1}
+    assert checked.rows == 5 == checked.rows_set_aside + checked.good.count() and checked.set_aside.count() == 3
+    assert [kind for _, kind in checked.good.dtypes] == ["int", "double", "date", "string"]
+    assert sorted((row.part or "", row.bad_columns) for row in checked.set_aside.collect()) == [
+        ("b", ["n"]), ("b", ["n", "amount", "day"]), ("c", ["amount"])]
+    assert checked.set_aside.where("part = 'c'").first()[:3] == ("3", "z", "2024-02-01")
+    counted = {row.column: row.bad_values for row in sources.count_bad_values(frame, types[:3]).collect()}
+    assert counted == checked.bad_values
+
+
+def test_checked_tables_are_scanned_once(spark, folder, monkeypatch):
+    """One job reads the table's file, that of the write."""
+    path = folder("raw")
+    spark.range(100).selectExpr("CASE WHEN id % 10 = 0 THEN 'x' ELSE CAST(id AS STRING) END AS n").write.parquet(path)
+    frame = spark.read.parquet(path)
+    tracker, before = spark.sparkContext.statusTracker(), set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    checked = sources.set_bad_rows_aside(frame, [{"name": "n", "dataType": "integer"}], folder("checked"))
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) == 1
+    assert (checked.bad_values, checked.rows, checked.rows_set_aside, checked.good.count()) == ({"n": 10}, 100, 10, 90)
+
+
+def test_nothing_to_cast_or_to_check(spark, folder):
+    frame = spark.createDataFrame([("1",)], "n string")
+    checked = sources.set_bad_rows_aside(frame, [], folder("checked"))
+    assert (checked.bad_values, checked.rows, checked.rows_set_aside) == ({}, 1, 0) and checked.good.collect() == frame.collect()
+    empty = sources.set_bad_rows_aside(frame.limit(0), [{"name": "n", "dataType": "integer"}], folder("checked"))
+    assert (empty.bad_values, empty.rows, empty.good.count(), empty.set_aside.count()) == ({"n": 0}, 0, 0, 0)
