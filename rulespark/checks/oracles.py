@@ -217,6 +217,7 @@ def _texts():
             CASE WHEN l_partkey <= 807 THEN CAST(9223372036854775000 + l_partkey AS STRING) END AS added_or_null FROM lineitem""",
     }
     texts["f6_stream"] = texts["f6_timers"] = texts["f6_exceptions_in_time"]
+    texts["f5_stream"] = texts["f5_verdict"]
     texts["a7_observed"] = texts["a7_count_bad_values"]
     texts["c8_shared"] = texts["c8_run_rules"]
     texts |= {f"c1_{name}": rule_sql(name) for name in q.SQL_RULES}

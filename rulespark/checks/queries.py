@@ -449,6 +449,18 @@ def f6_exceptions_in_time(spark, sf_dir):
     return op.exceptions_in_time(view(spark, sf_dir, "fx_status"), view(spark, sf_dir, "fx_feed_map"), START, TIMEOUT)
 
 
+def f5_stream(spark, sf_dir):
+    """The verdict followed over a ledger stream, which is broken off and goes on, and folded at every second batch."""
+    session = stream_session(spark)
+    path, _ = _stream_of(session, _ledger_with_zone(spark, sf_dir), "verdict-stream", files=6)
+    ledger = session.readStream.schema(session.read.parquet(path).schema).option("maxFilesPerTrigger", 2).parquet(path)
+    given, feed_map = _applicable(spark, sf_dir), view(spark, sf_dir, "fx_feed_map")
+    folder, state = work_folder(spark, "verdicts"), work_folder(spark, "verdicts-state")
+    for _ in range(2):
+        streaming.write_verdicts(ledger, given, feed_map, folder, state, GROUPS, fold=2, availableNow=True).awaitTermination()
+    return streaming.read_verdicts(spark, given, folder, GROUPS, fold=2)
+
+
 def _waiting_at_start(spark, sf_dir):
     ledger, feed_map = view(spark, sf_dir, "fx_status"), view(spark, sf_dir, "fx_feed_map")
     seen = F.col("created_dt").isNull() | (F.col("created_dt") <= F.lit(str(START)).cast("timestamp_ntz"))

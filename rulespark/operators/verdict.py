@@ -73,6 +73,15 @@ def exceptions_in_time(ledger, feed_map, start, timeout=timedelta(minutes=60), i
     return waiting.select(KEY, (at_start | F.coalesce("_later", F.lit(False))).alias("resolved"))
 
 
+def _passing(resolved):
+    return F.col("category").isin(SUCCEEDED, TOLERATED, NOT_MAPPED) | ((F.col("category") == WAITING) & resolved)
+
+
+def counts_as_passing():
+    """Of a categorized latest row: does the rule pass as it is, without a wait?"""
+    return _passing(F.col("exception_applied").eqNullSafe(YES))
+
+
 def verdict(given, categories, resolved=None, group_by=()):
     """Does each group of given rules pass?
 
@@ -85,10 +94,7 @@ def verdict(given, categories, resolved=None, group_by=()):
         rules = exception_check(categories)
     else:
         rules = categories.join(resolved.select(KEY, "resolved"), KEY, "left")
-    passes = F.col("category").isin(SUCCEEDED, TOLERATED, NOT_MAPPED) | (
-        (F.col("category") == WAITING) & F.coalesce("resolved", F.lit(False))
-    )
-    rules = rules.select(KEY, passes.alias("_passes"))
+    rules = rules.select(KEY, _passing(F.coalesce("resolved", F.lit(False))).alias("_passes"))
     given = given.select(*group_by, KEY).distinct()
     return (
         lookup_join(given, rules, "left")

@@ -14,8 +14,10 @@ def _path(spark, *parts):
     return spark._jvm.org.apache.hadoop.fs.Path("/".join(part.rstrip("/") for part in parts))
 
 
-def commit(rows, path, place):
-    """Write rows as Parquet to a new folder under ``path``, which ``place()`` names when they are written.
+def commit(rows, path, place, replace=False):
+    """Write rows as Parquet to a folder under ``path``, which ``place()`` names when they are written.
+
+    The folder must be new, unless the write may ``replace`` it.
 
     Readers skip folders that begin with an underscore, so they see all files or none, also
     while others write: each write has a staging folder of its own. A write that fails leaves
@@ -28,6 +30,8 @@ def commit(rows, path, place):
         rows.write.parquet(staged.toString())
         target = _path(spark, path, place())
         files.mkdirs(target.getParent())
+        if replace:
+            files.delete(target, True)
         if files.exists(target) or not files.rename(staged, target):
             raise OSError(f"{target} can't be committed")
     except BaseException:
