@@ -19,6 +19,7 @@ told apart by their place, not by their id: null and repeated ids are rows of th
 """
 
 import hashlib
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import chain
@@ -39,21 +40,39 @@ HOT = 1 << 17
 #: Distinct pairs, or entries, that a task holds before it hands them on.
 HELD = 1 << 20
 
-#: Fixed value: how the byte-level vocabulary splits texts into pieces, for letters up to U+036F.
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Texts of letters up to here are encoded piece by piece; those with others as a whole.
+LAST_LETTER = 0x36F
+_OTHER_LETTERS = re.compile(f"[^\\x00-{chr(LAST_LETTER)}]")
 #: A text that begins with a space, in parts that each begin with all the spaces before a word.
-_WORDS = regex.compile(r" +[^ ]*")
-_OTHER_LETTERS = regex.compile(r"[^\x00-ͯ]")
+_WORDS = re.compile(r" +[^ ]*")
 #: Pieces whose ids a task remembers, and the longest of them.
 _REMEMBERED, _SHORT = 1 << 18, 64
 
 
+def _class_of(kind):
+    """The letters up to the last one that Unicode puts in a class, for a pattern's brackets."""
+    return "".join(re.escape(chr(code)) for code in range(LAST_LETTER + 1) if regex.match(kind, chr(code)))
+
+
+def _pieces_pattern():
+    """How the byte-level vocabulary splits texts into pieces, for letters up to the last one.
+
+    Fixed values: the contractions, and the order of runs of letters, of numbers, of others, of
+    white space. Letters come first here; no other kind of piece begins as they do.
+    """
+    letter, number, space = (_class_of(kind) for kind in (r"\p{L}", r"\p{N}", r"\s"))
+    return re.compile(f" ?[{letter}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
+
+
+_PIECES = _pieces_pattern()
+
+
 @dataclass(frozen=True)
 class Coder:
     """An encoder and the bytes of each of its ids. ``prefix`` goes before a text that it gets.
 
-    ``make`` runs in tasks, once per process, on ``state``; it returns a function from a text to
-    a list of ids.
+    ``make`` runs in tasks, once per process, on ``state`` and ``pieces``; it returns a function
+    from a text to a list of ids, and whether their bytes are the text's.
     """
 
     name: str
@@ -63,31 +82,51 @@ class Coder:
     prefix: str = ""
 
 
-def _byte_level(state):
+def _remembering(parts_of, whole, encode_part, text_of):
+    """An encoder of texts by parts that have the same ids in every text.
+
+    ``encode_part`` gives the ids of a part and whether they give it back; a text is given back
+    if all its parts are. ``text_of`` is what a whole text's ids must give back.
+    """
+    remembered, bad = {}, []
+
+    def of_part(part):
+        ids, exact = encode_part(part)
+        if not exact:
+            bad.append(part)
+        elif len(part) <= _SHORT and len(remembered) < _REMEMBERED:
+            remembered[part] = ids
+        return ids
+
+    def encode(text):
+        if not text or _OTHER_LETTERS.search(text):
+            return whole(text)
+        del bad[:]
+        ids = list(chain.from_iterable([remembered.get(part) or of_part(part) for part in parts_of(text_of(text))]))
+        return ids, not bad
+
+    return encode
+
+
+def _byte_level(state, pieces):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(state.decode())
     tokenizer.encode_special_tokens = True
     letters = str.maketrans({byte: letter for letter, byte in _byte_of_letters().items()})
-    model, remembered = tokenizer.model, {}
+    model = tokenizer.model
+
+    def checked(ids, text):
+        return ids, b"".join(map(pieces.__getitem__, ids)) == text.encode()
 
     def whole(text):
-        return tokenizer.encode(text, add_special_tokens=False).ids
+        return checked(tokenizer.encode(text, add_special_tokens=False).ids, text)
 
     def of_piece(piece):
-        ids = [token.id for token in model.tokenize(piece.encode().decode("latin-1").translate(letters))]
-        if len(piece) <= _SHORT and len(remembered) < _REMEMBERED:
-            remembered[piece] = ids
-        return ids
+        return checked([token.id for token in model.tokenize(piece.encode().decode("latin-1").translate(letters))], piece)
 
-    def encode(text):
-        # merges stay within pieces, so a piece has the same ids in every text
-        if _OTHER_LETTERS.search(text):
-            return whole(text)
-        pieces = _PIECES.findall(text)
-        return list(chain.from_iterable([remembered.get(piece) or of_piece(piece) for piece in pieces]))
-
-    return encode
+    # merges stay within pieces
+    return _remembering(_PIECES.findall, whole, of_piece, lambda text: text)
 
 
 def _byte_of_letters():
@@ -112,33 +151,28 @@ def byte_level_coder(path, prefix=" ") -> Coder:
     return Coder(path, state, _byte_level, pieces, prefix)
 
 
-def _pieced(state):
+def _pieced(state, pieces):
     from sentencepiece import SentencePieceProcessor
 
     processor = SentencePieceProcessor(model_proto=state)
-    remembered = {}
+    space = processor.piece_to_id("▁")
 
-    def whole(text):
-        return processor.encode(text, num_threads=1)
+    def checked(ids, text):
+        return ids, b"".join(map(pieces.__getitem__, ids)) == text.encode()
 
-    def of_word(word):
-        ids = whole(word[1:]) if len(word) > 1 else [space]  # the encoder puts the space before it again
-        if len(word) <= _SHORT and len(remembered) < _REMEMBERED:
-            remembered[word] = ids
-        return ids
+    def whole(text):
+        return checked(processor.encode(text, num_threads=1), f" {text}")
 
-    def encode(text):
-        if not text or _OTHER_LETTERS.search(text):
-            return whole(text)
-        words = _WORDS.findall(f" {text}")
-        return list(chain.from_iterable([remembered.get(word) or of_word(word) for word in words]))
+    def of_word(word):  # the encoder puts the space before it again
+        return whole(word[1:]) if len(word) > 1 else checked([space], word)
 
-    letters = "".join(map(chr, range(0x21, 0x370)))
+    letters = "".join(map(chr, range(0x21, LAST_LETTER + 1)))
     inner_space = any("▁" in processor.id_to_piece(number).lstrip("▁") for number in range(processor.get_piece_size()))
     as_they_are = processor.normalize(f"{letters}  a") == f"▁{letters}▁▁a"
-    space = processor.piece_to_id("▁")
-    # no piece goes on after a word, and letters stay as they are: words have the same ids in every text
-    return encode if as_they_are and not inner_space and space != processor.unk_id() else whole
+    if inner_space or not as_they_are or space == processor.unk_id():
+        return whole
+    # no piece goes on after a word, and letters stay as they are
+    return _remembering(_WORDS.findall, whole, of_word, lambda text: f" {text}")
 
 
 def piece_coder(path) -> Coder:
@@ -177,7 +211,7 @@ def _made(coder):
     """The encoder of a process; tasks that follow use it again."""
     key = hashlib.sha256(coder.state).digest()
     if key not in _MADE:
-        _MADE[key] = coder.make(coder.state)
+        _MADE[key] = coder.make(coder.state, coder.pieces)
     return _MADE[key]
 
 
@@ -191,11 +225,8 @@ class _Aligner:
 
     def tokens(self, text):
         """The ids of both, or None if either does not give the text back."""
-        body = f" {text}".encode()
-        a, b = self.encode_a(self.a.prefix + text), self.encode_b(self.b.prefix + text)
-        if b"".join(map(self.a.pieces.__getitem__, a)) != body or b"".join(map(self.b.pieces.__getitem__, b)) != body:
-            return None
-        return np.array(a, np.int64), np.array(b, np.int64)
+        (a, exact_a), (b, exact_b) = self.encode_a(self.a.prefix + text), self.encode_b(self.b.prefix + text)
+        return (np.array(a, np.int64), np.array(b, np.int64)) if exact_a and exact_b else None
 
     def aligned(self, text):
         """Counts, groups as text, ids of groups of the fast path, and links of the others."""
