@@ -8,7 +8,8 @@ innermost first. The first one in the stack that still covers a key is its rule.
 
 Native throughout. A sweep is dealt by reversed host and split further by how many
 keys that host has, so a host with a third of all URLs takes a third of the tasks; its
-rules are repeated for each split. Equal URLs are judged once.
+rules are repeated for each split. Equal URLs are judged once, and joins give their
+smaller side its key anew, so that Spark can split a key with a third of the other side.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -29,6 +30,15 @@ def _reversed(labels):
     return F.array_join(F.reverse(labels), ".")
 
 
+def _anew(rows, *keys):
+    """The rows with their keys derived again: not known to be partitioned by them any more.
+
+    A side of a join that an aggregate has already dealt by the key gets no exchange of its
+    own otherwise, and Spark splits an overfull partition only where both sides have one.
+    """
+    return rows.withColumns({key: F.concat(F.col(key), F.lit("")) for key in keys})
+
+
 def _stacks(rules):
     """Each rule's canonical key with the rules that are open there, innermost first.
 
@@ -63,12 +73,13 @@ def judged(urls: DataFrame, rules: DataFrame, default="allow") -> DataFrame:
         lambda count: _reversed(F.slice(labels, -count, count)))
     points = urls.select("host", "path", F.explode(above).alias("anchor"))
     anchors = stacks.select("anchor").distinct()
-    points = points.join(anchors, "anchor")
+    points = points.join(_anew(anchors, "anchor"), "anchor")
 
     counts = points.groupBy("anchor").agg(F.count(F.lit(1)).alias("points"))
-    share = (counts.agg(F.sum("points")).first()[0] or 0) / int(session.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(session.conf.get("spark.sql.shuffle.partitions"))
+    share = (counts.agg(F.sum("points")).first()[0] or 0) / parts
     splits = counts.select("anchor", F.greatest(F.lit(1), F.ceil(F.col("points") / F.lit(max(share, 1.0)))).alias("splits"))
-    points = points.join(splits, "anchor").select(
+    points = points.join(_anew(splits, "anchor"), "anchor").select(
         "anchor", F.pmod(F.xxhash64("host", "path"), F.col("splits")).alias("split"),
         F.concat("anchor", F.lit("/"), F.col("path")).alias("key"), F.lit(1).alias("closed"),
         F.lit(None).cast(stacks.schema["stack"].dataType).alias("stack"), "host", "path")
@@ -77,7 +88,8 @@ def judged(urls: DataFrame, rules: DataFrame, default="allow") -> DataFrame:
         F.lit(0).alias("closed"), "stack", F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path"))
 
     sweep = Window.partitionBy("anchor", "split").orderBy("key", "closed").rowsBetween(Window.unboundedPreceding, 0)
-    swept = points.unionByName(opened).withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).where("closed = 1")
+    # dealt by the split too, which a partitioning by the anchor alone would satisfy
+    swept = points.unionByName(opened).repartition(parts, "anchor", "split").withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).where("closed = 1")
     covers = F.filter("stack", lambda rule: F.startswith(F.col("path"), rule["path"]))
     swept = swept.select("host", "path", "anchor", F.get(covers, F.lit(0)).alias("rule")).where("rule IS NOT NULL")
     best = F.struct((F.length("anchor") + F.col("rule.length")).alias("length"), F.length("anchor").alias("host_length"),
@@ -94,4 +106,4 @@ def judge(pages: DataFrame, rules: DataFrame, default="allow", carry=("page_id",
     kept = [F.col(name).alias(f"kept_{place}") for place, name in enumerate(carry)]
     rows = pages.select(*kept, host.alias("host"), path.alias("path"))
     names = [F.col(f"kept_{place}").alias(name) for place, name in enumerate(carry)]
-    return rows.join(judged(rows, rules, default), ["host", "path"]).select(*names, "host", "path", "rule", "verdict")
+    return rows.join(_anew(judged(rows, rules, default), "host", "path"), ["host", "path"]).select(*names, "host", "path", "rule", "verdict")

@@ -1,0 +1,43 @@
+"""URL filters where one host, or no host, has most of the rows, and no join is broadcast."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from rulespark.llm import url_filter
+from rulespark.llm.queries import URL_RULES
+
+
+def _plain(setting):
+    setting(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+            spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="16")
+
+
+def _pages(spark, rows, url):
+    return spark.range(rows).select(F.col("id").alias("page_id"), url.alias("url"))
+
+
+def _final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_a_host_with_all_urls_is_swept_in_many_tasks(spark, setting):
+    _plain(setting)
+    pages = _pages(spark, 16_000, F.concat(F.lit("http://a.example.net/en/"), F.col("id")))
+    found = url_filter.judged(pages.select(*(part.alias(name) for name, part in zip(("host", "path"), url_filter.host_and_path("url")))), spark.sql(URL_RULES))
+    assert found.where("rule = 'example.net/en/'").count() == 16_000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    window = plan[plan.index("Window"):]
+    assert re.search(r"Exchange hashpartitioning\(anchor#\d+, split#\d+L?, 16\)", window)
+
+
+def test_urls_without_a_host_are_split(spark, setting):
+    """Half of the rows are null: the join that carries verdicts back is split."""
+    _plain(setting)
+    setting(spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB", spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
+            spark__sql__adaptive__skewJoin__skewedPartitionFactor="2")
+    url = F.when(F.col("id") % 2 == 0, None).otherwise(F.concat(F.lit("http://h"), F.col("id") % 500, F.lit(".org/fr/"), F.col("id")))
+    found = url_filter.judge(_pages(spark, 40_000, url).repartition(8), spark.sql(URL_RULES))
+    rows = found.collect()
+    assert len(rows) == 40_000 and sum(row.rule == "org/fr/" for row in rows) == 20_000
+    assert "SortMergeJoin(skew=true)" in _final_plan(found)
