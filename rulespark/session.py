@@ -47,9 +47,14 @@ def stream_session(spark, partitions=None):
 def work_folder(spark, purpose):
     """A fresh path, not yet made, in the folder that all executors share.
 
-    It is in ``spark.checkpoint.dir``, or else beside the tables of the warehouse.
+    It is in ``spark.checkpoint.dir``, or else beside the tables of the warehouse, unless
+    that is a folder of the driver's machine which the executors of a cluster don't see.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and ":" not in base.removeprefix("file:"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {base!r} is the driver's own")
     return f"{base.rstrip('/')}/rulespark/{purpose}-{uuid.uuid4().hex}"
 
 
