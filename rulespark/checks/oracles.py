@@ -138,6 +138,11 @@ def _texts():
         "b3_unmapped_rules": f"""SELECT DISTINCT r.* FROM fx_rules r WHERE {_IN_PACKAGE}
             AND NOT EXISTS (SELECT 1 FROM fx_feed_map f WHERE f.rule_id = r.rule_id)""",
         "b4_rules_for_feed": f"SELECT * FROM for_feed WHERE package = '{q.PACKAGE}'",
+        "b4_rules_for_requests": f"""SELECT concat_ws('/', module, stage, package, feed) AS request_id, {_RULE_COLUMNS}
+            FROM applicable r, (VALUES ('F0'), ('F1'), ('F2'), ('F3'), ('F4'), ('F5'), (NULL)) v(feed)
+            WHERE feed IS NULL OR NOT EXISTS (SELECT 1 FROM fx_feed_map f WHERE f.rule_id = r.rule_id)
+              OR EXISTS (SELECT 1 FROM fx_feed_map f WHERE f.rule_id = r.rule_id AND f.feed_id = feed
+                AND f.rule_applicable_status = 'Yes')""",
         "b5_rules_for_packages": "SELECT * FROM per_package",
         "b7_rule_rows": """SELECT DISTINCT rule_id, rule_name, rule_type, rule_status, module, stage, package, slg,
             program_type, program_code, coalesce(CAST(created_dt AS STRING), '') AS created_dt,

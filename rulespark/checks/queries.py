@@ -158,6 +158,18 @@ def b4_rules_for_feed(spark, sf_dir):
     return op.rules_for_feed(*_rules_and_map(spark, sf_dir), MODULE, STAGE, PACKAGE, FEED)
 
 
+def _requests(spark, sf_dir):
+    """Every module, stage and package of the catalog, for each of six feeds and for none."""
+    feeds = F.array(*[F.lit(f"F{n}") for n in range(6)], F.lit(None).cast("string"))
+    places = view(spark, sf_dir, "fx_rules").select("module", "stage", "package").distinct()
+    requests = places.select("*", F.explode(feeds).alias("feed_id"))
+    return requests.select(F.concat_ws("/", "module", "stage", "package", "feed_id").alias("request_id"), "*")
+
+
+def b4_rules_for_requests(spark, sf_dir):
+    return op.rules_for_requests(*_rules_and_map(spark, sf_dir), _requests(spark, sf_dir))
+
+
 def b5_rules_for_packages(spark, sf_dir):
     return op.rules_for_packages(*_rules_and_map(spark, sf_dir), MODULE, STAGE, PACKAGES, FEED)
 

@@ -6,6 +6,7 @@ from .selection import (
     rule_rows,
     rules_for_feed,
     rules_for_packages,
+    rules_for_requests,
     select_rules,
     unmapped_rules,
 )
@@ -24,7 +25,8 @@ from .verdict import (
 __all__ = [
     "all_succeeded", "approved_rules", "categorize", "exception_check", "exceptions_applied",
     "exceptions_in_time", "exit_code", "final_rows", "has_feed_mapping", "latest_status",
-    "mapped_rules", "of_runs", "rule_rows", "rules_for_feed", "rules_for_packages", "select_rules",
+    "mapped_rules", "of_runs", "rule_rows", "rules_for_feed", "rules_for_packages", "rules_for_requests",
+    "select_rules",
     "started_rows", "status_history", "unmapped_rules", "verdict", "verdict_from_approvals",
     "waiting_rules", "with_run_ids",
 ]

@@ -85,6 +85,34 @@ def rules_for_packages(catalog, feed_map, module, stage, packages, feed_id=None,
     return rules.select(*RULE_COLUMNS, F.explode(asked[F.col("package")]).alias("package_position"))
 
 
+REQUEST_COLUMNS = ("request_id", "module", "stage", "package", "feed_id")
+
+
+def rules_for_requests(catalog, feed_map, requests, unmapped="keep"):
+    """The rules of any number of requests at once, each as ``rules_for_feed`` gives them.
+
+    A request is a row of (request_id, module, stage, package, feed_id); one of several
+    packages has several rows. Catalog and feed map are read once: the feed map is reduced to
+    one row per rule and feed, and to the rules that it names at all, before it meets the
+    requests. A request without a feed, null or empty, takes every selected rule. The same
+    request row twice counts once; a rule that no request asks for never leaves the catalog.
+    """
+    if unmapped not in ("keep", "drop"):
+        raise ValueError("unmapped is 'keep' or 'drop'")
+    places = ("module", "stage", "package")
+    requests = requests.select("request_id", *places, F.nullif("feed_id", F.lit("")).alias("_feed")).distinct()
+    rules = catalog.where(F.col("rule_status").isin(*SELECTED_STATUSES)).select(*RULE_COLUMNS).distinct()
+    asked = rules.join(requests, list(places))
+    mapped = feed_map.groupBy(KEY, F.col("feed_id").alias("_feed")).agg(
+        F.bool_or(F.col("rule_applicable_status").eqNullSafe(YES)).alias("_hit"))
+    known = lookup_join(asked, mapped.select(KEY).distinct().withColumn("_known", F.lit(True)), "left")
+    hits = mapped.where("_hit AND _feed IS NOT NULL")
+    anew = [F.concat(F.col(name), F.lit("")).alias(name) for name in (KEY, "_feed")]
+    found = known.join(hits.select(*anew, "_hit"), [KEY, "_feed"], "left")
+    kept = F.col("_feed").isNull() | F.coalesce("_hit", F.lit(False)) | (F.col("_known").isNull() & F.lit(unmapped == "keep"))
+    return found.where(kept).select("request_id", *RULE_COLUMNS).distinct()
+
+
 def rule_rows(rules):
     """Rules as text: audit columns as text, with an empty text for NULL."""
     others = [name for name in rules.columns if name not in RULE_COLUMNS]

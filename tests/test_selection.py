@@ -93,3 +93,29 @@ def test_approvals(spark):
     assert ids(op.approved_rules(given, approvals)) == ["a"]
     assert ids(op.approved_rules(["a", "d", "a"], approvals)) == ["a", "d"]
     assert ids(op.approved_rules(given, None)) == ids(op.approved_rules(["c", "b", "a", "a"], None)) == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize("unmapped", ["keep", "drop"])
+def test_requests_give_what_each_gives_alone(spark, tables, unmapped):
+    rules, mappings = tables
+    rules = rules.unionByName(catalog(spark, rule("here", package="Q"), rule("never", package="Q"), rule("elsewhere", package="Q")))
+    wanted = [(f"{package}-{feed}", module, "S", package, feed) for module in ("M", "X") for package in ("P", "Q", "none")
+              for feed in ("F1", "F2", "F9", "", None)]
+    wanted = [(f"{module}-{request}", module, *rest) for request, module, *rest in wanted]
+    requests = spark.createDataFrame(wanted + wanted[:3], "request_id string, module string, stage string, package string, feed_id string")
+    found = {}
+    for row in op.rules_for_requests(rules, mappings, requests, unmapped).collect():
+        found.setdefault(row.request_id, []).append(tuple(row)[1:])
+    for request, module, stage, package, feed in wanted:
+        alone = op.rules_for_feed(rules, mappings, module, stage, package, feed, unmapped)
+        assert sorted(found.get(request, []), key=str) == sorted(map(tuple, alone.collect()), key=str), request
+    assert len(found) > 6
+
+
+def test_a_request_of_several_packages_and_feeds(spark, tables):
+    requests = spark.createDataFrame([("r", "M", "S", "P", "F1"), ("r", "M", "S", "P", "F2"), ("r", None, "S", "P", "F1")],
+                                     "request_id string, module string, stage string, package string, feed_id string")
+    assert ids(op.rules_for_requests(*tables, requests)) == ["", "elsewhere", "here", "never", "passive"]
+    assert op.rules_for_requests(*tables, requests.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        op.rules_for_requests(*tables, requests, unmapped="maybe")
