@@ -1,5 +1,7 @@
 """The queries that SQL can express, in DuckDB's SQL over the same tables."""
 
+from .quality import UNSPACED
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = r"[\x20\x09-\x0D]"
 
@@ -106,16 +108,17 @@ WITH split AS (
 ), measured AS (
   SELECT doc_id, len(words) AS n_words, length(regexp_replace(body, '{_SPACE}+', '', 'g')) AS word_chars,
     length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
-    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+    length(body) - length(regexp_replace(body, '{UNSPACED}', '', 'g')) AS n_unspaced
   FROM split LEFT JOIN covered USING (rid)
 ), judged AS (
   SELECT *, CAST((CASE WHEN n_words < 10 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END)
     + (CASE WHEN 100 * n_symbols > 10 * n_words THEN 4 ELSE 0 END) + (CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END)
-    + (CASE WHEN word_chars > 25 * n_words THEN 16 ELSE 0 END) + (CASE WHEN word_chars < 2 * n_words THEN 32 ELSE 0 END)
+    + (CASE WHEN word_chars > 25 * n_words AND 2 * n_unspaced < word_chars THEN 16 ELSE 0 END) + (CASE WHEN word_chars < 2 * n_words THEN 32 ELSE 0 END)
     AS BIGINT) AS failed
   FROM measured
 )
-SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM judged"""
+SELECT * EXCLUDE (n_unspaced), failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM judged"""
 
 #: A line's key: stripped, A to Z in lower case.
 _KEY = _LOWER.format("trim({line}, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13)))")

@@ -19,7 +19,12 @@ from .text import SPACES, whole, words
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_unspaced")
+#: Blocks of scripts that part no words by spaces, and of their marks: Thai and Lao, Tibetan,
+#: Myanmar, Khmer, kana and Han with its marks, compatibility and full-width forms, and later planes of Han.
+UNSPACED = (
+    r"[\x{0E00}-\x{0EFF}\x{0F00}-\x{0FFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3000}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}"
+    r"\x{F900}-\x{FAFF}\x{FF00}-\x{FFEF}\x{20000}-\x{3FFFF}]")
 
 
 class Rule(NamedTuple):
@@ -35,7 +40,7 @@ RULES = (
     Rule("repeated_words", "100 * n_repeat_words > 20 * n_words"),
     Rule("symbols", "100 * n_symbols > 10 * n_words"),
     Rule("repeated_lines", "100 * n_dup_lines > 50 * n_lines"),
-    Rule("long_words", "word_chars > 25 * n_words"),
+    Rule("long_words", "word_chars > 25 * n_words AND 2 * n_unspaced < word_chars"),
     Rule("short_words", "word_chars < 2 * n_words"),
 )
 
@@ -62,7 +67,9 @@ def measured(docs: DataFrame, text="text", carry=("doc_id",)) -> DataFrame:
 
     Words in repeated windows are counted from the windows sorted with their places:
     equal neighbours are repeats, and consecutive places overlap by what lies between.
-    Texts without a repeated window, found by a hash set, skip the sort.
+    Texts without a repeated window, found by a hash set, skip the sort. ``n_unspaced``,
+    characters of scripts without spaces, are counted where what spaces part is longer than
+    words are, as long lines of such a script are one word each; elsewhere it is zero.
     """
     kept = [F.col(name).alias(f"kept_{place}") for place, name in enumerate(carry)]
     rows = docs.select(*kept, whole(text).alias("body"), words(text).alias("words"))
@@ -85,7 +92,9 @@ def measured(docs: DataFrame, text="text", carry=("doc_id",)) -> DataFrame:
     total = F.aggregate(covered, F.lit(0), lambda sum_, add: sum_ + add)
     bare = F.length(F.translate("body", SPACES, ""))
     symbols = F.length("body") - F.length(F.translate("body", SYMBOLS, ""))
+    unspaced = F.length("body") - F.length(F.regexp_replace("body", UNSPACED, ""))
     values = {
+        "n_unspaced": F.when(bare > 25 * F.col("size"), unspaced).otherwise(F.lit(0)),
         "n_words": F.col("size"), "word_chars": bare, "n_symbols": symbols, "n_lines": F.size("lines"),
         "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")), "n_repeat_words": F.coalesce(total, F.lit(0)),
     }

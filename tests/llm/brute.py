@@ -26,6 +26,17 @@ def quality(text):
             len(lines) - len(set(lines)), len(covered))
 
 
+UNSPACED = [(0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3000, 0x30FF), (0x3400, 0x4DBF),
+            (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF00, 0xFFEF), (0x20000, 0x3FFFF)]
+
+
+def unspaced(text):
+    """Characters of scripts without spaces, where words are long."""
+    words, chars, *_ = quality(text)
+    found = sum(any(first <= ord(char) <= last for first, last in UNSPACED) for char in text or "")
+    return found if chars > 25 * words else 0
+
+
 def lines(texts, min_docs=10, min_chars=1):
     """Per text: lines, dropped lines, what is left."""
     def key(line):

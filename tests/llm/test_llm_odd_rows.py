@@ -18,7 +18,7 @@ def same_rows(df, columns, rows):
 
 def test_quality(odd_documents, odd_rows, no_documents):
     columns = ["doc_id", *quality.MEASURES]
-    same_rows(quality.ledger(odd_documents).drop("failed"), columns, [(row[0], *brute.quality(row[1])) for row in odd_rows])
+    same_rows(quality.ledger(odd_documents).drop("failed"), columns, [(row[0], *brute.quality(row[1]), brute.unspaced(row[1])) for row in odd_rows])
     kept = quality.kept_documents(odd_documents, quality.BASE)
     assert kept.columns == odd_documents.columns
     expected = []
@@ -29,6 +29,21 @@ def test_quality(odd_documents, odd_rows, no_documents):
     assert quality.kept_documents(no_documents).count() == quality.ledger(no_documents).count() == 0
 
 
+def test_scripts_without_spaces(spark):
+    """Clean prose of such a script passes; long words of others don't, nor does a little of such a script save them."""
+    japanese = "".join(f"吾輩は猫である、名前はまだ無い、どこで生れたか頓と見当がつかぬのである第{at}話。\n" for at in range(15))
+    thai = "".join(f"ภาษาไทยเขียนติดกันโดยไม่เว้นวรรคระหว่างคำในประโยคเดียวกันทั้งหมด{at}\n" for at in range(12))
+    planes = "".join("𠀋𡈽𡌛𡑮𡢽𠮟𡚴𡸴𣇄𣗄𣜿𣝣𣳾𤟱𥒎𥔎𥝱𥧄𥶡𦫿𦹀𧃴𧚄𨉷𨏍𪆐" + chr(0x4E00 + at) + "\n" for at in range(12))
+    glued = "".join(f"averyveryverylongwordthatnobodywouldeverwrite{at}\n" for at in range(15))
+    mixed = "".join(f"averyveryverylongwordthatnobodywouldeverwrite漢字{at}\n" for at in range(15))
+    spaced = " ".join(f"plain{at}" for at in range(30)) + " 漢字"
+    texts = [japanese, thai, planes, glued, mixed, spaced, None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(row.doc_id for row in quality.kept_documents(docs).collect()) == [0, 1, 2, 5]
+    found = {row.doc_id: row.n_unspaced for row in quality.measured(docs).collect()}
+    assert found == {at: brute.unspaced(text) for at, text in enumerate(texts)}
+
+
 def test_ablations(odd_documents):
     entries = quality.ledger(odd_documents)
     failed = [row.failed for row in entries.collect()]
