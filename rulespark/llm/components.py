@@ -27,8 +27,9 @@ def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``label``, its component's least node, for all nodes but the least ones.
 
     ``edges`` has two columns of longs. Each round is a written table. Minima are
-    combined before the shuffle, and the joins are plain ones, so that a node with most
-    of the edges is split. Repeated edges and edges from a node to itself do no harm.
+    combined before the shuffle. The joins find the minima already dealt by the node, so
+    Spark doesn't split a node with many edges: its edges are one task's, two longs each.
+    Repeated edges and edges from a node to itself do no harm.
     """
     edges = edges.toDF("a", "b").where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = written(edges, "edges")
