@@ -150,3 +150,21 @@ def test_equals_the_batch_form(spark, streams):
         append(*later[part::3])
     append(*rows, excepted("end", "r", at(22)))
     assert {rule: done for rule, _, done in follow("5 hours")} == batch and len(set(batch.values())) == 2
+
+
+def test_an_exception_that_a_newer_row_takes_back(spark, streams, folder):
+    """Any exception in the time resolves, but a wait that looks once takes the latest row."""
+    wait, append, follow = streams
+    rows = [(*excepted("a", "r1", at(11))[:3], "No", "Active", at(11)), excepted("a", "r2", at(12, 10)), excepted("a", "r3", at(12, 20), "No")]
+    whole, mappings = ledger(spark, *rows), feed_map(spark, ("a", "F", "Yes"))
+    assert op.exceptions_in_time(whole, mappings, at(12), HOUR).first().resolved
+    wait(("a", at(12), False))
+    append(*rows)
+    assert follow() == [("a", at(12), True)]
+    path = folder("wait")
+    whole = whole.withColumn("created_dt", F.col("created_dt").cast("timestamp"))
+    whole.write.parquet(path)
+    waiting = spark.createDataFrame([("a",)], "rule_id string")
+    looked = streaming.wait_for_exceptions(
+        waiting, spark.readStream.schema(whole.schema).parquet(path), folder("looks"), folder("state"), timedelta(seconds=1))
+    assert [tuple(row) for row in looked.collect()] == [("a", False)]
