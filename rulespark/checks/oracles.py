@@ -213,6 +213,7 @@ def _texts():
             UNION ALL SELECT 'nobody''s', 0, 0, true, 0, 0, 0""",
         "f11_resume": " UNION ALL ".join(f"""SELECT '{name}' AS rule_id, 8 AS rules, 8 AS succeeded, true AS passes, 1 AS final_rows,
             (SELECT count(*) FROM ({rule_sql(name)}) t_{name}) AS result_rows""" for name in _ALL_RULES),
+        "h_stream_rule": f"SELECT 'neg_balance' AS RULE_ID, HEADER_DATA, COL1, COL2, COL3 FROM ({rule_sql('neg_balance')}) t",
         "g1_case": "SELECT p_partkey, upper(p_name) AS upper_name, lower(p_brand) AS lower_brand FROM part",
         "g2_replace": "SELECT doc_id, replace(text, 'a', '${b}') AS replaced FROM documents",
         "g5_dates": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS as_text,

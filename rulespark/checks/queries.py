@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from .. import operators as op
 from .. import plans, sources, streaming
-from ..model import FAILURE, LEDGER_SCHEMA, RESULT_COLUMNS, RULE_COLUMNS, RULE_TEXT_COLUMNS, RUNNABLE_RULE_SCHEMA
+from ..model import FAILURE, LEDGER_SCHEMA, RESULT_COLUMNS, RULE_COLUMNS, RULE_TEXT_COLUMNS, RUNNABLE_RULE_SCHEMA, SUCCESS
 from ..session import rule_session, stream_session, work_folder
 from .fixtures import table, view
 
@@ -672,10 +672,25 @@ def g7_arithmetic(spark, sf_dir):
     )
 
 
+# Rules over streams
+
+
+def h_stream_rule(spark, sf_dir):
+    """A rule over the customers as they come in, some files at a time: its rows in the end."""
+    session = stream_session(spark)
+    settings, rule = _settings(spark, sf_dir), _program_rule("neg_balance")
+    _, stream = _stream_of(session, table(spark, sf_dir, "customer"), "customer-stream", files=6)
+    streaming.write_rule(rule, stream, "customer", settings, work_folder(spark, "rule-state"), availableNow=True).awaitTermination()
+    ended = sources.read_ledger(spark, settings.ledger).where(F.col("rule_execution_status") == SUCCESS)
+    paths = [sources.result_path(settings.results, row.rule_id, row.rule_run_id) for row in ended.select("rule_id", "rule_run_id").collect()]
+    return sources.read_results(spark, paths).drop("RULE_RUN_ID")
+
+
 def all_queries():
     """Every check by its key."""
     found = {name: query for name, query in globals().items()
              if len(name) > 2 and name[0] in "abcdefg" and name[1].isdigit() and callable(query)}
+    found["h_stream_rule"] = h_stream_rule
     found |= {f"c1_{name}": _sql_rule(name) for name in SQL_RULES}
     found |= {f"c4_{name}": _python_rule(name) for name in PYTHON_RULES}
     return dict(sorted(found.items()))

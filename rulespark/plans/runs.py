@@ -30,7 +30,7 @@ from ..operators import (
     with_run_ids,
 )
 from ..session import rule_session, written
-from ..sources import Tables, append_status, read_ledger, read_results, write_results
+from ..sources import Tables, append_status, read_ledger, read_results, result_path, write_results
 from ..sources.commits import commit, exists
 from .programs import check_date, handler_for, run_program
 from .shared import SharedRules, can_share, shared_path
@@ -206,6 +206,34 @@ def run_rule(spark, rule, settings):
     return outcome
 
 
+class _Given:
+    """A session and its tables, as a caller has them."""
+
+    def __init__(self, session, tables):
+        self._both = session, tables
+
+    def for_rule(self, rule):
+        return self._both
+
+
+def run_over(session, rule, tables, settings):
+    """One rule from start to ledger over tables of the caller's, which belong to ``session``.
+
+    A run id may come again: its rows are replaced, and a run that has succeeded before isn't
+    recorded a second time.
+    """
+    repeated = exists(session, result_path(settings.results, rule["rule_id"], rule["rule_run_id"]))
+    if repeated:
+        ended = of_runs(read_ledger(session, settings.ledger), [rule["rule_run_id"]])
+        repeated = not ended.where(F.col("rule_execution_status") == SUCCESS).isEmpty()
+    if not repeated:
+        _record(session, [rule], started_rows, settings)
+    [outcome] = _execute_one(_Given(session, tables), rule, settings)
+    if not (repeated and outcome.succeeded):
+        _record(session, [rule | {"succeeded": outcome.succeeded}], final_rows, settings)
+    return outcome
+
+
 def run_rules(spark, rules, settings):
     """Run every rule of a DataFrame with ``rule_run_id``; yield each outcome.
 
