@@ -22,7 +22,7 @@ class Shape:
     words: int = 1024
     per_class: int = 64
     tails: int = 48
-    hidden: int = 16
+    hidden: int = 12
 
     @property
     def heads(self):
@@ -135,20 +135,27 @@ def _advance(parts, width, inputs, state):
 def _back(parts, width, held, wanted, inputs, grads):
     """Adds what the states' gradients mean for the inputs and turns of a window."""
     kept, before, both, new, turned = held
-    moved, gates = np.empty((*inputs.shape, 3 * width), np.float32), np.empty((*inputs.shape, 3 * width), np.float32)
-    carried = np.zeros_like(before[0])
+    keep, reset = both[..., :width], both[..., width:]
+    to_keep = (before - new) * keep * (1 - keep)
+    to_fresh = (1 - keep) * (1 - new * new)
+    to_reset = turned * reset * (1 - reset)
+    gates, moved = np.empty((*inputs.shape, 3 * width), np.float32), np.empty((*inputs.shape, 3 * width), np.float32)
+    back, carried, passed = parts["turn"].T.copy(), np.zeros(before[0].shape, np.float32), np.empty(before[0].shape, np.float32)
     for step in range(len(inputs) - 1, -1, -1):
-        change = wanted[step] + carried
-        keep, reset = both[step, :, :width], both[step, :, width:]
-        to_new = change * (1 - keep) * (1 - new[step] ** 2)
-        gates[step, :, :width] = change * (before[step] - new[step]) * keep * (1 - keep)
-        gates[step, :, width : 2 * width] = to_new * turned[step] * reset * (1 - reset)
-        gates[step, :, 2 * width :] = to_new
-        moved[step, :, : 2 * width] = gates[step, :, : 2 * width]
-        moved[step, :, 2 * width :] = to_new * reset
-        carried = (change * keep + moved[step] @ parts["turn"].T) * kept[step]
+        change, gate, turn = wanted[step], gates[step], moved[step]
+        change += carried
+        np.multiply(change, to_keep[step], out=gate[:, :width])
+        fresh = gate[:, 2 * width :]
+        np.multiply(change, to_fresh[step], out=fresh)
+        np.multiply(fresh, to_reset[step], out=gate[:, width : 2 * width])
+        turn[:, : 2 * width] = gate[:, : 2 * width]
+        np.multiply(fresh, reset[step], out=turn[:, 2 * width :])
+        np.matmul(turn, back, out=carried)
+        np.multiply(change, keep[step], out=passed)
+        carried += passed
+        carried *= kept[step]
     grads["turn"] += before.reshape(-1, width).T @ moved.reshape(-1, 3 * width)
-    flat, order = inputs.ravel(), np.argsort(inputs.ravel(), kind="stable")
+    flat, order = inputs.ravel(), np.argsort(inputs.astype(np.uint16).ravel(), kind="stable")
     starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
     grads["inputs"][flat[order][starts]] += np.add.reduceat(gates.reshape(-1, 3 * width)[order], starts)
 

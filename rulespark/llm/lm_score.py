@@ -41,9 +41,9 @@ from ..session import written
 from . import frequent, gru
 
 HOT, LONGEST = 1 << 17, 64
-ROUNDS, RATES = 4, (0.01, 0.007, 0.004, 0.0015)
+ROUNDS, RATES = 2, (0.01, 0.003)
 #: Words that a task learns from in a round, at least; a smaller corpus is gone through again.
-TASK_WORDS, LEAST_WORDS = 250_000, 150_000
+TASK_WORDS, LEAST_WORDS = 500_000, 300_000
 #: Words that a task lays out in lanes at a time, and the lanes.
 GROUP, LANES = 1 << 22, 256
 BLOCKS = 64
@@ -143,15 +143,14 @@ def encoded(docs: DataFrame, words, text="text", carry=()) -> DataFrame:
     fields = [field for field in rows.schema.fields if field.name != "body"]
     rest_type = ArrayType(StructType([StructField("word", StringType()), StructField("times", LongType())]))
     own = {"place": (LongType(), pa.int64()), "n_tokens": (LongType(), pa.int64()), "n_known": (LongType(), pa.int64()),
-           "own_log": (DoubleType(), pa.float64()), "within_log": (DoubleType(), pa.float64()), "tokens": (BinaryType(), pa.binary()),
-           "rest": (rest_type, pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())])))}
-    schema = StructType([*fields, *(StructField(name, kind) for name, (kind, _) in own.items())])
+           "own_log": (DoubleType(), pa.float64()), "within_log": (DoubleType(), pa.float64()), "tokens": (BinaryType(), pa.binary())}
+    schema = StructType([*fields, *(StructField(name, kind) for name, (kind, _) in own.items()), StructField("rest", rest_type)])
 
     def encode(batches):
         places, tokens, own_logs, within_logs, known = words.value.prepared()
         tail_logs, place = words.value.tail_logs, TaskContext.get().partitionId() << 33
         for batch in (batch for batch in batches if batch.num_rows):
-            found = []
+            found, rest_words, rest_times, ends = [], [], [], [0]
             for body in batch.column("body"):
                 text_words = words_of(body.as_py())
                 at = np.array([places.get(word, -1) for word in text_words], np.int64)
@@ -159,12 +158,17 @@ def encoded(docs: DataFrame, words, text="text", carry=()) -> DataFrame:
                 missing = [text_words[index] for index in np.flatnonzero(~hot)]
                 tails = np.array([tail_of(word, shape.tails) for word in missing], np.int64)
                 ids[~hot] = shape.words + tails
-                rest = [{"word": word, "times": times} for word, times in Counter(map(key_of, missing)).items()]
+                rest = Counter(map(key_of, missing))
+                rest_words.extend(rest)
+                rest_times.extend(rest.values())
+                ends.append(len(rest_words))
                 found.append((place, len(ids), int(known[at[hot]].sum()), float(own_logs[at[hot]].sum()),
-                              float(within_logs[at[hot]].sum() - tail_logs[tails].sum()), ids.astype(np.uint16).tobytes(), rest))
+                              float(within_logs[at[hot]].sum() - tail_logs[tails].sum()), ids.astype(np.uint16).tobytes()))
                 place += 1
             columns = {name: batch.column(name) for name in batch.schema.names if name != "body"}
             columns |= {name: pa.array(column, kind) for column, (name, (_, kind)) in zip(zip(*found), own.items())}
+            rest = pa.StructArray.from_arrays([pa.array(rest_words, pa.string()), pa.array(rest_times, pa.int64())], ["word", "times"])
+            columns["rest"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest)
             yield pa.RecordBatch.from_pydict(columns)
 
     return written(rows.mapInArrow(encode, schema), "encoded")
