@@ -23,6 +23,7 @@ import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +44,10 @@ HELD = 1 << 20
 #: Texts of letters up to here are encoded piece by piece; those with others as a whole.
 LAST_LETTER = 0x36F
 _OTHER_LETTERS = re.compile(f"[^\\x00-{chr(LAST_LETTER)}]")
-#: A text that begins with a space, in parts that each begin with all the spaces before a word.
-_WORDS = re.compile(r" +[^ ]*")
-#: Pieces whose ids a task remembers, and the longest of them.
+#: A text that begins with a space, in parts that each begin with all the spaces before a word;
+#: spaces that follow other white space stay with it, as one encoder joins these.
+_WORDS = re.compile(r" +[^ ]*(?:(?<=[\t-\r\x85\xa0]) +[^ ]*)*")
+#: Words whose ids a task remembers, and the longest of them.
 _REMEMBERED, _SHORT = 1 << 18, 64
 
 
@@ -71,8 +73,7 @@ _PIECES = _pieces_pattern()
 class Coder:
     """An encoder and the bytes of each of its ids. ``prefix`` goes before a text that it gets.
 
-    ``make`` runs in tasks, once per process, on ``state`` and ``pieces``; it returns a function
-    from a text to a list of ids, and whether their bytes are the text's.
+    ``make`` runs in tasks, once per process, on ``state``; it returns an ``_Encoder``.
     """
 
     name: str
@@ -82,33 +83,14 @@ class Coder:
     prefix: str = ""
 
 
-def _remembering(parts_of, whole, encode_part, text_of):
-    """An encoder of texts by parts that have the same ids in every text.
+class _Encoder:
+    """Ids of whole texts, and of words where these have the same ids in every text."""
 
-    ``encode_part`` gives the ids of a part and whether they give it back; a text is given back
-    if all its parts are. ``text_of`` is what a whole text's ids must give back.
-    """
-    remembered, bad = {}, []
-
-    def of_part(part):
-        ids, exact = encode_part(part)
-        if not exact:
-            bad.append(part)
-        elif len(part) <= _SHORT and len(remembered) < _REMEMBERED:
-            remembered[part] = ids
-        return ids
-
-    def encode(text):
-        if not text or _OTHER_LETTERS.search(text):
-            return whole(text)
-        del bad[:]
-        ids = list(chain.from_iterable([remembered.get(part) or of_part(part) for part in parts_of(text_of(text))]))
-        return ids, not bad
-
-    return encode
+    def __init__(self, whole, of_word=None):
+        self.whole, self.of_word = whole, of_word
 
 
-def _byte_level(state, pieces):
+def _byte_level(state):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(state.decode())
@@ -116,17 +98,14 @@ def _byte_level(state, pieces):
     letters = str.maketrans({byte: letter for letter, byte in _byte_of_letters().items()})
     model = tokenizer.model
 
-    def checked(ids, text):
-        return ids, b"".join(map(pieces.__getitem__, ids)) == text.encode()
-
     def whole(text):
-        return checked(tokenizer.encode(text, add_special_tokens=False).ids, text)
+        return tokenizer.encode(text, add_special_tokens=False).ids
 
-    def of_piece(piece):
-        return checked([token.id for token in model.tokenize(piece.encode().decode("latin-1").translate(letters))], piece)
+    def of_word(word):  # merges stay within pieces, and pieces within words
+        pieces = (piece.encode().decode("latin-1").translate(letters) for piece in _PIECES.findall(word))
+        return [token.id for piece in pieces for token in model.tokenize(piece)]
 
-    # merges stay within pieces
-    return _remembering(_PIECES.findall, whole, of_piece, lambda text: text)
+    return _Encoder(whole, of_word)
 
 
 def _byte_of_letters():
@@ -151,28 +130,24 @@ def byte_level_coder(path, prefix=" ") -> Coder:
     return Coder(path, state, _byte_level, pieces, prefix)
 
 
-def _pieced(state, pieces):
+def _pieced(state):
     from sentencepiece import SentencePieceProcessor
 
     processor = SentencePieceProcessor(model_proto=state)
     space = processor.piece_to_id("▁")
 
-    def checked(ids, text):
-        return ids, b"".join(map(pieces.__getitem__, ids)) == text.encode()
-
     def whole(text):
-        return checked(processor.encode(text, num_threads=1), f" {text}")
+        return processor.encode(text, num_threads=1)
 
     def of_word(word):  # the encoder puts the space before it again
-        return whole(word[1:]) if len(word) > 1 else checked([space], word)
+        return whole(word[1:]) if len(word) > 1 else [space]
 
     letters = "".join(map(chr, range(0x21, LAST_LETTER + 1)))
     inner_space = any("▁" in processor.id_to_piece(number).lstrip("▁") for number in range(processor.get_piece_size()))
     as_they_are = processor.normalize(f"{letters}  a") == f"▁{letters}▁▁a"
-    if inner_space or not as_they_are or space == processor.unk_id():
-        return whole
     # no piece goes on after a word, and letters stay as they are
-    return _remembering(_WORDS.findall, whole, of_word, lambda text: f" {text}")
+    alone = as_they_are and not inner_space and space != processor.unk_id()
+    return _Encoder(whole, of_word if alone else None)
 
 
 def piece_coder(path) -> Coder:
@@ -211,22 +186,42 @@ def _made(coder):
     """The encoder of a process; tasks that follow use it again."""
     key = hashlib.sha256(coder.state).digest()
     if key not in _MADE:
-        _MADE[key] = coder.make(coder.state, coder.pieces)
+        _MADE[key] = coder.make(coder.state)
     return _MADE[key]
 
 
 class _Aligner:
     def __init__(self, a, b):
         self.a, self.b = a, b
-        self.encode_a, self.encode_b = _made(a), _made(b)
+        self.encoder_a, self.encoder_b = _made(a), _made(b)
+        self.by_words = self.encoder_a.of_word and self.encoder_b.of_word and a.prefix + b.prefix == " "
         self.sizes_a, self.sizes_b = (np.array([len(piece) for piece in coder.pieces], np.int64) for coder in (a, b))
         self.same = identity(a, b)
         self.names = [f"{one}|{other}" for one, other in enumerate(self.same)]
+        self.remembered = _MADE.setdefault((id(self.encoder_a), id(self.encoder_b)), {})
+
+    def _checked(self, a, b, body):
+        """Both lists of ids, or None if either does not give the text back."""
+        body = body.encode()
+        given = b"".join(map(self.a.pieces.__getitem__, a)) == body == b"".join(map(self.b.pieces.__getitem__, b))
+        return (a, b) if given else None
+
+    def _word(self, word):
+        ids = self._checked(self.encoder_a.of_word(word), self.encoder_b.of_word(word), word)
+        if ids and len(word) <= _SHORT and len(self.remembered) < _REMEMBERED:
+            self.remembered[word] = ids
+        return ids
 
     def tokens(self, text):
-        """The ids of both, or None if either does not give the text back."""
-        (a, exact_a), (b, exact_b) = self.encode_a(self.a.prefix + text), self.encode_b(self.b.prefix + text)
-        return (np.array(a, np.int64), np.array(b, np.int64)) if exact_a and exact_b else None
+        """The ids of both, or None if either does not give the text back; a text is its words."""
+        body = f" {text}"
+        if not self.by_words or _OTHER_LETTERS.search(body):
+            ids = self._checked(self.encoder_a.whole(self.a.prefix + text), self.encoder_b.whole(self.b.prefix + text), body)
+            return ids and tuple(np.array(one, np.int64) for one in ids)
+        words = [self.remembered.get(word) or self._word(word) for word in _WORDS.findall(body)]
+        if None in words:
+            return None
+        return tuple(np.array(list(chain.from_iterable(map(itemgetter(side), words))), np.int64) for side in (0, 1))
 
     def aligned(self, text):
         """Counts, groups as text, ids of groups of the fast path, and links of the others."""

@@ -57,45 +57,38 @@ def test_search_of_nothing(no_documents, odd_documents, items):
     assert ranked_search.search(odd_documents, items.where("text is null or text = ''")).columns == ["item_id", "rank", "doc_id", "score"]
 
 
-def _expected(texts, coders):
-    a, b = (token_align._made(coder) for coder in coders)
+def _encoders():
+    """Both encoders as their libraries have them, over whole texts."""
+    from sentencepiece import SentencePieceProcessor
     from tokenizers import Tokenizer
 
-    plain = Tokenizer.from_file(queries.TOKENIZER_A)
+    plain, pieces = Tokenizer.from_file(queries.TOKENIZER_A), SentencePieceProcessor(model_file=queries.TOKENIZER_B)
     plain.encode_special_tokens = True
+    return lambda text: plain.encode(text, add_special_tokens=False).ids, lambda text: pieces.encode(text, num_threads=1)
 
-    def encode(text):
-        ids = plain.encode(text, add_special_tokens=False).ids
-        assert a(text)[0] == ids  # pieces remembered one by one give what the whole text gives
-        return ids
-
-    from sentencepiece import SentencePieceProcessor
-
-    pieces = SentencePieceProcessor(model_file=queries.TOKENIZER_B)
-
-    def encode_pieces(text):
-        ids = pieces.encode(text, num_threads=1)
-        assert b(text)[0] == ids
-        return ids
 
-    return brute.alignment(texts, encode, encode_pieces, coders[0].pieces, coders[1].pieces)
+def _expected(texts, coders):
+    return brute.alignment(texts, *_encoders(), coders[0].pieces, coders[1].pieces)
 
 
 def test_words_alone_give_what_texts_give(coders):
-    """Both encoders put together from what they remember, over texts of all kinds of letters."""
+    """Ids put together from words that are remembered, over texts of all kinds of letters and spaces."""
     import random
 
-    from sentencepiece import SentencePieceProcessor
-    from tokenizers import Tokenizer
-
-    a, b = (token_align._made(coder) for coder in coders)
-    plain, pieces = Tokenizer.from_file(queries.TOKENIZER_A), SentencePieceProcessor(model_file=queries.TOKENIZER_B)
-    plain.encode_special_tokens = True
-    draw, letters = random.Random(4), [chr(code) for code in range(0x370)] + [" "] * 300 + list("etaoinshrdlu") * 30 + ["the", " of", "'s", "  "]
-    for _ in range(3000):
+    aligner, (encode_a, encode_b) = token_align._Aligner(*coders), _encoders()
+    assert aligner.by_words
+    draw, letters = random.Random(4), [chr(code) for code in range(0x370)] + list(" \n\t\x85\xa0") * 60 + list("etaoinshrdlu") * 30 + ["the", " of", "'s", "  "]
+    found = 0
+    for _ in range(6000):
         text = "".join(draw.choices(letters, k=draw.randint(1, 80)))
-        assert a(text)[0] == plain.encode(text, add_special_tokens=False).ids
-        assert b(text)[0] == pieces.encode(text, num_threads=1)
+        a, b = encode_a(" " + text), encode_b(text)
+        ids, body = aligner.tokens(text), f" {text}".encode()
+        given = b"".join(coders[0].pieces[one] for one in a) == body == b"".join(coders[1].pieces[one] for one in b)
+        assert (ids is not None) == given
+        if given:
+            assert (ids[0].tolist(), ids[1].tolist()) == (a, b)
+            found += 1
+    assert found > 5000
 
 
 ODD = [
