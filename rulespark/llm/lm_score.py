@@ -40,7 +40,7 @@ from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, Strin
 from ..session import written
 from . import frequent, gru
 
-HOT, LONGEST = 1 << 17, 64
+HOT, LONGEST = 1 << 18, 64
 ROUNDS, RATES = 2, (0.01, 0.003)
 #: Words that a task learns from in a round, at least; a smaller corpus is gone through again.
 TASK_WORDS, LEAST_WORDS = 500_000, 300_000
@@ -51,13 +51,15 @@ BLOCKS = 64
 HELD = 500_000
 END = ""
 
-_LOWER = bytes(byte + 32 if 0x41 <= byte <= 0x5A else byte for byte in range(256))
+#: A to Z in lower case, and every white space as a line's end.
+_LOWER = bytes(byte + 32 if 0x41 <= byte <= 0x5A else 0x0A if byte == 0x20 or 0x09 <= byte <= 0x0D else byte for byte in range(256))
 
 
 def words_of(text):
     """The words of a text, A to Z in lower case, with the end as an empty one."""
-    words = (text or "").encode().translate(_LOWER).split()
-    return [*b"\n".join(words).decode().split("\n"), END] if words else [END]
+    words = [word for word in (text or "").encode().translate(_LOWER).decode().split("\n") if word]
+    words.append(END)
+    return words
 
 
 def key_of(word):
