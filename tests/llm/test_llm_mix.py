@@ -52,3 +52,20 @@ def test_last_stage(spark):
         of = sums.setdefault(row.source, [0, row.mix_target])
         of[0] += len(brute.WORD.findall(row.text))
     assert all(abs(words - target) <= 0.5 for words, target in sums.values())
+
+
+def test_the_plan_counts_what_the_last_stage_wrote(spark, monkeypatch, tmp_path):
+    """Rows alike in their ids stay apart, and a last stage that drops a source takes nothing of it."""
+    texts = [(at // 2, " ".join(f"w{at}.{word}" for word in range(9)), "en", "abc"[at % 3], 9) for at in range(60)]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-1:])
+    planned = mixing.mixed(spark.read.parquet(f"{tmp_path}/documents.parquet")).select("row.text", "taken").collect()
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((row.text, row.mix_taken) for row in rows) == sorted(map(tuple, planned)) and len({row.mix_taken for row in rows}) > 1
+
+    def without_a(spark, docs, sf_dir):
+        return corpus_pipeline.mix(spark, docs, sf_dir).where("source <> 'a'")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("mix", without_a)])
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(rows) == 60 and {row.source for row in rows if row.mix_taken} == {"b", "c"}
