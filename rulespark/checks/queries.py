@@ -400,11 +400,28 @@ def e6_run_id(spark, sf_dir):
                      F.count_distinct("rule_run_id").alias("distinct_ids"))
 
 
-def _stream_of(session, rows, purpose, files=4):
-    """The rows as a stream over files that Spark wrote, a file or two per micro-batch."""
-    path = work_folder(session, purpose)
+#: Rows in a file that a stream reads, and rows that come in for each partition of its state.
+FILE_ROWS, STATE_ROWS = 1_000_000, 4_000_000
+
+
+def _many(rows, each, least):
+    return max(least, -(-rows.count() // each))
+
+
+def _stream_of(session, rows, purpose, files=4, batches=2):
+    """The rows as a stream over files that Spark wrote, as many of them in each micro-batch.
+
+    There are more than ``files`` of them if they would grow too large for a task.
+    """
+    path, files = work_folder(session, purpose), _many(rows, FILE_ROWS, files)
     rows.repartition(files).write.parquet(path)
-    return path, session.readStream.schema(rows.schema).option("maxFilesPerTrigger", files // 2).parquet(path)
+    return path, session.readStream.schema(rows.schema).option("maxFilesPerTrigger", -(-files // batches)).parquet(path)
+
+
+def _session_for(spark, rows):
+    """A session for a stream of the rows whose partitions of state don't grow with them: as many for each core."""
+    cores = spark.sparkContext.defaultParallelism
+    return stream_session(spark, cores * _many(rows, STATE_ROWS * cores, 1))
 
 
 def _ledger_with_zone(spark, sf_dir):
@@ -412,7 +429,8 @@ def _ledger_with_zone(spark, sf_dir):
 
 
 def e8_latest_stream(spark, sf_dir):
-    _, ledger = _stream_of(stream_session(spark), _ledger_with_zone(spark, sf_dir), "ledger-stream")
+    rows = _ledger_with_zone(spark, sf_dir)
+    _, ledger = _stream_of(_session_for(spark, rows), rows, "ledger-stream")
     folder = work_folder(spark, "latest")
     state, compacted = work_folder(spark, "latest-state"), work_folder(spark, "latest-compacted")
     streaming.write_latest(ledger, folder, state, availableNow=True).awaitTermination()
