@@ -481,9 +481,8 @@ def f6_exceptions_in_time(spark, sf_dir):
 
 def f5_stream(spark, sf_dir):
     """The verdict followed over a ledger stream, which is broken off and goes on, and folded at every second batch."""
-    session = stream_session(spark)
-    path, _ = _stream_of(session, _ledger_with_zone(spark, sf_dir), "verdict-stream", files=6)
-    ledger = session.readStream.schema(session.read.parquet(path).schema).option("maxFilesPerTrigger", 2).parquet(path)
+    rows = _ledger_with_zone(spark, sf_dir)
+    _, ledger = _stream_of(_session_for(spark, rows), rows, "verdict-stream", files=6, batches=3)
     given, feed_map = _applicable(spark, sf_dir), view(spark, sf_dir, "fx_feed_map")
     folder, state = work_folder(spark, "verdicts"), work_folder(spark, "verdicts-state")
     for _ in range(2):
