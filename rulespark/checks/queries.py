@@ -11,7 +11,7 @@ from .. import functions as fn
 from .. import operators as op
 from .. import plans, sources, streaming
 from ..model import FAILURE, LEDGER_SCHEMA, RESULT_COLUMNS, RULE_COLUMNS, RULE_TEXT_COLUMNS, RUNNABLE_RULE_SCHEMA, SUCCESS
-from ..session import rule_session, stream_session, work_folder
+from ..session import rule_session, stream_session, work_folder, written
 from .fixtures import table, view
 
 AS_OF_DATE = "20010701"
@@ -494,7 +494,7 @@ def _waiting_at_start(spark, sf_dir):
     ledger, feed_map = view(spark, sf_dir, "fx_status"), view(spark, sf_dir, "fx_feed_map")
     seen = F.col("created_dt").isNull() | (F.col("created_dt") <= F.lit(str(START)).cast("timestamp_ntz"))
     waiting = op.waiting_rules(op.categorize(op.latest_status(ledger.where(seen)), feed_map))
-    return streaming.waiting_at(waiting, START)
+    return written(streaming.waiting_at(waiting, START), "waiting")  # counted and read again
 
 
 def _late_row(rows, **values):
