@@ -527,7 +527,7 @@ def f6_stream(spark, sf_dir):
 def f6_timers(spark, sf_dir):
     """The same waits with a timer each; rows come in no order, ten years of them, so as late as that."""
     waiting, ledger = _waiting_at_start(spark, sf_dir), _ledger_with_zone(spark, sf_dir)
-    session = stream_session(spark)
+    session = _session_for(spark, ledger)
     waiting_path, waiting_stream = _stream_of(session, waiting, "waiting-stream", files=2)
     ledger_path, ledger_stream = _stream_of(session, ledger, "ledger-stream")
     folder, state = work_folder(spark, "decided"), work_folder(spark, "decided-state")

@@ -6,6 +6,7 @@ ledger moves the clock; a rule that begins to wait later does not, and nothing i
 dropped for being late: rows that matter carry no event time of their own.
 """
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -21,7 +22,7 @@ def _micros(column):
     return F.unix_micros(F.col(column).cast("timestamp"))
 
 
-def _rows(waiting, ledger, accept_success, ids):
+def _rows(waiting, ledger, timeout, accept_success, ids):
     """What the state sees, with ``at`` null, and each dated ledger row once more as the clock."""
     resolving = F.col("exception_applied").eqNullSafe(YES)
     if accept_success:
@@ -29,12 +30,15 @@ def _rows(waiting, ledger, accept_success, ids):
     resolving = resolving & F.col(KEY).isNotNull()
     kind = "struct<rule_id:string,started:bigint,at_start:boolean,excepted:bigint,at:timestamp>"
     none = F.lit(None)
-    waits = waiting.where(F.col(KEY).isNotNull() & F.col("started_at").isNotNull()).select(F.struct(F.col(KEY), _micros("started_at"), F.coalesce("at_start", F.lit(False)), none, none).cast(kind).alias("row"))
+    waits = waiting.where(F.col(KEY).isNotNull() & F.col("started_at").isNotNull() & ~F.coalesce("at_start", F.lit(False))).select(F.struct(F.col(KEY), _micros("started_at"), F.coalesce("at_start", F.lit(False)), none, none).cast(kind).alias("row"))
     ledger = ledger.where(F.col("created_dt").isNotNull())
     if ids is not None:
-        ids = ids.select(F.col(KEY).alias("waits")).distinct()
+        begins = _micros("started_at") if "started_at" in ids.columns else F.lit(None).cast("bigint")
+        ids = ids.groupBy(F.col(KEY).alias("waits")).agg(F.collect_set(begins).alias("begins"), F.count_if(begins.isNull()).alias("open"))
         ledger = ledger.join(ids, F.col(KEY) == F.col("waits"), "left")
-        resolving = resolving & F.col("waits").isNotNull()
+        since = _micros("created_dt") - F.lit(timeout)
+        in_time = F.exists("begins", lambda begin: (begin < _micros("created_dt")) & (begin >= since))
+        resolving = resolving & F.col("waits").isNotNull() & ((F.col("open") > 0) | in_time)
     clock = F.struct(none, none, none, none, F.col("created_dt")).cast(kind)
     excepted = F.struct(F.col(KEY), none, none, _micros("created_dt"), none).cast(kind)
     found = ledger.select(F.explode(F.array_compact(F.array(clock, F.when(resolving, excepted)))).alias("row"))
@@ -45,11 +49,13 @@ def _decide(timeout):
     def decide(key, batches, state):
         started, at_start, early = state.get if state.exists else ([], [], [])
         waits, exceptions = list(zip(started, at_start)), list(early)
-        if not state.hasTimedOut:
-            for rows in batches:
-                own = rows[rows["started"].notna()]
-                waits += zip(own["started"].astype("int64").tolist(), own["at_start"].astype(bool).tolist())
-                exceptions += rows["excepted"].dropna().astype("int64").tolist()
+        # plain lists: a rule has few rows, and pandas takes longer to look at a column than Python at a few values
+        for rows in () if state.hasTimedOut else batches:
+            for begin, excepted, moment in zip(rows["started"].tolist(), rows["at_start"].tolist(), rows["excepted"].tolist()):
+                if begin is not None and begin == begin:
+                    waits.append((int(begin), bool(excepted)))
+                if moment is not None and moment == moment:
+                    exceptions.append(int(moment))
         now = state.getCurrentWatermarkMs() * 1000
         exceptions = sorted(set(exceptions))
         ended, open_waits = [], []
@@ -69,7 +75,7 @@ def _decide(timeout):
         else:
             state.remove()
         if ended:
-            moments = pd.to_datetime([begin for begin, _ in ended], unit="us", utc=True)
+            moments = pd.DatetimeIndex(np.array([begin for begin, _ in ended], "datetime64[us]"), tz="UTC")
             yield pd.DataFrame({KEY: [key[0]] * len(ended), "started_at": moments, "resolved": [done for _, done in ended]})
 
     return decide
@@ -82,11 +88,15 @@ def exception_timers(waiting, ledger, timeout, delay="10 minutes", accept_succes
     by an exception dated in ``(started_at, started_at + timeout]``, in whatever order rows
     come in, until the newest ledger row is ``delay`` past its deadline; then its timer ends
     it. ``delay`` is how long after the deadline's date a row may still come in. With ``ids``,
-    a table of rules that may wait, others leave no trace in the state.
+    a table of rules that may wait, others leave no trace in the state; if it has their waits'
+    ``started_at``, all that a rule may have, nor do exceptions in the time of none of them.
     """
     micros = int(timeout.total_seconds() * 1_000_000)
-    rows = _rows(waiting, ledger, accept_success, ids).withWatermark("at", delay)
+    rows = _rows(waiting, ledger, micros, accept_success, ids).withWatermark("at", delay)
     # the clock's rows have done their work; only a condition on ``at`` itself stays above the watermark
     rows = rows.where(F.col("at").isNull())
-    return rows.groupBy(KEY).applyInPandasWithState(
+    ends = rows.groupBy(KEY).applyInPandasWithState(
         _decide(micros), DECIDED, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    # a wait that is over as it begins needs neither state nor a call of Python
+    over = waiting.where(F.col(KEY).isNotNull() & F.col("started_at").isNotNull() & F.col("at_start"))
+    return ends.unionByName(over.select(KEY, F.col("started_at").cast("timestamp"), F.lit(True).alias("resolved")))

@@ -168,3 +168,17 @@ def test_an_exception_that_a_newer_row_takes_back(spark, streams, folder):
     looked = streaming.wait_for_exceptions(
         waiting, spark.readStream.schema(whole.schema).parquet(path), folder("looks"), folder("state"), timedelta(seconds=1))
     assert [tuple(row) for row in looked.collect()] == [("a", False)]
+
+
+def test_exceptions_in_the_time_of_no_wait_leave_no_trace(spark, streams):
+    """Where the waits themselves are given, a rule's other exceptions never reach its state."""
+    wait, append, follow = streams
+    waits = [("a", at(12), False), ("b", at(12), False), ("b", at(14), False)]
+    wait(*waits)
+    ids = spark.createDataFrame(waits, "rule_id string, started_at timestamp, at_start boolean")
+    append(*[excepted("a", f"r{n}", at(10, n)) for n in range(9)], excepted("a", "s", at(12)), excepted("a", "t", at(13, 1)), excepted("b", "r", at(15)))
+    assert follow("1 day", ids=ids) == [("b", at(14), True)]
+    state = {row.key[0]: row.value for row in spark.read.format("statestore").load(follow.state).collect()}
+    assert "early=[]" in str(state["a"]) and len(state) == 2
+    append(excepted("a", "u", at(13)))
+    assert follow("1 day", ids=ids) == [("a", at(12), True), ("b", at(14), True)]
