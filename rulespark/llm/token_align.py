@@ -1,13 +1,15 @@
 """Alignment of two tokenizers, with a fast path for tokens that both have.
 
 Texts are encoded by both. Where a token of A and a token of B end at the same byte, the
-text is cut: the tokens between two cuts are a group. Most groups are one token on either
-side with the same bytes; which id of B that is for an id of A, is an array that is worked
-out once from the two vocabularies. Tasks count such groups in a vector as long as A's
-vocabulary. Only the links of the other groups, pairs of tokens whose bytes overlap, go
-through the shuffle as pairs, each once per task with its count.
+text is cut: the tokens between two cuts are a group. Both end with each word, so a text's
+groups and links are those of its words, and tasks remember these by word.
 
-What follows from the counts is looked up the same way. For groups of the fast path: two
+Most links, pairs of tokens whose bytes overlap, are between ids with the same bytes; which
+id of B that is for an id of A, is an array that is worked out once from the two
+vocabularies. Tasks count such links in a vector as long as A's vocabulary. Only the others
+go through the shuffle as pairs, each once per task with its count.
+
+What follows from the counts is looked up the same way. For links of the fast path: two
 arrays of the length of A's vocabulary. For other pairs: the most frequent ``HOT`` of them
 are an array that every task gets, the rest are joined, and none of those is so frequent
 that it weighs in a join. So documents are read twice, encoded once, and most of their links
@@ -20,9 +22,9 @@ told apart by their place, not by their id: null and repeated ids are rows of th
 
 import hashlib
 import re
+from array import array
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from itertools import chain
 from operator import itemgetter
 
 import numpy as np
@@ -44,10 +46,7 @@ HELD = 1 << 20
 #: Texts of letters up to here are encoded piece by piece; those with others as a whole.
 LAST_LETTER = 0x36F
 _OTHER_LETTERS = re.compile(f"[^\\x00-{chr(LAST_LETTER)}]")
-#: A text that begins with a space, in parts that each begin with all the spaces before a word;
-#: spaces that follow other white space stay with it, as one encoder joins these.
-_WORDS = re.compile(r" +[^ ]*(?:(?<=[\t-\r\x85\xa0]) +[^ ]*)*")
-#: Words whose ids a task remembers, and the longest of them.
+#: Words whose groups and links a task remembers, and the longest of them.
 _REMEMBERED, _SHORT = 1 << 18, 64
 
 
@@ -56,17 +55,20 @@ def _class_of(kind):
     return "".join(re.escape(chr(code)) for code in range(LAST_LETTER + 1) if regex.match(kind, chr(code)))
 
 
-def _pieces_pattern():
-    """How the byte-level vocabulary splits texts into pieces, for letters up to the last one.
-
-    Fixed values: the contractions, and the order of runs of letters, of numbers, of others, of
-    white space. Letters come first here; no other kind of piece begins as they do.
-    """
-    letter, number, space = (_class_of(kind) for kind in (r"\p{L}", r"\p{N}", r"\s"))
-    return re.compile(f" ?[{letter}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
+_LETTER, _NUMBER, _SPACE = (_class_of(kind) for kind in (r"\p{L}", r"\p{N}", r"\s"))
+_SIGN = f"^{_SPACE}{_LETTER}"
 
-
-_PIECES = _pieces_pattern()
+#: How the byte-level vocabulary splits texts into pieces, for letters up to the last one.
+#: The contractions, and the order of runs of letters, of numbers, of others, of
+#: white space. Letters come first here; no other kind of piece begins as they do.
+_PIECES = re.compile(f" ?[{_LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_NUMBER}]+| ?[{_SIGN}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: A text in words: all white space before a run of letters or of signs, and the run. Signs with
+#: a ' or before a carriage return keep what follows up to a space after other than white space:
+#: one encoder makes contractions, the other has pieces of signs and carriage returns.
+_WORDS = re.compile(
+    f"[{_SPACE}]*(?:[{_LETTER}]+|[{_SIGN}']++(?!['\\r])|[{_SIGN}]+[^ ]*(?:(?<=[{_SPACE}]) +[^ ]*)*)|[{_SPACE}]+")
+#: What a piece has that goes on from one word into the next, other than white space at its start.
+_WORD_END = re.compile(f"▁|[{_LETTER}][^{_LETTER}]|[{_SIGN}](?!\\r)[{_SPACE}{_LETTER}]")
 
 
 @dataclass(frozen=True)
@@ -84,10 +86,10 @@ class Coder:
 
 
 class _Encoder:
-    """Ids of whole texts, and of words where these have the same ids in every text."""
+    """Ids of whole texts, and of lists of words where these have the same ids in every text."""
 
-    def __init__(self, whole, of_word=None):
-        self.whole, self.of_word = whole, of_word
+    def __init__(self, whole, of_words=None):
+        self.whole, self.of_words = whole, of_words
 
 
 def _byte_level(state):
@@ -105,7 +107,10 @@ def _byte_level(state):
         pieces = (piece.encode().decode("latin-1").translate(letters) for piece in _PIECES.findall(word))
         return [token.id for piece in pieces for token in model.tokenize(piece)]
 
-    return _Encoder(whole, of_word)
+    def of_words(words):
+        return list(map(of_word, words))
+
+    return _Encoder(whole, of_words)
 
 
 def _byte_of_letters():
@@ -134,20 +139,35 @@ def _pieced(state):
     from sentencepiece import SentencePieceProcessor
 
     processor = SentencePieceProcessor(model_proto=state)
-    space = processor.piece_to_id("▁")
+    space, line_end = processor.piece_to_id("▁"), processor.encode("\n")
 
     def whole(text):
         return processor.encode(text, num_threads=1)
 
-    def of_word(word):  # the encoder puts the space before it again
-        return whole(word[1:]) if len(word) > 1 else [space]
+    def of_words(words):  # the encoder puts a space before each; a line's end parts it from words that have none
+        found = processor.encode([word[1:] if word[0] == " " else f"\n{word}" for word in words], num_threads=1)
+        return [(ids or [space]) if word[0] == " " else ids[2:] for word, ids in zip(words, found)]
 
     letters = "".join(map(chr, range(0x21, LAST_LETTER + 1)))
-    inner_space = any("▁" in processor.id_to_piece(number).lstrip("▁") for number in range(processor.get_piece_size()))
     as_they_are = processor.normalize(f"{letters}  a") == f"▁{letters}▁▁a"
-    # no piece goes on after a word, and letters stay as they are
-    alone = as_they_are and not inner_space and space != processor.unk_id()
-    return _Encoder(whole, of_word if alone else None)
+    # no piece goes on after a word, letters stay as they are, and so does a line's end
+    alone = as_they_are and not any(map(_over_words, _text_pieces(processor)))
+    alone = alone and space != processor.unk_id() and len(line_end) == 2 and line_end[0] == space
+    return _Encoder(whole, of_words if alone else None)
+
+
+def _text_pieces(processor):
+    """The pieces that stand for their own characters."""
+    apart = (processor.is_control, processor.is_unknown, processor.is_byte)
+    return [processor.id_to_piece(number) for number in range(processor.get_piece_size()) if not any(kind(number) for kind in apart)]
+
+
+def _over_words(piece):
+    """Whether a piece may go on from one word into the next, or joins a line's end to others."""
+    run = piece.lstrip("▁")
+    if "▁" not in run and _OTHER_LETTERS.search(run):  # not in a text that is encoded by words
+        return False
+    return bool(_WORD_END.search(run)) or ("\n" in piece and len(piece) > 1)
 
 
 def piece_coder(path) -> Coder:
@@ -194,77 +214,88 @@ class _Aligner:
     def __init__(self, a, b):
         self.a, self.b = a, b
         self.encoder_a, self.encoder_b = _made(a), _made(b)
-        self.by_words = self.encoder_a.of_word and self.encoder_b.of_word and a.prefix + b.prefix == " "
-        self.sizes_a, self.sizes_b = (np.array([len(piece) for piece in coder.pieces], np.int64) for coder in (a, b))
+        self.by_words = self.encoder_a.of_words and self.encoder_b.of_words and a.prefix + b.prefix == " "
         self.same = identity(a, b)
-        self.names = [f"{one}|{other}" for one, other in enumerate(self.same)]
+        self.same_of = self.same.tolist()
         self.remembered = _MADE.setdefault((id(self.encoder_a), id(self.encoder_b)), {})
 
-    def _checked(self, a, b, body):
-        """Both lists of ids, or None if either does not give the text back."""
+    def _part(self, a, b, body):
+        """Tokens of either, groups as text, and links of a text or word, or None if either does not give it back."""
         body = body.encode()
-        given = b"".join(map(self.a.pieces.__getitem__, a)) == body == b"".join(map(self.b.pieces.__getitem__, b))
-        return (a, b) if given else None
-
-    def _word(self, word):
-        ids = self._checked(self.encoder_a.of_word(word), self.encoder_b.of_word(word), word)
-        if ids and len(word) <= _SHORT and len(self.remembered) < _REMEMBERED:
-            self.remembered[word] = ids
-        return ids
-
-    def tokens(self, text):
-        """The ids of both, or None if either does not give the text back; a text is its words."""
+        pieces_a, pieces_b = list(map(self.a.pieces.__getitem__, a)), list(map(self.b.pieces.__getitem__, b))
+        if not b"".join(pieces_a) == body == b"".join(pieces_b):
+            return None
+        size_b = len(self.b.pieces)
+        if pieces_a == pieces_b:
+            return len(a), len(b), ";".join(map("%d|%d".__mod__, zip(a, b))), array("q", [one * size_b + other for one, other in zip(a, b)]).tobytes()
+        groups, links = _walked(a, list(map(len, pieces_a)), b, list(map(len, pieces_b)), size_b)
+        return len(a), len(b), ";".join(groups), array("q", links).tobytes()
+
+    def _parts(self, text):
+        """What ``_part`` gives, for each word or for the text as a whole; None if it does for any."""
         body = f" {text}"
         if not self.by_words or _OTHER_LETTERS.search(body):
-            ids = self._checked(self.encoder_a.whole(self.a.prefix + text), self.encoder_b.whole(self.b.prefix + text), body)
-            return ids and tuple(np.array(one, np.int64) for one in ids)
-        words = [self.remembered.get(word) or self._word(word) for word in _WORDS.findall(body)]
-        if None in words:
-            return None
-        return tuple(np.array(list(chain.from_iterable(map(itemgetter(side), words))), np.int64) for side in (0, 1))
+            whole = self._part(self.encoder_a.whole(self.a.prefix + text), self.encoder_b.whole(self.b.prefix + text), body)
+            return whole and [whole]
+        words = _WORDS.findall(body)
+        parts = list(map(self.remembered.get, words))
+        new = list(dict.fromkeys(word for word, part in zip(words, parts) if part is None))
+        if not new:
+            return parts
+        found = {}
+        for word, a, b in zip(new, self.encoder_a.of_words(new), self.encoder_b.of_words(new)):
+            part = found[word] = self._part(a, b, word)
+            if part is None:
+                return None
+            if len(word) <= _SHORT and len(self.remembered) < _REMEMBERED:
+                self.remembered[word] = part
+        return [part or found[word] for word, part in zip(words, parts)]
 
     def aligned(self, text):
-        """Counts, groups as text, ids of groups of the fast path, and links of the others."""
-        found = self.tokens(text) if text else None
-        if found is None:
-            return 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
-        a, b = found
-        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
-        cuts_a, cuts_b = _marked(ends_b)[ends_a], _marked(ends_a)[ends_b]
-        last_a, last_b = np.flatnonzero(cuts_a), np.flatnonzero(cuts_b)
-        size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
-        plain = (size_a == 1) & (size_b == 1) & (self.same[a[last_a]] == b[last_b])
-        quick = a[last_a[plain]]
-        names = list(map(self.names.__getitem__, a[last_a].tolist()))
-
-        # what is left of either side are whole groups, so places in it still say what overlaps
-        other, rest_a, rest_b = ~plain, np.repeat(~plain, size_a), np.repeat(~plain, size_b)
-        links = _links(a[rest_a], ends_a[rest_a], self.sizes_a, b[rest_b], ends_b[rest_b], self.sizes_b)
-        texts_a, texts_b = (list(map(str, ids)) for ids in (a[rest_a].tolist(), b[rest_b].tolist()))
-        at_a = at_b = 0
-        for group, n_a, n_b in zip(np.flatnonzero(other).tolist(), size_a[other].tolist(), size_b[other].tolist()):
-            names[group] = f"{','.join(texts_a[at_a : at_a + n_a])}|{','.join(texts_b[at_b : at_b + n_b])}"
-            at_a += n_a
-            at_b += n_b
-        return len(a), len(b), len(names), len(quick) + links.shape[1], ";".join(names), quick, links
-
-
-def _marked(ends):
-    """For each byte offset, whether a token ends there."""
-    marks = np.zeros(ends[-1] + 1, bool)
-    marks[ends] = True
-    return marks
-
-
-def _links(a, ends_a, sizes_a, b, ends_b, sizes_b):
-    """The pairs of tokens whose bytes overlap: where either begins, a pair meets for the first time."""
-    starts = np.union1d(ends_a - sizes_a[a], ends_b - sizes_b[b])
-    return np.stack((a[np.searchsorted(ends_a, starts, "right")], b[np.searchsorted(ends_b, starts, "right")]))
-
-
-def _counted(values):
-    held, counts = np.unique(values, return_counts=True)
-    return held, counts.astype(np.int64)
+        """Counts, groups as text, and the numbers of all linked pairs, A's id times B's vocabulary plus B's id."""
+        parts = self._parts(text) if text else None
+        if parts is None:
+            return 0, 0, 0, 0, "", np.zeros(0, np.int64)
+        n_a, n_b, groups, links = (map(itemgetter(at), parts) for at in range(4))
+        groups, links = ";".join(groups), np.frombuffer(b"".join(links), np.int64)
+        return sum(n_a), sum(n_b), groups.count(";") + 1, len(links), groups, links
+
+    def tokens(self, text):
+        """The ids of both as the groups have them, or None if either does not give the text back."""
+        groups = self.aligned(text)[4]
+        sides = zip(*(group.split("|") for group in groups.split(";"))) if groups else ()
+        return tuple(np.array(",".join(side).split(","), np.int64) for side in sides) or None
+
+    def counted(self, links):
+        """Links of the fast path by A's id, and the others by pair, both as cells."""
+        held, counts = np.unique(links, return_counts=True)
+        of_a, of_b = np.divmod(held, len(self.b.pieces))
+        quick = self.same[of_a] == of_b
+        return _cells(of_a[quick], counts[quick]), _cells(held[~quick], counts[~quick])
+
+
+def _walked(a, sizes_a, b, sizes_b, size_b):
+    """The groups of two lists of ids that have the same bytes, and their links: pairs meet where either begins."""
+    groups, links, from_a, from_b = [], [], 0, 0
+    at_a = at_b = 0
+    end_a, end_b = sizes_a[0], sizes_b[0]
+    while True:
+        links.append(a[at_a] * size_b + b[at_b])
+        if end_a < end_b:
+            at_a += 1
+            end_a += sizes_a[at_a]
+        elif end_b < end_a:
+            at_b += 1
+            end_b += sizes_b[at_b]
+        else:
+            at_a += 1
+            at_b += 1
+            groups.append(f"{','.join(map(str, a[from_a:at_a]))}|{','.join(map(str, b[from_b:at_b]))}")
+            if at_a == len(a):
+                return groups, links
+            from_a, from_b = at_a, at_b
+            end_a += sizes_a[at_a]
+            end_b += sizes_b[at_b]
 
 
 def _cells(held, counts):
@@ -288,7 +319,7 @@ def aligned(docs: DataFrame, a: Coder, b: Coder, text="text", carry=("doc_id",))
     B's vocabulary plus B's id; both distinct, with their counts. The table is written, so a row
     keeps its ``place``. Carried columns are ``kept_0`` and so on.
     """
-    spark, size_b = docs.sparkSession, len(b.pieces)
+    spark = docs.sparkSession
     coders = spark.sparkContext.broadcast((a, b))
     kept = [F.col(name).alias(f"kept_{at}") for at, name in enumerate(carry)]
     rows = docs.select(*kept, F.col(text).alias("body"))
@@ -303,9 +334,9 @@ def aligned(docs: DataFrame, a: Coder, b: Coder, text="text", carry=("doc_id",))
         for batch in (batch for batch in batches if batch.num_rows):
             found = []
             for body in batch.column("body"):
-                *numbers, groups, quick, links = aligner.aligned(body.as_py())
+                *numbers, groups, links = aligner.aligned(body.as_py())
                 digest = hashlib.sha256(groups.encode()).hexdigest() if numbers[0] else ""
-                found.append((*numbers, digest, _cells(*_counted(quick)), _cells(*_counted(links[0] * size_b + links[1]))))
+                found.append((*numbers, digest, *aligner.counted(links)))
             columns = {name: batch.column(name) for name in batch.schema.names if name != "body"}
             columns["place"] = pa.array(range(place, place + len(found)), pa.int64())
             place += len(found)

@@ -115,6 +115,51 @@ def test_alignment_of_documents(spark, coders):
     assert found == {row.doc_id: of for row, of in zip(rows, _expected([row.text for row in rows], coders))}
 
 
+def test_alignment_of_signs_and_pieces(spark, coders):
+    """Texts put together from the pieces of both, and where one encoder goes on over signs, line ends and contractions."""
+    import random
+
+    from sentencepiece import SentencePieceProcessor
+
+    draw = random.Random(5)
+    pieces = [piece.replace("▁", " ") for piece in token_align._text_pieces(SentencePieceProcessor(model_file=queries.TOKENIZER_B))]
+    signs = [piece for piece in pieces if not piece.strip().isalpha()] + [piece for piece in pieces if "\r" in piece] * 20
+    others = [piece.decode(errors="ignore") for piece in coders[0].pieces]
+    edges = ["'s", "'S", "'ll", "''", " ", "  ", "\r\n", "\r", "\n", "\x0b", "\x1c", "\x85", "\xa0", ");", "a", "the", "1", "²", ".", "re", "́"]
+    kinds = [(pieces, 10), (signs, 15), (others, 10), (edges, 25), (pieces + signs * 4 + edges * 500, 20)]
+    texts = ["".join(draw.choices(held, k=draw.randint(1, most))) for held, most in kinds * 300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {row.doc_id: tuple(row)[1:] for row in token_align.compared(docs, *coders, hot=50).collect()}
+    assert found == dict(enumerate(_expected(texts, coders)))
+
+
+def test_vocabularies_that_go_over_words():
+    """A piece from one word into the next, or a changed line's end: such an encoder gets whole texts only."""
+    for piece in ("a.", ".a", "a1", "$a", "a\r", ".\n", "▁a▁b", ".▁", "▁\n", "\n\n", "1\xa0"):
+        assert token_align._over_words(piece), piece
+    for piece in ("▁", "▁▁", "▁the", ");\r", "\r\r", "\n", "².", "12", "▁▁ab", "é", "漢.字"):
+        assert not token_align._over_words(piece), piece
+
+
+def test_words_are_held_without_their_signs(coders):
+    """What is remembered grows with the words, not with what stands before and after them."""
+    aligner = token_align._Aligner(*coders)
+    held = len(aligner.remembered)
+    words = [f"quaz{chr(97 + one)}{chr(97 + other)}" for one in range(8) for other in range(8)]
+    around = [("", "."), ("", ","), ("", ";\n"), ("(", ")"), ("", "!\n\n"), ("\"", "\""), ("", "?!"), ("", " -"), ("", ".\""), ("", ":")]
+    assert aligner.aligned(" ".join(f"{before}{word}{after}" for word in words for before, after in around))[0]
+    assert 0 < len(aligner.remembered) - held <= 2 * len(words) + 4 * len(around)
+
+
+def test_words_that_are_not_held_are_encoded_once_a_text(coders, monkeypatch):
+    monkeypatch.setattr(token_align, "_REMEMBERED", 0)
+    aligner, asked = token_align._Aligner(*coders), []
+    for encoder in (aligner.encoder_a, aligner.encoder_b):
+        monkeypatch.setattr(encoder, "of_words", lambda words, of_words=encoder.of_words: asked.extend(words) or of_words(words))
+    assert aligner.aligned("quixonel " * 500 + "x" * 100)[0]
+    assert asked.count(" quixonel") == 2 and len(asked) == len(set(asked)) * 2
+
+
 def test_alignment_in_parts(spark, odd_documents, coders, monkeypatch):
     whole = sorted(map(tuple, token_align.compared(odd_documents, *coders).collect()), key=str)
     monkeypatch.setattr(token_align, "HELD", 1)
